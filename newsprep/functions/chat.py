@@ -8,12 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsprep.functions.fixed_values import (
-    NON_WHITESPACE_CLASS,
     SYSTEM_PROMPT,
     USER_PREFIX,
     USER_SUFFIX,
 )
-from newsprep.functions.text import strip
+from newsprep.functions.text import strip, word_count
 
 
 @dataclass(frozen=True)
@@ -63,7 +62,7 @@ def token_count(text: Column, unit: str) -> Column:
     if unit == "char":
         return F.length(text)
     if unit == "word":
-        return F.regexp_count(text, F.lit(f"{NON_WHITESPACE_CLASS}+"))
+        return word_count(text)
     raise ValueError(f"unknown unit: {unit!r}")
 
 

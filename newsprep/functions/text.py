@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsprep.functions.fixed_values import (
     LABELS,
-    OTHER_WHITESPACE_RANGES,
+    NON_WHITESPACE_CLASS,
     WHITESPACE,
     WHITESPACE_CLASS,
     WORD_PATTERN,
 )
 
-# A whitespace run that is anything but one plain space. Replacing only these
-# gives the same text as replacing every run and leaves ordinary prose alone.
-_IRREGULAR_RUN = f" {WHITESPACE_CLASS}+|[{OTHER_WHITESPACE_RANGES}]{WHITESPACE_CLASS}*"
+# Whitespace of ordinary text, and the rest of it by its place in ASCII.
+_COMMON = "\n\t\r"
+_RARE = [c for c in WHITESPACE if c not in _COMMON + " "]
+_RARE_ASCII = [c for c in _RARE if c.isascii()]
+_RARE_WIDE = [c for c in _RARE if not c.isascii()]
 
 
 def strip(text: Column) -> Column:
@@ -23,9 +29,71 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def evaluate_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    Writing a long expression out at every use would grow the generated code
+    beyond what the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _contains_any(text: Column, characters: list[str]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(c)) for c in characters])
+
+
+def plain_spaces(text: Column) -> Column:
+    """Every whitespace character as a space, one for one.
+
+    A regular expression over the full whitespace class costs more than anything
+    else that is done to a text. Byte searches tell whether it is needed: most
+    texts hold spaces and line ends only, which plain replacement handles.
+    """
+    rare = _contains_any(text, _RARE_ASCII) | (
+        (F.octet_length(text) != F.length(text)) & _contains_any(text, _RARE_WIDE)
+    )
+    spaced = text
+    for c in _COMMON:
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    return F.when(rare, F.regexp_replace(text, WHITESPACE_CLASS, " ")).otherwise(spaced)
+
+
+def has_runs(spaced: Column) -> Column:
+    """Whether a text with plain spaces has two in a row."""
+    return F.contains(spaced, F.lit("  "))
+
+
+def collapse_spaces(spaced: Column) -> Column:
+    """``collapse_whitespace`` of a text whose whitespace is plain spaces."""
+    return evaluate_once(
+        spaced,
+        lambda s: F.trim(F.when(has_runs(s), F.regexp_replace(s, " {2,}", " ")).otherwise(s)),
+    )
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Turn every whitespace run into one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, _IRREGULAR_RUN, " "))
+    return collapse_spaces(plain_spaces(text))
+
+
+def spaced_word_count(spaced: Column) -> Column:
+    """``word_count`` of a text whose whitespace is plain spaces."""
+    return evaluate_once(
+        collapse_spaces(spaced),
+        lambda s: F.when(s == "", F.lit(0)).otherwise(
+            F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1
+        ),
+    )
+
+
+def word_count(text: Column) -> Column:
+    """Number of words between whitespace."""
+    return spaced_word_count(plain_spaces(text))
+
+
+def not_blank(text: Column) -> Column:
+    """Whether anything is left after stripping; looks no further than that."""
+    return text.rlike(NON_WHITESPACE_CLASS)
 
 
 def normalize_label(label: Column) -> Column:

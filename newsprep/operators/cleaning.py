@@ -6,15 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsprep.functions.fixed_values import CONTENT, LABELS, REQUIRED_COLUMNS, SENTIMENT, SUMMARY
-from newsprep.functions.text import literal_none, normalize_label, strip
-
-
-def _not_blank(column: str) -> Column:
-    return strip(F.col(column)) != ""
+from newsprep.functions.text import literal_none, normalize_label, not_blank
 
 
 def apply_null_policy(
@@ -33,7 +29,7 @@ def drop_empty_rows(
 ) -> DataFrame:
     """Keep the rows in which every column still has text after stripping."""
     df = apply_null_policy(df, columns=columns, null_policy=null_policy)
-    return df.filter(reduce(and_, [_not_blank(c) for c in columns]))
+    return df.filter(reduce(and_, [not_blank(F.col(c)) for c in columns]))
 
 
 def unexpected_labels(
@@ -123,11 +119,11 @@ def dataset_preflight(
 ) -> DataFrame:
     """Row count, null and blank cells per column, usable rows and rows with a bad
     label, in one pass over the table."""
-    usable = reduce(and_, [F.coalesce(_not_blank(c), F.lit(False)) for c in columns])
+    usable = reduce(and_, [F.coalesce(not_blank(F.col(c)), F.lit(False)) for c in columns])
     checks = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         checks.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
-        checks.append(F.count_if(strip(F.col(c)) == "").alias(f"{c}_blanks"))
+        checks.append(F.count_if(~not_blank(F.col(c))).alias(f"{c}_blanks"))
     known = normalize_label(F.col(label)).isin(*labels)
     checks.append(F.count_if(usable).alias("usable_rows"))
     checks.append(F.count_if(usable & ~known).alias("unexpected_label_rows"))

@@ -16,9 +16,7 @@ from newsprep.functions.fitting import (
     head_tail_chars,
     head_tail_words,
     search_keep_chars,
-    words_with_space,
 )
-from newsprep.functions.chat import token_count
 from newsprep.functions.fixed_values import (
     CONTENT,
     DEFAULT_MAX_LENGTH,
@@ -27,6 +25,7 @@ from newsprep.functions.fixed_values import (
     SUMMARY,
     TRUNCATION_MARKER,
 )
+from newsprep.functions.text import has_runs, plain_spaces, spaced_word_count
 
 
 class ArticleDoesNotFit(ValueError):
@@ -53,33 +52,41 @@ def fit_article(
     """
     if max_length <= 0:
         raise ValueError("max_length must be positive")
-    text = F.col(content)
-    measured = df.withColumns(
-        {"_budget": F.lit(max_length) - overhead, "_size": token_count(text, unit)}
-    )
+    text, spaced = F.col(content), F.col("_spaced")
     budget, size, keep = F.col("_budget"), F.col("_size"), F.col("_keep")
+    shape = {"head_share": head_share, "marker": marker}
     if unit == "char":
-        search = search_keep_chars(text, budget, head_share=head_share, marker=marker)
-        cut = head_tail_chars(text, keep, head_share=head_share, marker=marker)
+        measured = df.withColumns(
+            {"_budget": F.lit(max_length) - overhead, "_size": F.length(text)}
+        )
+        search = search_keep_chars(text, size, has_runs(plain_spaces(text)), budget, **shape)
+        cut = head_tail_chars(text, size, keep, **shape)
+        cut_size = F.length(F.col("article"))
     else:
+        measured = df.withColumn("_spaced", plain_spaces(text)).withColumns(
+            {"_budget": F.lit(max_length) - overhead, "_size": spaced_word_count(spaced)}
+        )
         search = closed_form_keep_words(budget, marker=marker)
-        cut = head_tail_words(words_with_space(text), keep, head_share=head_share, marker=marker)
+        cut = head_tail_words(text, spaced, size, keep, **shape)
+        cut_size = keep + F.lit(len(marker.split()))
     # null: the text fits as it is; -1: nothing fits.
-    kept = measured.withColumn("_keep", F.when(size > budget, search))
-    fitted = kept.withColumn(
-        "article", F.when(keep.isNull(), text).when(keep >= 0, cut)
-    ).select(
-        *df.columns,
-        "article",
-        F.when(keep.isNull(), size)
-        .when(keep >= 0, token_count(F.col("article"), unit))
-        .alias("_length"),
-        (F.lit(max_length) - budget).alias("_overhead"),
-        keep.isNotNull().alias("was_truncated"),
-        F.coalesce(keep < 0, F.lit(False)).alias("overflow"),
-    ).withColumn(
-        "sequence_length", (F.col("_length") + F.col("_overhead")).cast("int")
-    ).drop("_length", "_overhead")
+    fitted = (
+        measured.withColumn("_keep", F.when(size > budget, search))
+        .withColumn("article", F.when(size <= budget, text).when(keep >= 0, cut))
+        .select(
+            *df.columns,
+            "article",
+            (
+                F.when(size <= budget, size).when(keep >= 0, cut_size)
+                + F.lit(max_length)
+                - budget
+            )
+            .cast("int")
+            .alias("sequence_length"),
+            (size > budget).alias("was_truncated"),
+            F.coalesce(keep < 0, F.lit(False)).alias("overflow"),
+        )
+    )
     if strict and fitted.filter("overflow").limit(1).count():
         raise ArticleDoesNotFit(f"some rows do not fit {max_length} even without an article")
     return fitted

@@ -29,23 +29,19 @@ def config_diff(
         return runs.select(F.col(run).alias(f"{name}_run"), F.col(arguments).alias(f"_{name}"))
 
     both = pairs.join(side("saved"), "saved_run").join(side("current"), "current_run")
-    entry = F.array(
-        *(
-            F.struct(
-                F.lit(k).alias("key"),
-                F.col("_saved")[k].alias("saved"),
-                F.col("_current")[k].alias("current"),
-                F.map_contains_key("_saved", F.lit(k)).alias("was_saved"),
-            )
-            for k in keys
-        )
-    )
     differing = F.filter(
-        entry, lambda e: e["was_saved"] & ~e["saved"].eqNullSafe(e["current"])
+        F.map_entries("_saved"),
+        lambda e: e["key"].isin(*keys) & ~e["value"].eqNullSafe(F.col("_current")[e["key"]]),
     )
     return both.select(
-        "saved_run", "current_run", F.explode(differing).alias("d")
-    ).select("saved_run", "current_run", "d.key", "d.saved", "d.current")
+        "saved_run", "current_run", "_current", F.explode(differing).alias("d")
+    ).select(
+        "saved_run",
+        "current_run",
+        "d.key",
+        F.col("d.value").alias("saved"),
+        F.col("_current")[F.col("d.key")].alias("current"),
+    )
 
 
 def fingerprint_drift(

@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsprep.operators.plugins import Message
+from newsprep.session import spread
 from newsprep.sources.articles import load_articles
 
+# Tables on which rows cost more than reading them, and their key.
+SPREAD_BY = {"documents": "doc_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
 SENTENCE = r"[^.\n]+[.]?"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(read, SPREAD_BY[name]) if name in SPREAD_BY else read
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

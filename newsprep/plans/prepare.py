@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from newsprep.functions.fixed_values import (
     DEFAULT_MAX_LENGTH,
     DEFAULT_SEED,
     DEFAULT_TEST_SIZE,
+    LABELS,
     SENTIMENT,
 )
 from newsprep.functions.text import content_fingerprint
@@ -30,29 +33,35 @@ def split_assignment(
     seed: int = DEFAULT_SEED,
     content: str = CONTENT,
     label: str = SENTIMENT,
+    labels: Sequence[str] = LABELS,
     key: str = "row_id",
     stratify: bool = True,
 ) -> DataFrame:
-    """(key, label, split) of every row that is kept.
+    """(key, label, split) of every row that is kept; the label is null outside
+    the domain.
 
     All decisions are taken on key, label and digest. That narrow table is
     written once, because counting and ranking read it several times; the texts
-    are read once for the digests and are never shuffled here.
+    are read once for the digests and are never shuffled here. The label travels
+    as its number, so that with a numeric key the grouping is a hash aggregation
+    with fixed-size state.
     """
+    names = F.array(*map(F.lit, labels))
+    number = F.coalesce(F.array_position(names, F.col(label)).cast("int"), F.lit(0))
+    numbered = cleaned.select(key, number.alias("number"))
     if deduplicate:
         digest = F.unhex(content_fingerprint(F.col(content)))
-        kept = (
-            cleaned.select(digest.alias("digest"), key, label)
+        numbered = (
+            cleaned.select(digest.alias("digest"), key, number.alias("number"))
             .groupBy("digest")
-            .agg(F.min(F.struct(key, label)).alias("first"))
-            .select("first.*")
+            .agg(F.min_by("number", key).alias("number"), F.min(key).alias(key))
         )
-    else:
-        kept = cleaned.select(key, label)
+    kept = numbered.select(key, F.get(names, F.col("number") - 1).alias(label))
     keys = materialize(kept, "keys")
     sampled = seeded_sample(keys, n=limit, seed=seed, key=key)
     return stratified_split(
-        sampled, label=label, test_size=test_size, seed=seed, key=key, stratify=stratify
+        sampled, label=label, labels=labels, test_size=test_size, seed=seed, key=key,
+        stratify=stratify,
     )
 
 

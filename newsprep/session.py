@@ -51,6 +51,19 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that arrives in fewer pieces than cores.
+
+    A small table is often one file with one row group, and then a single task
+    would do all the work on its texts. A table with enough pieces is returned
+    as it is, so nothing large is ever moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
