@@ -60,8 +60,10 @@ def split_leakage(
     Must be empty after ``dedup_keep_first``. A single grouping decides it, so
     no row is joined with its copies.
     """
-    counts = df.groupBy(content_fingerprint(F.col(content)).alias("fingerprint")).agg(
+    counts = df.groupBy(F.unhex(content_fingerprint(F.col(content))).alias("digest")).agg(
         F.count_if(F.col(split) == "train").alias("train_rows"),
         F.count_if(F.col(split) == "test").alias("test_rows"),
     )
-    return counts.filter((F.col("train_rows") > 0) & (F.col("test_rows") > 0))
+    return counts.filter((F.col("train_rows") > 0) & (F.col("test_rows") > 0)).select(
+        F.lower(F.hex("digest")).alias("fingerprint"), "train_rows", "test_rows"
+    )

@@ -35,7 +35,7 @@ def threshold_gate(
     A value equal to the minimum passes; a metric whose threshold is not set is
     skipped. ``strict`` raises on the first failure.
     """
-    judged = metrics.join(F.broadcast(thresholds), "metric").select(
+    judged = metrics.join(thresholds, "metric").select(
         *by,
         "metric",
         "value",

@@ -20,6 +20,8 @@ RECOMMENDED = {
     # article texts of the other side.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sessions are merged before the exchange, so a very busy user sends few rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
