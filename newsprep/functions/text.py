@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -29,15 +28,6 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def evaluate_once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used.
-
-    Writing a long expression out at every use would grow the generated code
-    beyond what the JVM compiles.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _contains_any(text: Column, characters: list[str]) -> Column:
     return reduce(or_, [F.contains(text, F.lit(c)) for c in characters])
 
@@ -63,27 +53,17 @@ def has_runs(spaced: Column) -> Column:
     return F.contains(spaced, F.lit("  "))
 
 
-def collapse_spaces(spaced: Column) -> Column:
-    """``collapse_whitespace`` of a text whose whitespace is plain spaces."""
-    return evaluate_once(
-        spaced,
-        lambda s: F.trim(F.when(has_runs(s), F.regexp_replace(s, " {2,}", " ")).otherwise(s)),
-    )
-
-
 def collapse_whitespace(text: Column) -> Column:
     """Turn every whitespace run into one space, none at the ends."""
-    return collapse_spaces(plain_spaces(text))
+    spaced = plain_spaces(text)
+    return F.trim(
+        F.when(has_runs(spaced), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+    )
 
 
 def spaced_word_count(spaced: Column) -> Column:
     """``word_count`` of a text whose whitespace is plain spaces."""
-    return evaluate_once(
-        collapse_spaces(spaced),
-        lambda s: F.when(s == "", F.lit(0)).otherwise(
-            F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1
-        ),
-    )
+    return F.size(F.array_remove(F.split(spaced, " "), ""))
 
 
 def word_count(text: Column) -> Column:

@@ -114,11 +114,12 @@ def dataset_preflight(
     df: DataFrame,
     *,
     columns: Sequence[str] = REQUIRED_COLUMNS,
+    content: str = CONTENT,
     label: str = SENTIMENT,
     labels: Sequence[str] = LABELS,
 ) -> DataFrame:
-    """Row count, null and blank cells per column, usable rows and rows with a bad
-    label, in one pass over the table."""
+    """Row count, null and blank cells per column, usable rows, rows with a bad
+    label and the lengths of the texts, in one pass over the table."""
     usable = reduce(and_, [F.coalesce(not_blank(F.col(c)), F.lit(False)) for c in columns])
     checks = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
@@ -127,4 +128,10 @@ def dataset_preflight(
     known = normalize_label(F.col(label)).isin(*labels)
     checks.append(F.count_if(usable).alias("usable_rows"))
     checks.append(F.count_if(usable & ~known).alias("unexpected_label_rows"))
+    size = F.length(content)
+    checks += [
+        F.min(size).alias(f"{content}_min_length"),
+        F.avg(size).alias(f"{content}_mean_length"),
+        F.max(size).alias(f"{content}_max_length"),
+    ]
     return df.agg(*checks)

@@ -21,8 +21,8 @@ from newsprep.operators import (
 )
 from newsprep.plans import derived, prepare
 from newsprep.session import configure, materialize, new_path
+from newsprep.sources import articles as article_source
 from newsprep.sources import datasets, predictions, runs
-from newsprep.sources.articles import schema_contract
 from newsprep.streaming import monitors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +67,10 @@ def load_articles(spark, sf_dir):
 
 
 @query
-def schema_contract_report(spark, sf_dir):
+def schema_contract(spark, sf_dir):
     documents = derived.table(spark, sf_dir, "documents")
-    return schema_contract(documents, required=("text", "lang", "Summary", "Sentiment"))
+    required = ("text", "lang", "Summary", "Sentiment")
+    return article_source.schema_contract(documents, required=required)
 
 
 @query
@@ -229,7 +230,9 @@ def split_leakage_after_dedup(spark, sf_dir):
 
 @query
 def dataset_preflight(spark, sf_dir):
-    return cleaning.dataset_preflight(derived.articles(spark, sf_dir))
+    return _round(
+        cleaning.dataset_preflight(derived.articles(spark, sf_dir)), "Content_mean_length"
+    )
 
 
 # Formatting and fitting

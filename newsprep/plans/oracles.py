@@ -517,7 +517,7 @@ ORACLES: dict[str, str] = {
     "load_articles": twin(
         'SELECT row_id, "Content", "Summary", "Sentiment" FROM articles', ARTICLES
     ),
-    "schema_contract_report": """
+    "schema_contract": """
 SELECT name AS "column", name IN (SELECT column_name FROM (DESCRIBE documents)) AS present
 FROM (SELECT unnest(['Sentiment', 'Summary', 'lang', 'text']) AS name)
 """,
@@ -663,7 +663,10 @@ count(*) FILTER ({strip(f'"{c}"')} = '') AS "{c}_blanks" """
         )
         + f""", count(*) FILTER ({NON_EMPTY}) AS usable_rows,
 count(*) FILTER ({NON_EMPTY}
-  AND {title('"Sentiment"')} NOT IN ('Negative', 'Neutral', 'Positive')) AS unexpected_label_rows
+  AND {title('"Sentiment"')} NOT IN ('Negative', 'Neutral', 'Positive')) AS unexpected_label_rows,
+CAST(min(length("Content")) AS INTEGER) AS "Content_min_length",
+round(avg(length("Content")), 6) AS "Content_mean_length",
+CAST(max(length("Content")) AS INTEGER) AS "Content_max_length"
 FROM articles""",
         ARTICLES,
     ),
