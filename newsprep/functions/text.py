@@ -20,7 +20,11 @@ from newsprep.functions.fixed_values import (
 _COMMON = "\n\t\r"
 _RARE = [c for c in WHITESPACE if c not in _COMMON + " "]
 _RARE_ASCII = [c for c in _RARE if c.isascii()]
-_RARE_WIDE = [c for c in _RARE if not c.isascii()]
+# The others by the first two bytes of their encoding, which few texts contain.
+_RARE_BY_LEAD = {
+    lead: [c for c in _RARE if c.encode()[:2] == lead]
+    for lead in sorted({c.encode()[:2] for c in _RARE if not c.isascii()})
+}
 
 
 def strip(text: Column) -> Column:
@@ -39,9 +43,15 @@ def plain_spaces(text: Column) -> Column:
     else that is done to a text. Byte searches tell whether it is needed: most
     texts hold spaces and line ends only, which plain replacement handles.
     """
-    rare = _contains_any(text, _RARE_ASCII) | (
-        (F.octet_length(text) != F.length(text)) & _contains_any(text, _RARE_WIDE)
+    encoded = text.cast("binary")
+    wide = reduce(
+        or_,
+        [
+            F.contains(encoded, F.lit(lead)) & _contains_any(text, characters)
+            for lead, characters in _RARE_BY_LEAD.items()
+        ],
     )
+    rare = _contains_any(text, _RARE_ASCII) | ((F.octet_length(text) != F.length(text)) & wide)
     spaced = text
     for c in _COMMON:
         spaced = F.replace(spaced, F.lit(c), F.lit(" "))
