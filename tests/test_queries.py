@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from newsprep.plans.catalog import QUERIES
+from newsprep.plans.oracles import ORACLES
 from tests.oracle_check import compare
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 
 def test_every_query_has_a_twin():
