@@ -108,9 +108,13 @@ def judge(text: bytes, press: zstandard.ZstdCompressor) -> tuple:
 
 
 def compression_verdicts(
-    docs: DataFrame, *, text_col: str = "text", prefix: str = ""
+    docs: DataFrame,
+    *,
+    keep: list[str] | None = None,
+    text_col: str = "text",
+    prefix: str = "",
 ) -> DataFrame:
-    """docs with the columns of VERDICT, their names prefixed.
+    """docs (its columns keep, all by default) with the columns of VERDICT, prefixed.
 
     kept is false where the base rules fail (under 50 words, or over half of them in
     repeated 3-word windows), where the zstandard ratio of the whole text lies outside
@@ -122,14 +126,13 @@ def compression_verdicts(
     nothing is shuffled, and equal rows get equal verdicts.
     """
     fields = [T.StructField(prefix + f.name, f.dataType) for f in VERDICT]
-    names = {f.name for f in fields}
-    kept = [c for c in docs.columns if c not in names]
-    if text_col not in kept:
-        raise ValueError(f"{text_col} has the name of a result; give another prefix")
-    schema = T.StructType([docs.schema[c] for c in kept] + fields)
+    labels = [f.name for f in fields]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in labels]
+    read = keep + ([] if text_col in keep else [text_col])
+    schema = T.StructType([docs.schema[c] for c in keep] + fields)
     types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.int64(), pa.int64()]
     types += [pa.string(), pa.bool_()]
-    at, labels = kept.index(text_col), [f.name for f in fields]
+    at, width = read.index(text_col), len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
@@ -137,6 +140,6 @@ def compression_verdicts(
             rows = [judge(text, press) for text in utf8(batch.column(at))]
             values = list(zip(*rows, strict=True)) or [()] * len(types)
             new = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*kept, *labels])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], [*keep, *labels])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*read).mapInArrow(run, schema)

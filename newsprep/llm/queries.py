@@ -7,7 +7,15 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsprep.llm import byte_shards, compression_bands, packing, simhash_tiles, token_counts
+from newsprep.llm import (
+    byte_shards,
+    compression_bands,
+    decontamination,
+    packing,
+    simhash_tiles,
+    token_counts,
+    warc_members,
+)
 from newsprep.llm.shared import table
 from newsprep.session import configure
 
@@ -37,10 +45,16 @@ def op1_binary_packing(spark, sf_dir):
     return packing.pack_binary(documents, tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op3_fm_index(spark, sf_dir):
+    documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.decontaminate(documents, benchmark, keep=["doc_id"])
+
+
 @query
 def op4_compression_bands(spark, sf_dir):
-    judged = compression_bands.compression_verdicts(table(spark, sf_dir, "documents"))
-    return judged.select("doc_id", *compression_bands.VERDICT.names)
+    documents = table(spark, sf_dir, "documents")
+    return compression_bands.compression_verdicts(documents, keep=["doc_id"])
 
 
 @query
@@ -54,6 +68,11 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents, tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op8_warc_members(spark, sf_dir):
+    return warc_members.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_byte_shards(spark, sf_dir):
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
