@@ -12,8 +12,10 @@ from newsprep.llm import (
     compression_bands,
     decontamination,
     packing,
+    pii_votes,
     simhash_tiles,
     token_counts,
+    toxicity_neighbours,
     warc_members,
 )
 from newsprep.llm.shared import table
@@ -62,6 +64,12 @@ def op5_simhash_tiles(spark, sf_dir):
     return simhash_tiles.simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_pii_votes(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return pii_votes.find_personal_data(documents, keep=["doc_id"], with_text=False)
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -76,3 +84,9 @@ def op8_warc_members(spark, sf_dir):
 @query
 def op9_byte_shards(spark, sf_dir):
     return byte_shards.byte_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity_neighbours(spark, sf_dir):
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return toxicity_neighbours.score_toxicity(documents, labels).drop("neighbours")
