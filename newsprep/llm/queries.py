@@ -11,6 +11,7 @@ from newsprep.llm import (
     byte_shards,
     compression_bands,
     decontamination,
+    lm_scoring,
     packing,
     pii_votes,
     simhash_tiles,
@@ -47,6 +48,11 @@ def op1_binary_packing(spark, sf_dir):
     return packing.pack_binary(documents, tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op2_backoff_automaton(spark, sf_dir):
+    return lm_scoring.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_fm_index(spark, sf_dir):
     documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
