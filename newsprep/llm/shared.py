@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,15 +44,18 @@ def utf8(column: pa.Array) -> Iterator[bytes]:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a column's values take about size bytes, one row at least."""
+    """Cut batches so that a column's texts take about size bytes each, one row at least.
+
+    What a task builds from a batch is then bounded by size, or by one long text.
+    """
     for batch in batches:
-        start, held = 0, 0
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = held = 0
         for row, length in enumerate(lengths):
-            if held and held + (length or 0) > size:
+            if held and held + length > size:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
-            held += length or 0
+            held += length
         if start < batch.num_rows:
             yield batch.slice(start)
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsprep.llm.shared import LOWER, utf8, written
 
@@ -178,6 +179,28 @@ def components(links: DataFrame) -> DataFrame:
     return edges.toDF("node", "root").union(roots.select("v", "v").toDF("node", "root"))
 
 
+def clusters(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id, least, keeper) for each distinct fingerprint of prints (doc_id, fp).
+
+    least is the least id with that fingerprint, component_id that of its component, and
+    keeper marks the one fingerprint of a component that has it (the least, if several).
+    """
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    links = written(tile_links(nodes.select("fp"), radius), "near")
+    found = written(components(links).toDF("fp", "root"), "components")
+    rank = F.struct(F.col("least").isNull().alias("none"), "least", "fp")
+    best = found.join(nodes, "fp").groupBy("root").agg(F.min(rank).alias("best"))
+    best = written(best.select("root", "best.least", F.col("best.fp").alias("kept")), "roots")
+    linked = found.join(best, "root").select("fp", F.col("least").alias("far"), "kept")
+    named = nodes.join(linked, "fp", "left").select(
+        "fp",
+        F.when(F.col("kept").isNull(), F.col("least")).otherwise(F.col("far")).alias("component_id"),
+        "least",
+        F.coalesce(F.col("kept") == F.col("fp"), F.lit(True)).alias("keeper"),
+    )
+    return written(named, "named")
+
+
 def simhash_components(
     docs: DataFrame, *, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -192,20 +215,41 @@ def simhash_components(
     ignored.
 
     All fingerprints are compared with all in reach of their population counts: the work
-    of the comparison grows with the square of the distinct fingerprints, about 1/40 of
+    of the comparison grows with the square of the distinct fingerprints, about 1/25 of
     all pairs being left, and what a task holds stays the same.
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    links = written(tile_links(nodes.select("fp"), radius), "near")
-    found = written(components(links), "components")
-    linked = found.toDF("fp", "root").join(nodes, "fp")
-    best = written(linked.groupBy("root").agg(F.min("least").alias("least")), "roots")
-    linked = found.toDF("fp", "root").join(best, "root").select("fp", "least")
-    named = nodes.join(linked.withColumnRenamed("least", "far"), "fp", "left").select(
-        "fp", F.coalesce("far", "least").alias("component_id")
-    )
-    named = written(named, "named")
+    named = clusters(prints, radius).select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one_each(
+    docs: DataFrame, *, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """docs with one row of each component of simhash_components(), all columns kept.
+
+    It is the row with the least id; of rows that share that id and their fingerprint, the
+    one with the least text. Rows that repeat both are reduced before they are shuffled.
+    """
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    held = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row")
+    )
+    schema = T.StructType([*held.schema.fields, T.StructField("fp", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t) for t in utf8(batch.column(1))], np.uint64)
+            columns = [*batch.columns, pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    marked = held.mapInArrow(run, schema).drop("text")
+    marked = written(marked, "marked")
+    named = clusters(marked.select("doc_id", "fp"), radius).filter("keeper")
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    single = marked.groupBy("fp", "doc_id").agg(F.min_by("row", text).alias("row"))
+    kept = named.select("fp", F.col("least").alias("doc_id"))
+    same = (single["fp"] == kept["fp"]) & single["doc_id"].eqNullSafe(kept["doc_id"])
+    return single.join(kept, same, "left_semi").select("row.*")

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsprep.llm.shared import written
+from newsprep.llm.shared import slices, written
 
 #: The pattern of byte-level pre-tokenizers, a fixed value.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -20,7 +20,9 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: are joined.
 FREQUENT, FREQUENT_CHARS = 1 << 18, 32
 #: Distinct entries that a worker holds before it passes them on or forgets them.
-HELD = 300_000
+HELD = 150_000
+#: Bytes of text whose frequencies are built at a time.
+SLICE = 4 << 20
 
 
 def _specials(path: str) -> list[str]:
@@ -45,24 +47,21 @@ class Words:
         self.cut = re.compile(r" (?=\S)").split
         self.pieces = regex.compile(PRE_TOKEN).findall
 
-    def count(self, text: str) -> tuple[int, Counter]:
-        """The number of special strings, and how often each word occurs.
-
-        Words begin with the space before them, if any, but a regular word's is left out.
-        Those at the start of a section have a NUL in front instead.
+    def count(self, text: str) -> tuple[Counter, Counter, int]:
+        """How often each word occurs after a space, without it; the words that begin a
+        section; and the number of special strings, which part sections.
         """
         sections = self.special.split(text) if self.special else [text]
-        words: Counter = Counter()
+        words, firsts = Counter(), Counter()
         for section in sections:
             if section:
-                parts = self.cut(section) if self.odd(section) else section.split(" ")
-                words.update(parts)
-                words[parts[0]] -= 1
-                words["\0" + parts[0]] += 1
-        return len(sections) - 1, words
+                first, *rest = self.cut(section) if self.odd(section) else section.split(" ")
+                words.update(rest)
+                firsts[first] += 1
+        return words, firsts, len(sections) - 1
 
-    def pre_tokens(self, word: str) -> list[str]:
-        return self.pieces(word[1:] if word[:1] == "\0" else " " + word)
+    def pre_tokens(self, word: str, is_first: bool) -> list[str]:
+        return self.pieces(word if is_first else " " + word)
 
 
 def _text(value: pa.Scalar) -> str:
@@ -77,25 +76,27 @@ def pre_token_table(docs: DataFrame, tokenizer: str, text_col: str = "text") ->
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Words(specials)
 
-        def flush(words: Counter) -> pa.RecordBatch:
+        def flush() -> pa.RecordBatch:
             found: Counter = Counter()
-            for word, n in words.items():
-                if n:
-                    for p in cutter.pre_tokens(word):
+            for is_first, words in enumerate(held):
+                for word, n in words.items():
+                    for p in cutter.pre_tokens(word, bool(is_first)):
                         found[p] += n
+                words.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())],
                 schema=flat,
             )
 
-        words: Counter = Counter()
+        held: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for value in batch.column(0):
-                words.update(cutter.count(_text(value))[1])
-                if len(words) > HELD:
-                    yield flush(words)
-                    words.clear()
-        yield flush(words)
+                found = cutter.count(_text(value))
+                held[0].update(found[0])
+                held[1].update(found[1])
+                if len(held[0]) > HELD:
+                    yield flush()
+        yield flush()
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -164,23 +165,29 @@ def token_counts(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, pieces, memo = Words(specials), frequent.value, {}
-        for batch in batches:
+        cutter, pieces = Words(specials), frequent.value
+
+        def looked_up(word: str, is_first: bool) -> tuple[int, list[str]]:
+            found = cutter.pre_tokens(word, is_first)
+            rest = [p for p in found if p not in pieces]
+            return sum(pieces.get(p, 0) for p in found), rest
+
+        memo: dict[str, tuple[int, list[str]]] = {}
+        for batch in slices(batches, 1, SLICE):
             sizes, known, names, numbers, offsets = [], [], [], [], [0]
             for value in batch.column(1):
                 text = _text(value)
                 sizes.append(len(text.encode()))
-                total, words = cutter.count(text)
+                words, firsts, total = cutter.count(text)
                 left: Counter = Counter()
                 for word, n in words.items():
-                    if not n:
-                        continue
                     if (held := memo.get(word)) is None:
-                        found = cutter.pre_tokens(word)
-                        held = memo[word] = (
-                            sum(pieces.get(p, 0) for p in found),
-                            [p for p in found if p not in pieces],
-                        )
+                        held = memo[word] = looked_up(word, False)
+                    total += n * held[0]
+                    for p in held[1]:
+                        left[p] += n
+                for word, n in firsts.items():
+                    held = looked_up(word, True)
                     total += n * held[0]
                     for p in held[1]:
                         left[p] += n
