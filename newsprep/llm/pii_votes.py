@@ -25,6 +25,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+# A card's digits alone or in fours, which a longer run of numbers may hide.
+GROUPED = re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4})(?![0-9])")
 
 NATIONAL = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
@@ -125,9 +127,7 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
     if DIGIT.search(text):
         for kind, pattern in (("phone", NATIONAL), ("ssn", SSN), ("iban", IBAN), ("secret", HEX)):
             found += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
-        for m in CARD.finditer(text):
-            if 12 <= len(digits_of(m[0])) <= 19:
-                found.append((m.start(), "card", m.end()))
+        found += [(m.start(), "card", m.end()) for m in GROUPED.finditer(text)]
     ends = np.array([0] + sorted(b for _, _, b in base))
     starts = np.array(sorted(a for a, _, _ in base) + [len(text) + 1])
     # As many base spans end at or before a span as begin before its end, if none overlaps.

@@ -1,0 +1,109 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from newsprep.llm import pii_votes as V
+from tests.llm.rows import AWKWARD, documents, given, ordered
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+PRIVATE = [
+    (40, "Mail joe.x+1@mail2.example.com, or a@b, or @x.y or a@b@c.d.e. and é@x.org..z"),
+    (41, "From 10.0.0.1 and 256.1.1.1 and 1.2.3.4.5.6.7.8 and 1.2.3 and 001.002.003.004."),
+    (42, "Pay 4539 1488 0343 6467 or 4539148803436468 or 4539-1488-0343-6467-1 to me"),
+    (43, "Call +1 (524) 555-7373 or +49 30 1234567 or +1 2 or + 1 or +123456789012345678"),
+    (44, 'token = "5c4a26e9bd0c2c2e356de5663481732ff8d0ec46" and TOKEN: abc'),
+    (45, "joe [at] example [dot] com and 524-555-7373 and 123-45-6789 and DE89 3704 0044 0532 0130 00"),
+    (46, "1" * 4000 + "." + "2" * 5000 + ".3.4 " + "a" * 3000 + "@" * 50 + "b.c"),
+    (47, "x@y.z" * 50 + "+1" + " (" * 500 + " 234567890"),
+    (48, "card 4539148803436467 card 4539148803436467 1.1.1.1"),
+]
+
+
+def luhn(d):
+    total = [int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(d[::-1])]
+    return sum(total) % 10 == 0
+
+
+def base(text):
+    found = [(m.start(), 0, "email", m.end()) for m in EMAIL.finditer(text)]
+    for m in IP.finditer(text):
+        if all(len(p) < 4000 and int(p) <= 255 for p in m[0].split(".")):
+            found.append((m.start(), 1, "ip", m.end()))
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            found.append((m.start(), 2, "card", m.end()))
+    for m in PHONE.finditer(text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append((m.start(), 3, "phone", m.end()))
+    return [(a, kind, b) for a, _, kind, b in sorted(found)]
+
+
+def rows_of(spark, small):
+    return [r for r in AWKWARD if r[0] != 4] + PRIVATE + given(spark, small, 200)
+
+
+def test_base_rules(spark, small):
+    rows = rows_of(spark, small)
+    found = V.find_personal_data(documents(spark, rows).repartition(4)).collect()
+    expected = []
+    for doc_id, text in rows:
+        spans = base(text or "")
+        said = ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
+        counts = [sum(s[1] == k for s in spans) for k in V.BASE]
+        expected.append((doc_id, *counts, hashlib.sha256(said.encode()).hexdigest()))
+    assert ordered((r["doc_id"], *(r[c] for c in V.RESULT.names[:5])) for r in found) == ordered(expected)
+    for r in found:
+        spans = [tuple(s.split(":")) for s in r["spans"].split(",") if s]
+        assert len(spans) >= r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_base_rules_on_noise(seed):
+    rng = random.Random(seed)
+    for _ in range(3000):
+        text = "".join(rng.choices("a1.@+- ()5", k=rng.randrange(1, 40)))
+        assert V.base_spans(text) == base(text), text
+
+
+def test_secrets_are_added_and_redacted(spark, small):
+    docs = documents(spark, PRIVATE + [(1000 + d, t) for d, t in given(spark, small.replace("0.001", "0.01"), 600)])
+    found = {r["doc_id"]: r for r in V.find_personal_data(docs, prefix="p_").collect()}
+    secret = found[44]
+    assert secret["p_spans"].startswith("secret:9:49")
+    assert secret["p_redacted"] == 'token = "<SECRET>" and TOKEN: abc'
+    assert found[48]["p_redacted"] == "card <CARD> card <CARD> <IP>"
+    clean = [r for r in found.values() if not re.search("[0-9@]", r["text"] or "")]
+    assert clean and all(r["p_spans"] == "" and r["p_redacted"] == r["text"] for r in clean)
+
+
+def test_label_model_finds_reliabilities():
+    """Votes drawn with known reliabilities; agreement alone must give them back."""
+    rng = np.random.default_rng(2)
+    right, counts = [0.95, 0.9, 0.85, 0.8, 0.7, 0.6], {}
+    truth = rng.random(20_000) < 0.4
+    for y in truth:
+        votes = tuple((1 if (rng.random() < r) == y else -1) for r in right)
+        key = ("card", votes, (1, 2, 0, 0))
+        counts[key] = counts.get(key, 0) + 1
+    model = V.fit([(*k, n) for k, n in sorted(counts.items())])
+    for j, r in enumerate(right):
+        assert abs(model.reliability[j, 1, 2] - r) < 0.05
+        assert abs(model.reliability[j, 0, 0] - r) < 0.05
+    assert abs(model.prior["card"] - 0.4) < 0.05
+    assert model.score("card", (1,) * 6, (1, 2, 0, 0)) > 0.9
+    assert model.score("card", (-1,) * 6, (1, 2, 0, 0)) < 0.1
+
+
+def test_empty_tables_and_nulls(spark):
+    assert V.find_personal_data(documents(spark, [])).count() == 0
+    rows = V.find_personal_data(documents(spark, [(1, None), (None, "")])).collect()
+    assert {(r["spans"], r["redacted"]) for r in rows} == {("", None), ("", "")}
+    assert V.redacted("ab cd", [(0, "ip", 2), (1, "phone", 4)]) == "<IP>d"
