@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from newsprep.llm.shared import prefix_sums, utf8, written
 
-#: Words whose ids a worker remembers before it starts afresh; about 150 bytes each.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers before it starts afresh; about 200 bytes each.
+REMEMBERED = 1_500_000
 
 
 class WordIds(dict):
