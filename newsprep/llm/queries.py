@@ -56,7 +56,8 @@ def op2_backoff_automaton(spark, sf_dir):
 @query
 def op3_fm_index(spark, sf_dir):
     documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return decontamination.decontaminate(documents, benchmark, keep=["doc_id"])
+    found = decontamination.decontaminate(documents, benchmark, keep=["doc_id"])
+    return found.drop("removal_spans")
 
 
 @query
@@ -96,3 +97,62 @@ def op9_byte_shards(spark, sf_dir):
 def op10_toxicity_neighbours(spark, sf_dir):
     documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return toxicity_neighbours.score_toxicity(documents, labels).drop("neighbours")
+
+
+ORACLES["op3_fm_index"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), phrases AS (
+    SELECT DISTINCT item, least(13, len(w)) AS k,
+        array_to_string(w[s : s + least(13, len(w)) - 1], ' ') AS phrase
+    FROM items, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(s)
+    WHERE len(w) > 0
+), widths AS (
+    SELECT DISTINCT k FROM phrases
+), windows AS (
+    SELECT r, s, k, array_to_string(w[s : s + k - 1], ' ') AS phrase
+    FROM words, widths, unnest(range(1, len(w) - k + 2)) AS t(s)
+), found AS (
+    SELECT r, s, k, item FROM windows JOIN phrases USING (k, phrase)
+), hit AS (
+    SELECT r, count(DISTINCT place) AS n_hit
+    FROM found, unnest(range(s, s + k)) AS t(place) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+    FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    coalesce(digest, sha256('')) AS items_sha256,
+    coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM words LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES["op8_warc_members"] = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        list_transform(string_split(sha1(coalesce(html, '')), ''),
+            lambda h: strpos('0123456789abcdef', h) - 1) AS hex
+    FROM pages
+), digests AS (
+    SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((16 * hex[1 + 5 * i // 4] + hex[2 + 5 * i // 4]) >> (3 - 5 * i % 4)) % 32, 1)),
+        'string_agg', '') AS payload_digest
+    FROM payloads
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END
+        AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
