@@ -28,7 +28,11 @@ def parse_summary(response: Column) -> Column:
 
 
 def parse_sentiment(response: Column) -> Column:
-    """The first valid label tag, normalised; null for none."""
+    """The first valid label tag, normalised; null for none.
+
+    The labels are those of the fixed answer format, which the prompt spells out; a
+    label domain of one's own takes a prompt and a parser of one's own.
+    """
     found = F.nullif(F.regexp_extract(response, _LABEL_PATTERN, 1), F.lit(""))
     return F.initcap(F.lower(found))
 

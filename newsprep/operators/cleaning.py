@@ -47,10 +47,22 @@ def unexpected_labels(
 def require_known_labels(
     df: DataFrame, *, label: str = SENTIMENT, labels: Sequence[str] = LABELS, show: int = 50
 ) -> DataFrame:
-    """Raise when a label lies outside the domain, naming the first offenders."""
-    bad = [str(r["label"]) for r in unexpected_labels(df, label=label, labels=labels).take(show)]
-    if bad:
-        raise ValueError(f"labels outside the domain: {bad}")
+    """Raise when a label lies outside the domain.
+
+    The message counts all offenders and names the first; ``unexpected_labels`` is the
+    whole report, which may be of any length.
+    """
+    report = unexpected_labels(df, label=label, labels=labels)
+    found = report.agg(
+        F.count(F.lit(1)).alias("labels"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+    ).first()
+    if found["labels"]:
+        named = [str(r["label"]) for r in report.take(show)]
+        rest = found["labels"] - len(named)
+        raise ValueError(
+            f"{found['labels']} labels outside the domain on {found['rows']} rows: {named}"
+            + (f" and {rest} more, not shown" if rest else "")
+        )
     return df
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,9 @@ def fit_article(
     """Add ``article``, ``sequence_length``, ``was_truncated`` and ``overflow``.
 
     ``overhead`` is the rendered length of everything but the article. Text that
-    fits is left untouched. A row that cannot fit at all has ``overflow`` set and
-    null results, so it can be routed aside; ``strict`` raises instead.
+    fits is left untouched. A row that cannot fit at all, or whose article or completion
+    is null, has ``overflow`` set and null results, so it can be routed aside; ``strict``
+    raises instead.
     Everything is a narrow transformation inside the scan's stage.
     """
     if max_length <= 0:
@@ -84,7 +87,7 @@ def fit_article(
             .cast("int")
             .alias("sequence_length"),
             (size > budget).alias("was_truncated"),
-            F.coalesce(keep < 0, F.lit(False)).alias("overflow"),
+            F.coalesce(keep < 0, size.isNull() | budget.isNull()).alias("overflow"),
         )
     )
     if strict and fitted.filter("overflow").limit(1).count():
@@ -143,3 +146,26 @@ def format_stats(formatted: DataFrame, *, split: str = "split") -> DataFrame:
         F.count_if("was_truncated").alias("truncated"),
         F.max("sequence_length").alias("max_length"),
     )
+
+
+def length_distribution(
+    df: DataFrame, *, length: str, max_length: int, percentages: Sequence[float] = (0.5, 0.9, 0.99)
+) -> DataFrame:
+    """Rows, percentiles, greatest length and the share over a budget: one row.
+
+    To choose a maximum length by. Rows are counted per length first, so the exact
+    percentiles are taken of one row per length. Rows without a length are left out.
+    """
+    counts = df.filter(F.col(length).isNotNull()).groupBy(F.col(length).alias("length")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    over = F.sum(F.when(F.col("length") > max_length, F.col("n")).otherwise(0))
+    return counts.agg(
+        F.sum("n").alias("rows"),
+        *(
+            F.percentile("length", F.lit(p), F.col("n")).alias(f"p{round(100 * p)}")
+            for p in percentages
+        ),
+        F.max("length").alias("max_length"),
+        F.try_divide(over, F.sum("n")).alias("over_budget"),
+    )

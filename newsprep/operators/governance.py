@@ -51,9 +51,13 @@ def fingerprint_drift(
     key: str = "run_id",
     columns: Sequence[str] = ("train_fingerprint", "eval_fingerprint"),
 ) -> DataFrame:
-    """Split fingerprints that differ from the saved ones; an absent one differs too."""
+    """Split fingerprints that differ from the saved ones.
+
+    Only runs with a row in ``saved`` are compared: a first run has nothing to drift
+    from. A fingerprint absent on one side differs from one that is there.
+    """
     old = saved.select(key, *(F.col(c).alias(f"_saved_{c}") for c in columns))
-    joined = current.select(key, *columns).join(old, key, "left")
+    joined = current.select(key, *columns).join(old, key)
     pairs = F.array(
         *(
             F.struct(
@@ -104,12 +108,14 @@ def class_drift(
 
     Each side is one row of conditional counts over the fixed label domain, so
     nothing but two rows meets. Shares below ``floor`` are raised to it inside
-    the logarithm.
+    the logarithm. ``unlabelled_share`` is what of the observed rows has no label of
+    the domain; a side without any has no mix, and both distances are null.
     """
     def counts(df: DataFrame, label: str, side: str) -> DataFrame:
         return df.agg(
-            F.array(*(F.count_if(F.col(label) == name) for name in labels)).alias("n")
-        ).select(F.lit(side).alias("side"), "n")
+            F.array(*(F.count_if(F.col(label) == name) for name in labels)).alias("n"),
+            F.count(F.lit(1)).alias("every"),
+        ).select(F.lit(side).alias("side"), "n", "every")
 
     sides = counts(expected, expected_label, "expected").unionByName(
         counts(observed, observed_label, "observed")
@@ -122,9 +128,13 @@ def class_drift(
         return F.aggregate(F.col(array), F.lit(0).cast("bigint"), lambda acc, n: acc + n)
 
     def shares(array: str) -> Column:
-        return F.transform(F.col(array), lambda n: n / total(array))
+        return F.transform(F.col(array), lambda n: F.try_divide(n, total(array)))
 
-    mixed = sides.agg(side("expected").alias("e"), side("observed").alias("o")).select(
+    every = F.max(F.when(F.col("side") == "observed", F.col("every")))
+    mixed = sides.agg(
+        side("expected").alias("e"), side("observed").alias("o"), every.alias("every")
+    ).select(
+        F.try_divide(F.col("every") - total("o"), F.col("every")).alias("unlabelled_share"),
         total("e").alias("expected_rows"),
         total("o").alias("observed_rows"),
         shares("e").alias("p"),
@@ -136,11 +146,12 @@ def class_drift(
     ) / 2
 
     def term(a: Column, b: Column) -> Column:
-        low, high = F.greatest(a, F.lit(floor)), F.greatest(b, F.lit(floor))
+        # greatest() passes over nulls, which here must stay.
+        low, high = (F.when(x.isNotNull(), F.greatest(x, F.lit(floor))) for x in (a, b))
         return (high - low) * F.ln(high / low)
 
     index = F.aggregate(F.zip_with("p", "q", term), zero, lambda acc, t: acc + t)
     return mixed.select(
-        "expected_rows", "observed_rows",
+        "expected_rows", "observed_rows", "unlabelled_share",
         distance.alias("total_variation"), index.alias("stability_index"),
     )

@@ -6,6 +6,9 @@ not on the partitioning, the file layout or the number of executors.
 To find the n-th row, rows are counted per hash prefix (``BUCKETS`` of them at
 most), a running sum names the prefix in which the n-th row lies, and only the
 rows with that prefix are ranked. The result is one boundary key per stratum.
+
+Keys must be unique, as row ids are: rows that share the key of a boundary lie on the
+same side of it, so a sample could exceed its size by them.
 """
 
 from __future__ import annotations
@@ -63,15 +66,50 @@ def boundary_keys(keys: DataFrame, quotas: DataFrame, *, key: str, seed: int) ->
     )
 
 
+def whole_boundary(keys: DataFrame, quota: Column, *, key: str, seed: int) -> Column:
+    """The boundary of a table that is one stratum, as a scalar subquery.
+
+    ``quota`` is the number of rows up to it. No join: a constant stratum would make one a
+    nested loop over the table.
+    """
+    hashed = keys.select(key, order_key(F.col(key), seed).alias("hashed"))
+    counts = hashed.groupBy(_prefix(F.col("hashed")).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # At most BUCKETS rows in one task.
+    running = F.sum("n").over(
+        Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    edge = (
+        counts.withColumn("upto", running)
+        .withColumn("rank", quota - (F.col("upto") - F.col("n")))
+        .filter((F.col("rank") > 0) & (F.col("rank") <= F.col("n")))
+    )
+    position = F.row_number().over(Window.partitionBy("prefix").orderBy("hashed", key))
+    return (
+        hashed.withColumn("prefix", _prefix(F.col("hashed")))
+        .filter(F.col("prefix") == edge.select("prefix").scalar())
+        .withColumn("position", position)
+        .filter(F.col("position") == edge.select("rank").scalar())
+        .select(F.struct("hashed", key))
+        .scalar()
+    )
+
+
+def upto(boundary: Column, *, key: str, seed: int) -> Column:
+    """Whether a row lies at or before a boundary; null if there is none."""
+    return F.struct(order_key(F.col(key), seed).alias("hashed"), F.col(key)) <= boundary
+
+
 def within_boundary(
     df: DataFrame, boundaries: DataFrame, *, stratum: Column, key: str, seed: int, flag: str
 ) -> DataFrame:
     """Mark the rows up to the boundary of their stratum: a map-side comparison."""
-    this = F.struct(order_key(F.col(key), seed).alias("hashed"), F.col(key))
+    marked = F.coalesce(upto(F.col("boundary"), key=key, seed=seed), F.lit(False))
     return (
         df.withColumn("stratum", stratum)
         .join(F.broadcast(boundaries), "stratum", "left")
-        .withColumn(flag, F.coalesce(this <= F.col("boundary"), F.lit(False)))
+        .withColumn(flag, marked)
         .drop("stratum", "boundary")
     )
 

@@ -7,6 +7,8 @@ deterministic, because a lost task runs again.
 
 from __future__ import annotations
 
+import bisect
+import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -14,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsprep.functions.chat import PromptTemplate, build_completion, build_prompt
+from newsprep.functions.chat import PromptTemplate, build_completion
 from newsprep.functions.fixed_values import (
     CONTENT,
     DEFAULT_MAX_LENGTH,
@@ -39,51 +41,74 @@ class Predictor(Protocol):
     def __call__(self, prompts: list[list[Message]]) -> list[str]: ...
 
 
-def _messages(cell) -> list[Message]:
+def _messages(cell) -> list[Message] | None:
+    """The messages of a cell; None where one of them has no text."""
+    if cell is None or any(m["content"] is None for m in cell):
+        return None
     return [{"role": m["role"], "content": m["content"]} for m in cell]
 
 
-def _fit_with_tokenizer(tokenizer, article, around, max_length, head_share, marker):
-    """(article, length, truncated) of one row, or Nones when nothing fits."""
+#: By how many tokens a candidate may differ from the sum of its parts.
+SLACK = 16
 
-    def measure(text: str) -> int:
-        return len(
-            tokenizer.apply_chat_template(
-                around(text), tokenize=True, return_dict=False,
-                add_generation_prompt=False, enable_thinking=False,
-            )
-        )
 
-    length = measure(article)
-    if length <= max_length:
-        return article, length, False
-    tokens = tokenizer.encode(article, add_special_tokens=False)
-
-    def text_of(part) -> str:
-        return tokenizer.decode(part, skip_special_tokens=True)
-
-    def cut(keep: int) -> str:
-        if keep >= len(tokens):
-            return text_of(tokens)
-        if keep <= 0:
-            return marker.strip()
-        first = max(1, int(keep * head_share))
-        last = len(tokens) - (keep - first)
-        pieces = (text_of(tokens[:first]).strip(), marker, text_of(tokens[last:]).strip())
-        return "".join(pieces).strip()
-
-    best = (None, None, True)
-    smallest, largest = 0, len(tokens)
-    while smallest <= largest:
-        keep = (smallest + largest) // 2
-        candidate = cut(keep)
-        length = measure(candidate)
-        if length > max_length:
-            largest = keep - 1
-        else:
-            best = (candidate, length, True)
-            smallest = keep + 1
-    return best
+class _Fitter:
+    """Cuts articles to what a chat leaves over, with few calls of the tokenizer.
+
+    A candidate of k tokens is expected to measure the chat without article, plus k, plus
+    the marker. Only where that lies within SLACK of the limit is it rendered; an article
+    with runs of white space, of which stripping may take any number, is always rendered.
+    """
+
+    def __init__(self, tokenizer, system: str, prefix: str, suffix: str, limit: int,
+                 head_share: float, marker: str):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.system = {"role": "system", "content": system}
+        self.prefix, self.suffix = prefix, suffix
+        self.head_share, self.marker = head_share, marker
+        self.marker_tokens = len(tokenizer.encode(marker, add_special_tokens=False))
+
+    def measure(self, article: str, answer: list[Message]) -> int:
+        user = {"role": "user", "content": self.prefix + article + self.suffix}
+        ids = self.tokenizer.apply_chat_template(
+            [self.system, user, *answer],
+            tokenize=True, return_dict=False, add_generation_prompt=False, enable_thinking=False,
+        )
+        return len(ids)
+
+    def candidate(self, tokens, dropped: int) -> str:
+        """The article without so many tokens of its middle."""
+        spans = [slice(0, len(tokens))]
+        if dropped:
+            kept = len(tokens) - dropped
+            head = min(kept, max(1, int(kept * self.head_share)))
+            spans = [slice(0, head), slice(head + dropped, len(tokens))]
+        ends = [self.tokenizer.decode(tokens[s], skip_special_tokens=True) for s in spans]
+        return self.marker.join(e.strip() for e in ends).strip() if dropped else ends[0]
+
+    def fit(self, article: str | None, answer: list[Message] | None):
+        """(article, length, truncated), Nones where there is nothing to fit or no room."""
+        if article is None or answer is None:
+            return None, None, None
+        whole = self.measure(article, answer)
+        if whole <= self.limit:
+            return article, whole, False
+        tokens = self.tokenizer.encode(article, add_special_tokens=False)
+        fixed = self.measure("", answer) + self.marker_tokens
+        exact = re.search(r"\s\s", article) is not None
+
+        def fits(dropped: int) -> bool:
+            over = fixed + len(tokens) - dropped - self.limit
+            if not exact and abs(over) > SLACK:
+                return over < 0
+            return self.measure(self.candidate(tokens, dropped), answer) <= self.limit
+
+        # The fewest tokens dropped, as bisection finds them.
+        dropped = bisect.bisect_left(range(len(tokens) + 1), True, key=fits)
+        if dropped > len(tokens):
+            return None, None, True
+        text = self.candidate(tokens, dropped)
+        return text, self.measure(text, answer), True
 
 
 def tokenize_batches(
@@ -102,38 +127,31 @@ def tokenize_batches(
     """Fit every article with a subword tokenizer: ``fit_article`` for units that
     only the tokenizer can count.
 
-    The messages are built by Spark around an empty article; each task only puts
-    its candidate texts in between.
+    Only the article and the completion reach Python; batches are bounded by rows and, by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, by bytes. A row without article or
+    completion has ``overflow`` set and null results.
     """
     rows = df.select(
         F.col(key).alias("row_id"),
         F.col(content).alias("text"),
-        build_prompt(F.lit(""), template).alias("prompt"),
         build_completion(F.col(summary), F.col(label)).alias("completion"),
     )
-    prefix, suffix = template.user_prefix, template.user_suffix
+    shape = (template.system, template.user_prefix, template.user_suffix, max_length, head_share, marker)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = tokenizer_factory()
+        fitter = _Fitter(tokenizer_factory(), *shape)
         for batch in batches:
-            fitted = []
-            for text, prompt, completion in zip(batch["text"], batch["prompt"], batch["completion"]):
-                system, answer = _messages(prompt)[:1], _messages(completion)
-
-                def around(article, system=system, answer=answer):
-                    user = {"role": "user", "content": prefix + article + suffix}
-                    return [*system, user, *answer]
-
-                fitted.append(
-                    _fit_with_tokenizer(tokenizer, text, around, max_length, head_share, marker)
-                )
+            fitted = [
+                fitter.fit(text, _messages(cell))
+                for text, cell in zip(batch["text"], batch["completion"])
+            ]
             article, length, truncated = zip(*fitted) if fitted else ((), (), ())
             yield pd.DataFrame(
                 {
                     "row_id": batch["row_id"],
                     "article": article,
                     "sequence_length": pd.array(length, dtype="Int32"),
-                    "was_truncated": truncated,
+                    "was_truncated": pd.array(truncated, dtype="boolean"),
                     "overflow": [a is None for a in article],
                 }
             )

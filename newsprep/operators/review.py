@@ -28,14 +28,30 @@ def thresholds_table(df: DataFrame, minimums: Mapping[str, float | None]) -> Dat
 
 
 def threshold_gate(
-    metrics: DataFrame, thresholds: DataFrame, *, by: Sequence[str] = (), strict: bool = False
+    metrics: DataFrame,
+    thresholds: DataFrame,
+    *,
+    by: Sequence[str] = (),
+    strict: bool = False,
+    gated: Sequence[str] = GATED_METRICS,
 ) -> DataFrame:
     """The verdict per gated metric: ``passed``, ``failed`` or ``skipped``.
 
     A value equal to the minimum passes; a metric whose threshold is not set is
-    skipped. ``strict`` raises on the first failure.
+    skipped. A threshold that is set for a metric the report lacks is failed. ``strict``
+    raises on the first failure, in the order of ``gated``.
+
+    Thresholds are a handful. With ``by`` columns each group of the report is held against
+    all of them.
     """
-    judged = metrics.join(thresholds, "metric").select(
+    wanted = thresholds
+    if by:
+        each = [
+            F.struct(F.lit(r["metric"]).alias("metric"), F.lit(r["minimum"]).cast("double").alias("minimum"))
+            for r in thresholds.select("metric", "minimum").collect()
+        ]
+        wanted = metrics.select(*by).distinct().select(*by, F.inline(F.array(*each)))
+    judged = wanted.join(metrics, [*by, "metric"], "left").select(
         *by,
         "metric",
         "value",
@@ -46,9 +62,12 @@ def threshold_gate(
         .alias("verdict"),
     )
     if strict:
-        for row in judged.filter("verdict = 'failed'").take(1):
+        order = F.array_position(F.array(*map(F.lit, gated)), F.col("metric"))
+        failed = judged.filter("verdict = 'failed'")
+        for row in failed.orderBy(F.when(order > 0, order).asc_nulls_last(), "metric").take(1):
+            value = "missing" if row["value"] is None else f"{row['value']:.4f}"
             raise ThresholdFailed(
-                f"{row['metric']} is {row['value']:.4f}, required is {row['minimum']:.4f}"
+                f"{row['metric']} is {value}, required is {row['minimum']:.4f}"
             )
     return judged
 
@@ -65,17 +84,19 @@ def release_readiness(
 
     Every gated threshold must be set for the run, a missing metric counts as -1,
     and all failures are listed. ``metrics`` and ``thresholds`` are long tables
-    (run, metric, value) and (run, metric, minimum).
+    (run, metric, value) and (run, metric, minimum). Of several values of a metric the
+    least counts, of several thresholds the greatest: no evaluation is left out that
+    speaks against a release.
     """
-    def wide(table: DataFrame, value: str, prefix: str) -> DataFrame:
+    def wide(table: DataFrame, value: str, prefix: str, pick) -> DataFrame:
         return table.groupBy(run).agg(
-            *(F.max(F.when(F.col("metric") == m, F.col(value))).alias(prefix + m) for m in gated)
+            *(pick(F.when(F.col("metric") == m, F.col(value))).alias(prefix + m) for m in gated)
         )
 
     joined = (
         runs.select(run)
-        .join(wide(metrics, "value", "_v_"), run, "left")
-        .join(wide(thresholds, "minimum", "_m_"), run, "left")
+        .join(wide(metrics, "value", "_v_", F.min), run, "left")
+        .join(wide(thresholds, "minimum", "_m_", F.max), run, "left")
     )
 
     def failure(metric: str) -> Column:

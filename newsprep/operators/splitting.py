@@ -17,7 +17,13 @@ from newsprep.functions.fixed_values import (
     SENTIMENT,
 )
 from newsprep.functions.text import literal_none
-from newsprep.operators.ordering import boundary_keys, positions, within_boundary
+from newsprep.operators.ordering import (
+    boundary_keys,
+    positions,
+    upto,
+    whole_boundary,
+    within_boundary,
+)
 
 _WHOLE = "*"
 
@@ -40,15 +46,9 @@ def seeded_sample(
         raise ValueError("n must not be negative")
     if n == 0:
         return df
-    keys = df.select(F.lit(_WHOLE).alias("stratum"), key)
-    quotas = keys.groupBy("stratum").agg(
-        F.least(F.count(F.lit(1)), F.lit(n)).alias("quota")
-    )
-    cut = boundary_keys(keys, quotas, key=key, seed=seed)
-    marked = within_boundary(
-        df, cut, stratum=F.lit(_WHOLE), key=key, seed=seed, flag="_sampled"
-    )
-    return marked.filter("_sampled").drop("_sampled")
+    cut = whole_boundary(df.select(key), F.lit(n), key=key, seed=seed)
+    # Without an n-th row there is no boundary, and every row is taken.
+    return df.filter(F.coalesce(upto(cut, key=key, seed=seed), F.lit(True)))
 
 
 def _test_rows(rows: Column, test_size: Decimal) -> Column:
@@ -105,6 +105,7 @@ def stratified_split(
     key: str = "row_id",
     stratify: bool = True,
     split: str = "split",
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Add a ``train``/``test`` column that keeps the class shares.
 
@@ -114,11 +115,18 @@ def stratified_split(
     outside ``labels`` form one class, so what is broadcast has at most
     ``len(labels) + 1`` rows.
 
-    Key and label are read three times. Give a table or the output of
-    ``materialize``, not a plan that is costly to repeat.
+    Key and label are read three times, from ``keys`` if given: a narrow written table of
+    the same rows. Otherwise give a table or the output of ``materialize``, not a plan
+    that is costly to repeat.
     """
     known = F.when(F.col(label).isin(*labels), F.col(label)).otherwise(F.lit("~other"))
-    keys = df.select(known.alias("label"), key)
+    keys = (df if keys is None else keys).select(known.alias("label"), key)
+    if not stratify:
+        share = check_test_size(test_size)
+        quota = keys.agg(_test_rows(F.count(F.lit(1)), share).cast("bigint")).scalar()
+        cut = whole_boundary(keys, quota, key=key, seed=seed)
+        is_test = F.coalesce(upto(cut, key=key, seed=seed), F.lit(False))
+        return df.withColumn(split, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     class_rows = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     quotas = split_quotas(class_rows, test_size=test_size, stratify=stratify)
     strata = keys.join(F.broadcast(quotas.select("label", "stratum")), "label")
@@ -141,6 +149,33 @@ def random_split(df: DataFrame, **options) -> DataFrame:
     return stratified_split(df, stratify=False, **options)
 
 
+def temporal_holdout(
+    df: DataFrame, *, date: str, test_size: float = DEFAULT_TEST_SIZE, split: str = "split"
+) -> DataFrame:
+    """Split by time: the newest whole days are the test rows.
+
+    They are the fewest days that hold at least the test share of the dated rows, so no
+    day is in both splits and nothing in ``train`` is newer than anything in ``test``. A
+    table of one day is all test. A row without a date has a null split.
+
+    Days are counted, the counts added up from the newest, and the cut is compared where
+    the rows are read: nothing but one row per day is shuffled.
+    """
+    share = check_test_size(test_size)
+    days = df.filter(F.col(date).isNotNull()).groupBy(F.col(date).alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # One row per day, in one task.
+    newest = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = days.withColumn("upto", F.sum("n").over(newest)).filter(
+        F.col("upto") >= days.agg(_test_rows(F.sum("n"), share).cast("bigint")).scalar()
+    )
+    cut = reached.agg(F.max("day")).scalar()
+    return df.withColumn(
+        split, F.when(F.col(date) >= cut, F.lit("test")).when(F.col(date) < cut, F.lit("train"))
+    )
+
+
 def split_class_counts(
     df: DataFrame, *, split: str = "split", label: str = SENTIMENT
 ) -> DataFrame:

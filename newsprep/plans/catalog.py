@@ -107,15 +107,36 @@ def run_registry(spark, sf_dir):
     )
 
 
+@query
+def manifest_files(spark, sf_dir):
+    """A manifest file for each lineage, in a folder of its name, of its first run."""
+    path = new_path(spark, "manifest-files")
+    manifests = derived.manifests(spark, sf_dir)
+    first = derived.run_pairs(manifests).select(F.col("saved_run").alias("run_id")).distinct()
+    named = manifests.join(first, "run_id").withColumn("folder", F.col("lineage"))
+    named.drop("run_id", "lineage").repartition("folder").write.partitionBy("folder").json(path)
+    found = runs.read_manifests(spark, f"{path}/*/*.json")
+    return found.select(
+        F.replace("run_id", F.lit("folder="), F.lit("")).alias("lineage"),
+        "status",
+        "created_at",
+        F.col("dataset.train_rows").alias("train_rows"),
+        F.col("command_arguments")["limit"].alias("row_limit"),
+    )
+
+
 @query
 def resume_unscored(spark, sf_dir):
-    """Copies were not scored in the first round and remain to be done."""
+    """Two runs over the same rows: one has scored all, the other all but the copies,
+    which remain to be done."""
     cleaned = _cleaned(spark, sf_dir)
     path = new_path(spark, "scored")
-    first = dedup.dedup_keep_first(cleaned).select("row_id")
-    predictions.write_predictions(first, path)
-    stored = predictions.read_predictions(spark, path, "row_id bigint")
-    return predictions.resume_unscored(cleaned, stored).select("row_id", "Sentiment")
+    records = materialize(_records(spark, sf_dir), "records")
+    predictions.append_predictions(records, path, "first")
+    single = dedup.dedup_keep_first(cleaned).select(F.col("row_id").alias("index"))
+    predictions.append_predictions(records.join(single, "index", "left_semi"), path, "second")
+    stored = predictions.read_runs(spark, path)
+    return predictions.resume_unscored(cleaned, stored, run="second").select("row_id", "Sentiment")
 
 
 # Cleaning, duplicates, splitting
@@ -201,6 +222,12 @@ def random_split(spark, sf_dir):
     return _split(spark, sf_dir, stratify=False).select("row_id", "split")
 
 
+@query
+def temporal_holdout(spark, sf_dir):
+    cleaned = _cleaned(spark, sf_dir)
+    return splitting.temporal_holdout(cleaned, date="news_date").select("row_id", "split")
+
+
 @query
 def split_class_counts(spark, sf_dir):
     return splitting.split_class_counts(_split(spark, sf_dir))
@@ -337,6 +364,17 @@ def format_stats(spark, sf_dir):
     return formatting.format_stats(formatting.format_sft(_split(spark, sf_dir)))
 
 
+@query
+def length_distribution(spark, sf_dir):
+    prompt = chat.build_prompt(F.col("Content"))
+    completion = chat.build_completion(F.col("Summary"), F.col("Sentiment"))
+    measured = _cleaned(spark, sf_dir).select(
+        chat.rendered_length(prompt, completion, "char").alias("chars")
+    )
+    spread = formatting.length_distribution(measured, length="chars", max_length=1024)
+    return _round(spread, "p50", "p90", "p99", "over_budget")
+
+
 @query
 def tokenize_batches(spark, sf_dir):
     return plugins.tokenize_batches(
@@ -423,6 +461,37 @@ def rouge_l(spark, sf_dir):
     )
 
 
+def _turns(spark, sf_dir):
+    """Turns of conversations and the ones that follow, whole."""
+    turns = derived.table(spark, sf_dir, "conversations")
+    later = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
+    return turns.join(later, ["conv_id", "turn"])
+
+
+@query
+def rouge_l_turns(spark, sf_dir):
+    scored = evaluation.with_rouge(_turns(spark, sf_dir), reference="text", prediction="reply")
+    return _round(
+        scored.select("conv_id", "turn", "rouge.precision", "rouge.recall", "rouge.f1"),
+        "precision", "recall", "f1",
+    )
+
+
+@query
+def parse_turns(spark, sf_dir):
+    """Answers with a whole turn as the summary and the rest of it as a label."""
+    answer = F.concat(
+        F.lit("Well. <summary>"), "text", F.lit("</SUMMARY>\n<Sentiment> "), "role",
+        F.lit(" </sentiment><SENTIMENT>\tnegative\n</SENTIMENT>"), "reply",
+    )
+    parsed = evaluation.parse_responses(
+        _turns(spark, sf_dir).select(
+            F.struct("conv_id", "turn").alias("row_id"), answer.alias("raw_response")
+        )
+    )
+    return parsed.select("row_id.conv_id", "row_id.turn", "predicted_summary", "predicted_sentiment")
+
+
 @query
 def prediction_records(spark, sf_dir):
     return _round(_records(spark, sf_dir), "rouge_l_f1")
@@ -615,7 +684,7 @@ def class_drift(spark, sf_dir):
             _cleaned(spark, sf_dir), _parsed(spark, sf_dir),
             expected_label="Sentiment", observed_label="predicted_sentiment",
         ),
-        "total_variation", "stability_index",
+        "total_variation", "stability_index", "unlabelled_share",
     )
 
 
@@ -633,24 +702,45 @@ def _plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def _all_windows(spark, stream: DataFrame, name: str) -> DataFrame:
+    path = new_path(spark, name)
+    return monitors.complete_table(stream, table=f"{path}/table", progress=f"{path}/progress")
+
+
 @query
 def stream_parse_failures(spark, sf_dir):
-    result = monitors.run_to_table(
-        monitors.parse_failures(_log_stream(spark, sf_dir)), "parse-failures"
+    result = _all_windows(
+        spark, monitors.parse_failures(_log_stream(spark, sf_dir)), "parse-failures"
     )
     return _round(_plain_time(result, "window_start"), "failure_rate")
 
 
 @query
 def stream_class_mix(spark, sf_dir):
-    mix = monitors.run_to_table(monitors.class_mix(_log_stream(spark, sf_dir)), "class-mix")
+    mix = _all_windows(spark, monitors.class_mix(_log_stream(spark, sf_dir)), "class-mix")
     return _round(_plain_time(monitors.class_shares(mix), "window_start"), "share")
 
 
 @query
 def stream_latency(spark, sf_dir):
-    result = monitors.run_to_table(monitors.latency(_log_stream(spark, sf_dir)), "latency")
-    return _round(_plain_time(result, "window_start"), "mean_ms").drop("p95_ms")
+    """The approximate percentile is compared with the exact one, in rank: the share of
+    the window's rows below it and up to it must enclose 95 %, within a thousandth."""
+    result = _all_windows(spark, monitors.latency(_log_stream(spark, sf_dir)), "latency")
+    log = derived.log_columns(derived.table(spark, sf_dir, "events")).select(
+        F.date_trunc("day", "event_time").alias("window_start"), "latency_ms"
+    )
+    ranks = log.join(result.select("window_start", "p95_ms"), "window_start").groupBy(
+        "window_start"
+    ).agg(
+        F.count_if(F.col("latency_ms") < F.col("p95_ms")).alias("below"),
+        F.count_if(F.col("latency_ms") <= F.col("p95_ms")).alias("upto"),
+    )
+    slack = F.greatest(F.lit(1), F.ceil(F.col("rows") / 1000))
+    right = (F.col("below") - slack <= F.col("rows") * 0.95) & (
+        F.col("upto") + slack >= F.col("rows") * 0.95
+    )
+    checked = result.join(ranks, "window_start").withColumn("p95_in_rank", right)
+    return _round(_plain_time(checked, "window_start"), "mean_ms").drop("p95_ms", "below", "upto")
 
 
 @query
@@ -659,13 +749,16 @@ def stream_dedup(spark, sf_dir):
     twice = _log_stream(spark, sf_dir).withColumn(
         "copy", F.explode(F.array(F.lit(1), F.lit(2)))
     ).drop("copy")
-    once = monitors.run_to_table(monitors.drop_replays(twice), "replays")
+    path = new_path(spark, "replays")
+    once = monitors.append_to_table(
+        monitors.drop_replays(twice), table=f"{path}/table", progress=f"{path}/progress"
+    )
     return _plain_time(once, "event_time")
 
 
 @query
 def stream_sessions(spark, sf_dir):
-    bursts = monitors.run_to_table(
-        monitors.failure_bursts(_log_stream(spark, sf_dir)), "failure-bursts"
+    bursts = _all_windows(
+        spark, monitors.failure_bursts(_log_stream(spark, sf_dir)), "failure-bursts"
     )
     return _plain_time(bursts, "burst_start", "burst_end")

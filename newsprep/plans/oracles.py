@@ -489,8 +489,7 @@ log AS (
     CASE event_type WHEN 'view' THEN 'Neutral' WHEN 'click' THEN 'Positive'
       WHEN 'purchase' THEN 'Positive' WHEN 'signup' THEN 'Negative' END AS predicted
   FROM events
-),
-bound AS (SELECT max(event_time) - INTERVAL 1 HOUR AS watermark FROM log)
+)
 """
 
 LONG_REPORT = """
@@ -560,6 +559,14 @@ latest AS (
 )
 """,
     ),
+    "manifest_files": twin(
+        """
+SELECT lineage, status, created_at, train_rows,
+  CASE WHEN priority = '2-HIGH' THEN '0' ELSE '5000' END AS row_limit
+FROM manifests WHERE run_id IN (SELECT saved_run FROM pairs)
+""",
+        MANIFESTS,
+    ),
     "resume_unscored": twin(
         """
 SELECT row_id, "Sentiment" FROM cleaned
@@ -614,6 +621,17 @@ SELECT row_id, CAST(dense_rank() OVER (ORDER BY "Sentiment") - 1 AS INTEGER) AS
     "random_split": twin(
         "SELECT row_id, split FROM split", ARTICLES, CLEANED, kept(), split(stratify=False)
     ),
+    "temporal_holdout": twin(
+        """
+SELECT row_id, CASE WHEN news_date >= (
+    SELECT max(news_date) FROM (
+      SELECT news_date, sum(count(*)) OVER (ORDER BY news_date DESC) AS held
+      FROM cleaned GROUP BY news_date)
+    WHERE held >= (SELECT ceil(count(*) * 0.1) FROM cleaned)) THEN 'test' ELSE 'train' END AS split
+FROM cleaned
+""",
+        ARTICLES, CLEANED,
+    ),
     "split_class_counts": twin(
         """
 SELECT split, "Sentiment", count(*) AS rows,
@@ -727,6 +745,17 @@ SELECT split, count(*) AS rows, count(*) FILTER (was_truncated) AS truncated,
 """,
         *SPLIT, fit_char("split"), FORMATTED, recursive=True,
     ),
+    "length_distribution": twin(
+        f"""
+SELECT count(*) AS rows, round(quantile_cont(chars, 0.5), 6) AS p50,
+  round(quantile_cont(chars, 0.9), 6) AS p90, round(quantile_cont(chars, 0.99), 6) AS p99,
+  CAST(max(chars) AS INTEGER) AS max_length,
+  round(count(*) FILTER (chars > 1024) / count(*), 6) AS over_budget
+FROM (SELECT length({rendered('"Content"', completion('"Summary"', '"Sentiment"'))}) AS chars
+  FROM cleaned)
+""",
+        ARTICLES, CLEANED,
+    ),
     "tokenize_batches": twin(
         "SELECT row_id, article, sequence_length, was_truncated, overflow FROM fitted",
         ARTICLES, fit_char("articles"), recursive=True,
@@ -791,6 +820,27 @@ summaries AS (
 """,
         rouge("summaries"),
     ),
+    "rouge_l_turns": twin(
+        """
+SELECT row_id.conv_id AS conv_id, row_id.turn AS turn, round(precision, 6) AS precision,
+  round(recall, 6) AS recall, round(f1, 6) AS f1 FROM scored
+""",
+        """
+neighbours AS (
+  SELECT {'conv_id': a.conv_id, 'turn': a.turn} AS row_id, a.text AS reference,
+    b.text AS prediction
+  FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
+)
+""",
+        rouge("neighbours"),
+    ),
+    "parse_turns": twin(
+        f"""
+SELECT a.conv_id, a.turn, {strip("a.text")} AS predicted_summary,
+  'Negative' AS predicted_sentiment
+FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
+"""
+    ),
     "prediction_records": twin(
         """
 SELECT index, reference_sentiment, predicted_sentiment, reference_summary, predicted_summary,
@@ -973,12 +1023,12 @@ totals AS (
 SELECT run_id, fingerprint, saved, current FROM (
   SELECT m.run_id, 'train_fingerprint' AS fingerprint, s.train_fingerprint AS saved,
     m.train_fingerprint AS current
-  FROM manifests m LEFT JOIN pairs p ON p.current_run = m.run_id
-  LEFT JOIN manifests s ON s.run_id = p.saved_run
+  FROM manifests m JOIN pairs p ON p.current_run = m.run_id
+  JOIN manifests s ON s.run_id = p.saved_run
   UNION ALL
   SELECT m.run_id, 'eval_fingerprint', s.eval_fingerprint, m.eval_fingerprint
-  FROM manifests m LEFT JOIN pairs p ON p.current_run = m.run_id
-  LEFT JOIN manifests s ON s.run_id = p.saved_run)
+  FROM manifests m JOIN pairs p ON p.current_run = m.run_id
+  JOIN manifests s ON s.run_id = p.saved_run)
 WHERE saved IS DISTINCT FROM current
 """,
         MANIFESTS,
@@ -1022,6 +1072,7 @@ SELECT status, count(*) AS runs, count(seconds) AS ended, min(seconds) AS min_se
     "class_drift": twin(
         """
 SELECT any_value(en) AS expected_rows, any_value(onn) AS observed_rows,
+  (SELECT round(1 - count(predicted_sentiment) / count(*), 6) FROM parsed) AS unlabelled_share,
   round(sum(abs(p - q)) / 2, 6) AS total_variation,
   round(sum((greatest(q, 0.0001) - greatest(p, 0.0001))
     * ln(greatest(q, 0.0001) / greatest(p, 0.0001))), 6) AS stability_index
@@ -1041,7 +1092,6 @@ SELECT date_trunc('day', event_time) AS window_start, count(*) AS rows,
   count(*) - count(predicted) AS failures,
   round((count(*) - count(predicted)) / count(*), 6) AS failure_rate
 FROM log GROUP BY 1
-HAVING date_trunc('day', event_time) + INTERVAL 1 DAY <= (SELECT watermark FROM bound)
 """,
         LOG,
     ),
@@ -1053,16 +1103,15 @@ FROM (
   SELECT window_start, coalesce(predicted, 'UNPARSED') AS predicted, count(*) AS rows
   FROM (SELECT predicted, unnest([date_trunc('day', event_time),
     date_trunc('day', event_time) - INTERVAL 1 DAY]) AS window_start FROM log)
-  WHERE window_start + INTERVAL 2 DAY <= (SELECT watermark FROM bound) GROUP BY ALL)
+  GROUP BY ALL)
 """,
         LOG,
     ),
     "stream_latency": twin(
         """
 SELECT date_trunc('day', event_time) AS window_start, count(latency_ms) AS rows,
-  round(avg(latency_ms), 6) AS mean_ms, max(latency_ms) AS max_ms
+  round(avg(latency_ms), 6) AS mean_ms, max(latency_ms) AS max_ms, true AS p95_in_rank
 FROM log GROUP BY 1
-HAVING date_trunc('day', event_time) + INTERVAL 1 DAY <= (SELECT watermark FROM bound)
 """,
         LOG,
     ),
@@ -1078,8 +1127,6 @@ FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_time, key)
       PARTITION BY user_id ORDER BY event_time, key) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts
     FROM log WHERE predicted IS NULL))
 GROUP BY user_id, burst
-HAVING max(event_time) + INTERVAL 6 HOUR <= (
-  SELECT max(event_time) - INTERVAL 1 HOUR FROM log WHERE predicted IS NULL)
 """,
         LOG,
     ),

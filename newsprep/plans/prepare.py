@@ -38,7 +38,7 @@ def split_assignment(
     stratify: bool = True,
 ) -> DataFrame:
     """(key, label, split) of every row that is kept; the label is null outside
-    the domain.
+    the domain. If all rows are kept, it is the cleaned table with ``split``.
 
     All decisions are taken on key, label and digest. That narrow table is
     written once, because counting and ranking read it several times; the texts
@@ -58,11 +58,13 @@ def split_assignment(
         )
     kept = numbered.select(key, F.get(names, F.col("number") - 1).alias(label))
     keys = materialize(kept, "keys")
-    sampled = seeded_sample(keys, n=limit, seed=seed, key=key)
-    return stratified_split(
-        sampled, label=label, labels=labels, test_size=test_size, seed=seed, key=key,
-        stratify=stratify,
+    split = dict(
+        label=label, labels=labels, test_size=test_size, seed=seed, key=key, stratify=stratify
     )
+    if not deduplicate and limit == 0:
+        # Every row stays, so the texts can be marked where they are.
+        return stratified_split(cleaned, keys=keys, **split)
+    return stratified_split(seeded_sample(keys, n=limit, seed=seed, key=key), **split)
 
 
 def load_and_split(
@@ -76,6 +78,8 @@ def load_and_split(
     """
     cleaned = clean_articles(articles, null_policy=null_policy, strict=strict)
     assignment = split_assignment(cleaned, **options)
+    if not options.get("deduplicate", True) and options.get("limit", DEFAULT_LIMIT) == 0:
+        return assignment
     key = options.get("key", "row_id")
     return cleaned.join(assignment.select(key, "split"), key)
 

@@ -16,9 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A join whose build side turns out small per partition need not sort the
-    # article texts of the other side.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    # A join whose build side turns out small per partition need not sort the article
+    # texts of the other side. Compared with compressed bytes; the hash table can't spill.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Sessions are merged before the exchange, so a very busy user sends few rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -33,10 +33,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as the session names it.
+    """The folder every executor sees, as the session names it in spark.checkpoint.dir.
 
-    Only a local session without one gets a temporary folder, which goes with
-    the process; on a cluster a missing setting is an error.
+    Only a local session without one, as in a first try, gets a temporary folder, which
+    goes with the process; on a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -53,22 +53,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a table that arrives in fewer pieces than cores.
+def scratch_folder(spark: SparkSession) -> str:
+    """What this application writes for itself lies below one folder."""
+    name = f"newsprep-{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark).rstrip('/')}/{name}"
 
-    A small table is often one file with one row group, and then a single task
-    would do all the work on its texts. A table with enough pieces is returned
-    as it is, so nothing large is ever moved.
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all intermediate tables and stream folders of this application.
+
+    Results are lazy and read these tables, so this comes after the last use of any.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -44,8 +44,28 @@ def read_articles(
     spark: SparkSession, path: str, *, format: str = "parquet", options: dict | None = None,
     **columns,
 ) -> DataFrame:
-    """``load_articles`` over a parquet, JSON Lines or CSV path."""
+    """``load_articles`` over a parquet, JSON Lines or CSV path.
+
+    JSON and CSV are read as strings by a given schema: the contract's columns, the key
+    and what to keep. So nothing is read twice to guess types; a CSV file's header must
+    name these columns, in any order and among others.
+    """
     if format not in ("parquet", "json", "csv"):
         raise ValueError(f"unsupported format: {format!r}")
-    source = spark.read.format(format).options(**(options or {})).load(path)
-    return load_articles(source, **columns)
+    reader = spark.read.format(format).options(**(options or {}))
+    if format == "parquet":
+        return load_articles(reader.load(path), **columns)
+    key = columns.get("row_id", "row_id")
+    if not isinstance(key, str):
+        raise ValueError("name the key column of a JSON or CSV path")
+    needed = (key, *columns.get("required", REQUIRED_COLUMNS), *columns.get("keep", ()))
+    if format == "csv":
+        # Columns of a CSV file are found by place; its first line says which is where.
+        header = {"header": True, **(options or {})}
+        names = spark.read.options(**header).csv(path, enforceSchema=False).columns
+        schema_contract(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names)),
+                        required=needed, strict=True)
+        reader = spark.read.format("csv").options(**header)
+        needed = names
+    schema = ", ".join(f"`{c}` string" for c in dict.fromkeys(needed))
+    return load_articles(reader.schema(schema).load(path), **columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RECORD_SCHEMA = (
     "index bigint, reference_sentiment string, predicted_sentiment string, "
@@ -21,6 +22,32 @@ def read_predictions(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def resume_unscored(examples: DataFrame, stored: DataFrame, *, key: str = "row_id") -> DataFrame:
-    """Examples that have no stored prediction yet."""
-    return examples.join(stored.select(key), key, "left_anti")
+def append_predictions(records: DataFrame, path: str, run: str) -> None:
+    """Add the records of a run, in a folder of the run's name.
+
+    Jobs of different runs, and one that resumes a run, write side by side.
+    """
+    keyed = records.withColumn("run_id", F.lit(run))
+    writer = keyed.write.mode("append").partitionBy("run_id")
+    writer.option("ignoreNullFields", "false").json(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all runs of a folder, with ``run_id``."""
+    return read_predictions(spark, path, f"{RECORD_SCHEMA}, run_id string")
+
+
+def resume_unscored(
+    examples: DataFrame,
+    stored: DataFrame,
+    *,
+    key: str = "row_id",
+    stored_key: str = "index",
+    run: str | None = None,
+) -> DataFrame:
+    """Examples that have no stored prediction yet, of the given run if there is one.
+
+    A row that only another run has scored is unscored. Records name a row by ``index``.
+    """
+    own = stored if run is None else stored.filter(F.col("run_id") == run)
+    return examples.join(own.select(F.col(stored_key).alias(key)), key, "left_anti")

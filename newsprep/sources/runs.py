@@ -34,9 +34,10 @@ def read_manifests(
 ) -> DataFrame:
     """Many manifests, either one indented document per file or JSON Lines.
 
-    Argument values of any JSON type are read as strings.
+    Argument values of any JSON type are read as strings. A malformed document is an error.
     """
-    manifests = spark.read.schema(schema).json(path, multiLine=one_per_file)
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    manifests = reader.json(path, multiLine=one_per_file)
     if not one_per_file:
         return manifests
     return manifests.withColumn("run_id", F.coalesce("run_id", run_of_path(F.input_file_name())))
@@ -45,49 +46,78 @@ def read_manifests(
 def read_job_statuses(
     spark: SparkSession, path: str, *, one_per_file: bool = True, schema: str = JOB_STATUS_SCHEMA
 ) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=one_per_file)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=one_per_file)
 
 
-def utc_timestamp(text: Column) -> Column:
-    """An ISO-8601 string with zone as a time-zone-free UTC timestamp."""
-    return F.to_utc_timestamp(
-        F.to_timestamp(text), F.current_timezone()
-    ).cast("timestamp_ntz")
+def micros(text: Column) -> Column:
+    """An ISO-8601 time, with ``Z`` or an offset, in microseconds; null if it is none."""
+    return F.unix_micros(F.try_to_timestamp(text))
+
+
+def _latest(rows: DataFrame, first: Column, second: Column, *counts: Column) -> DataFrame:
+    """The rows of each run_id with the greatest first time, then second number.
+
+    The two make one decimal of fixed size, so the reduction is a hash aggregation, and
+    the winners are joined back by it: a run with very many rows neither gathers in one
+    task nor is sorted. counts are aggregates that ride along. Equal winners all stay.
+    """
+    wide = "decimal(38,0)"
+    scale = F.lit("1" + "0" * 18).cast("decimal(19,0)")
+    order = (
+        F.greatest(F.coalesce(first, F.lit(0)), F.lit(0)).cast("decimal(18,0)") * scale
+        + F.greatest(F.coalesce(second, F.lit(0)), F.lit(0)).cast("decimal(18,0)")
+    ).cast(wide)
+    ranked = rows.withColumn("order", order)
+    best = ranked.groupBy("run_id").agg(F.max("order").alias("order"), *counts)
+    return ranked.join(best, ["run_id", "order"])
 
 
 def run_registry(manifests: DataFrame, jobs: DataFrame) -> DataFrame:
-    """One row per run: its manifest and the latest job status of its output folder.
+    """One row per run: its latest manifest and the latest job status of its output folder.
 
-    ``jobs`` carries a ``run_id``. Both sides are reduced to the latest entry per
-    run before they meet; the reduction combines on the map side, so a run with
-    very many entries does not gather in one task.
+    ``jobs`` carries a ``run_id``. A manifest is as late as the latest time in it, that of
+    a resumption included; times are compared as times, whatever their zone is written
+    like. ``ended_at`` belongs to the state: a run that goes on after a resumption has not
+    ended. Of entries of one time one is chosen by the greatest values.
     """
-    latest_manifest = manifests.groupBy("run_id").agg(
-        F.max_by(
-            F.struct(
-                "status", "created_at", "completed_at", "failed_at",
-                F.col("dataset.train_rows").alias("train_rows"),
-                F.col("dataset.eval_rows").alias("eval_rows"),
-                F.size("resume_events").alias("resumes"),
-            ),
-            F.struct(F.coalesce("completed_at", "failed_at", "created_at"), "status"),
-        ).alias("m")
+    resumed = F.array_max(
+        F.transform(F.col("resume_events"), lambda e: micros(e["resumed_at"]))
+    )
+    times = [micros(F.col(c)) for c in ("created_at", "training_started_at", "completed_at", "failed_at")]
+    latest = F.greatest(*times, resumed)
+    if "training_started_at" not in manifests.columns:
+        latest = F.greatest(*times[:1], *times[2:], resumed)
+    slim = manifests.select(
+        "run_id",
+        "status",
+        "created_at",
+        F.when(F.col("status") == "completed", F.col("completed_at"))
+        .when(F.col("status") == "failed", F.col("failed_at"))
+        .alias("ended_at"),
+        F.col("dataset.train_rows").alias("train_rows"),
+        F.col("dataset.eval_rows").alias("eval_rows"),
+        F.greatest(F.size("resume_events"), F.lit(0)).alias("resumes"),
+        latest.alias("at"),
+    )
+    fields = ("status", "created_at", "ended_at", "train_rows", "eval_rows", "resumes")
+    latest_manifest = (
+        _latest(slim, F.col("at"), F.col("resumes"))
+        .groupBy("run_id", "order")
+        .agg(F.max(F.struct(*fields)).alias("m"))
     )
-    latest_job = jobs.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("attempts"),
-        F.max_by(
-            F.struct("status", "exit_code", "started_at", "finished_at", "host"),
-            F.struct("started_at", "finished_at", "exit_code", "host"),
-        ).alias("j"),
+    latest_job = (
+        _latest(
+            jobs.select("run_id", "status", "exit_code", "started_at", "finished_at", "host"),
+            micros(F.col("started_at")),
+            micros(F.col("finished_at")),
+            F.count(F.lit(1)).alias("attempts"),
+        )
+        .groupBy("run_id", "order", "attempts")
+        .agg(F.max(F.struct("exit_code", "host", "status")).alias("j"))
     )
     return latest_manifest.join(latest_job, "run_id", "left").select(
         "run_id",
-        F.col("m.status").alias("status"),
-        F.col("m.created_at").alias("created_at"),
-        F.coalesce("m.completed_at", "m.failed_at").alias("ended_at"),
-        F.col("m.train_rows").alias("train_rows"),
-        F.col("m.eval_rows").alias("eval_rows"),
-        F.greatest(F.col("m.resumes"), F.lit(0)).alias("resumes"),
+        *(f"m.{c}" for c in fields),
         F.coalesce("attempts", F.lit(0)).alias("job_attempts"),
         F.col("j.status").alias("job_status"),
         F.col("j.exit_code").alias("job_exit_code"),

@@ -2,8 +2,9 @@
 
 A log row has ``event_time`` (timestamp), ``key``, ``user_id``, ``latency_ms`` and
 ``predicted`` (null where the answer did not parse). Every monitor takes and
-returns a DataFrame and works on batches and streams alike; on a stream a window
-is final once the watermark has passed its end.
+returns a DataFrame and works on batches and streams alike. ``append_to_table`` keeps
+what is final, that is, windows whose end the watermark has passed; ``complete_table``
+shows all windows as they stand.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsprep.functions.fixed_values import UNPARSED
-from newsprep.session import new_path
 
 
 def read_log_stream(
@@ -91,21 +91,40 @@ def failure_bursts(log: DataFrame, *, gap: str = "6 hours", delay: str = "1 hour
     )
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything available into a parquet table and read that.
+def append_to_table(stream: DataFrame, *, table: str, progress: str) -> DataFrame:
+    """Process what is available; a row is appended once it is final.
 
-    Output and progress lie in the shared folder, and the file sink commits each
-    batch once, so a restarted query neither loses nor repeats rows. Nothing
-    passes through the driver.
+    Give the same two paths again to go on: progress holds what has been read, the open
+    windows and the keys seen, and the file sink commits each batch once, so a query that
+    is stopped and started neither loses nor repeats rows. Windows that the watermark
+    hasn't passed stay open in progress until later rows close them.
     """
-    spark = stream.sparkSession
-    path = new_path(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", f"{path}/progress")
+        .option("checkpointLocation", progress)
         .trigger(availableNow=True)
-        .start(f"{path}/table")
+        .start(table)
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/table")
+    return stream.sparkSession.read.schema(stream.schema).parquet(table)
+
+
+def complete_table(stream: DataFrame, *, table: str, progress: str) -> DataFrame:
+    """Process what is available; the table then holds every window, the open ones too.
+
+    For aggregations. Each batch replaces the table by the whole result, so a batch that
+    runs again does no harm. Give the same two paths again to go on.
+    """
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(table)
+
+    query = (
+        stream.writeStream.foreachBatch(replace)
+        .outputMode("complete")
+        .option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(table)

@@ -243,3 +243,32 @@ def test_unsupported_words(spark):
     assert (rows[0]["summary_words"], rows[0]["unsupported_words"]) == (4, 1)
     assert rows[0]["unsupported_share"] == 0.25 and rows[1]["unsupported_share"] == 0.0
     assert re.fullmatch(r"\w+", "profit")
+
+
+def test_a_threshold_without_its_metric_fails(spark):
+    metrics = spark.createDataFrame([("sentiment_accuracy", 0.9)], "metric string, value double")
+    wanted = review.thresholds_table(
+        metrics, {"mean_rouge_l_f1": 0.9, "sentiment_parse_rate": 0.5, "sentiment_accuracy": 0.95}
+    )
+    verdicts = {r["metric"]: r["verdict"] for r in review.threshold_gate(metrics, wanted).collect()}
+    assert set(verdicts.values()) == {"failed"} and len(verdicts) == 3
+    with pytest.raises(review.ThresholdFailed, match="sentiment_accuracy is 0.9000"):
+        review.threshold_gate(metrics, wanted, strict=True)
+    lacking = review.thresholds_table(metrics, {"mean_rouge_l_f1": 0.1, "sentiment_accuracy": 0.1})
+    with pytest.raises(review.ThresholdFailed, match="mean_rouge_l_f1 is missing"):
+        review.threshold_gate(metrics, lacking, strict=True)
+    runs = metrics.selectExpr("'a' AS run", "*").union(metrics.selectExpr("'b' AS run", "*"))
+    assert review.threshold_gate(runs, lacking, by=["run"]).count() == 4
+
+
+def test_the_worst_evaluation_decides_a_release(spark):
+    runs = spark.createDataFrame([("r",)], "run_id string")
+    values = [("r", "sentiment_accuracy", 0.2), ("r", "sentiment_accuracy", 0.9),
+              ("r", "sentiment_parse_rate", 1.0), ("r", "mean_rouge_l_f1", 1.0)]
+    metrics = spark.createDataFrame(values, "run_id string, metric string, value double")
+    minimums = spark.createDataFrame(
+        [("r", m, 0.8) for m in ("sentiment_accuracy", "sentiment_parse_rate", "mean_rouge_l_f1")],
+        "run_id string, metric string, minimum double",
+    )
+    row = review.release_readiness(runs, metrics, minimums).collect()[0]
+    assert not row["ready"] and row["failed_metrics"] == ["sentiment_accuracy"]

@@ -31,40 +31,51 @@ class WordTokenizer:
         return "".join(f"<{m['role']}>{m['content']}</{m['role']}>" for m in messages).split()
 
 
-def expected(tokenizer, article, summary, label, limit):
-    """The search in its textbook form."""
-    template = chat.PromptTemplate()
-    answer = f"<SUMMARY>\n{summary.strip()}\n</SUMMARY>\n<SENTIMENT>\n{label}\n</SENTIMENT>"
+class Chat:
+    """Measures whole chats of one tokenizer around an article."""
 
-    def length(text):
-        return len(tokenizer.apply_chat_template([
+    def __init__(self, tokenizer, limit):
+        self.tokenizer, self.limit, self.calls = tokenizer, limit, 0
+
+    def length(self, text, summary, label):
+        template = chat.PromptTemplate()
+        answer = f"<SUMMARY>\n{summary.strip()}\n</SUMMARY>\n<SENTIMENT>\n{label}\n</SENTIMENT>"
+        return len(self.tokenizer.apply_chat_template([
             {"role": "system", "content": template.system},
             {"role": "user", "content": template.user_prefix + text + template.user_suffix},
             {"role": "assistant", "content": answer},
         ]))
 
-    if length(article) <= limit:
-        return article, length(article), False, False
-    tokens = tokenizer.encode(article)
-    found = (None, None, True, True)
-    a, b = 0, len(tokens)
-    while a <= b:
-        k = (a + b) // 2
-        if k >= len(tokens):
-            text = tokenizer.decode(tokens)
-        elif k == 0:
-            text = TRUNCATION_MARKER.strip()
-        else:
-            h = max(1, int(k * 0.75))
-            t = k - h
-            end = tokenizer.decode(tokens[-t:]).strip() if t else ""
-            text = (tokenizer.decode(tokens[:h]).strip() + TRUNCATION_MARKER + end).strip()
-        if length(text) <= limit:
-            found = (text, length(text), True, False)
-            a = k + 1
-        else:
-            b = k - 1
-    return found
+    def possible(self, article):
+        """What each number of kept tokens gives, all of them."""
+        tokens = self.tokenizer.encode(article)
+        texts = {0: TRUNCATION_MARKER.strip(), len(tokens): article}
+        for kept in range(1, len(tokens)):
+            ends = [tokens[: max(1, kept * 3 // 4)]]
+            ends.append(tokens[len(tokens) - (kept - len(ends[0])) :])
+            ends = [self.tokenizer.decode(e).strip() for e in ends]
+            texts[kept] = TRUNCATION_MARKER.join(ends).strip()
+        return texts
+
+    def check(self, article, summary, label, row):
+        """A result is untouched text that fits, or a cut that fits and whose next larger
+        cut doesn't; or nothing, where not even the marker fits."""
+        whole = self.length(article, summary, label)
+        result = row["article"], row["sequence_length"], row["was_truncated"], row["overflow"]
+        if whole <= self.limit:
+            assert result == (article, whole, False, False)
+            return
+        texts = self.possible(article)
+        lengths = {k: self.length(t, summary, label) for k, t in texts.items()}
+        if row["overflow"]:
+            assert result == (None, None, True, True)
+            assert lengths[0] > self.limit
+            return
+        assert row["was_truncated"] and row["sequence_length"] <= self.limit
+        assert TRUNCATION_MARKER.strip() in row["article"]
+        kept = [k for k, t in texts.items() if t == row["article"]]
+        assert kept and row["sequence_length"] == lengths[kept[0]]
+        assert max(kept) + 1 == len(texts) or lengths[max(kept) + 1] > self.limit
 
 
 def make_articles():
@@ -84,12 +95,10 @@ def test_fit_matches_search(spark, unit, limit):
     data = [(i, a, f" summary {i} ", "Neutral") for i, a in enumerate(make_articles())]
     df = spark.createDataFrame(data, "row_id int, Content string, Summary string, Sentiment string")
     fitted = formatting.fit_labelled(df.repartition(5), unit=unit, max_length=limit)
-    tokenizer = CharacterTokenizer() if unit == "char" else WordTokenizer()
+    judge = Chat(CharacterTokenizer() if unit == "char" else WordTokenizer(), limit)
     seen = set()
     for r in fitted.collect():
-        wanted = expected(tokenizer, r["Content"], r["Summary"], r["Sentiment"], limit)
-        got = (r["article"], r["sequence_length"], r["was_truncated"], r["overflow"])
-        assert got == wanted, (unit, limit, r["row_id"])
+        judge.check(r["Content"], r["Summary"], r["Sentiment"], r)
         seen.add((r["was_truncated"], r["overflow"]))
     assert (True, False) in seen and (False, False) in seen
 
@@ -136,9 +145,47 @@ def test_tokenizer_plugin(spark, factory, limit):
     data = [(i, a, "summary", "Positive") for i, a in enumerate(make_articles())]
     df = spark.createDataFrame(data, "row_id int, Content string, Summary string, Sentiment string")
     fitted = plugins.tokenize_batches(df, tokenizer_factory=factory, max_length=limit)
-    tokenizer, texts = factory(), {i: a for i, a, *_ in data}
+    judge, texts = Chat(factory(), limit), {i: a for i, a, *_ in data}
     rows = fitted.collect()
     assert len(rows) == len(data)
     for r in rows:
-        wanted = expected(tokenizer, texts[r["row_id"]], "summary", "Positive", limit)
-        assert (r["article"], r["sequence_length"], r["was_truncated"], r["overflow"]) == wanted
+        judge.check(texts[r["row_id"]], "summary", "Positive", r)
+
+
+def test_rows_without_text_are_set_aside(spark):
+    data = [(1, None, "s", "Positive"), (2, "text", None, "Positive"), (3, "text", "s", None), (4, "a", "s", "Positive")]
+    df = spark.createDataFrame(data, "row_id int, Content string, Summary string, Sentiment string")
+    for fitted in (
+        formatting.fit_labelled(df),
+        plugins.tokenize_batches(df, tokenizer_factory=CharacterTokenizer),
+    ):
+        rows = {r["row_id"]: r for r in fitted.collect()}
+        assert [i for i in rows if rows[i]["overflow"]] == [1, 2, 3]
+        assert all(rows[i]["article"] is None and rows[i]["sequence_length"] is None for i in (1, 2, 3))
+    assert [r["row_id"] for r in formatting.format_sft(df.withColumn("split", F.lit("train"))).collect()] == [4]
+
+
+class Counting(WordTokenizer):
+    def __init__(self):
+        self.measured = self.encoded = 0
+
+    def encode(self, text, add_special_tokens=False):
+        self.encoded += 1
+        return super().encode(text)
+
+    def apply_chat_template(self, messages, **options):
+        self.measured += 1
+        return super().apply_chat_template(messages)
+
+
+def test_few_calls_of_the_tokenizer():
+    """A long article is encoded once and rendered near the budget only."""
+    template, tokenizer = chat.PromptTemplate(), Counting()
+    shape = template.system, template.user_prefix, template.user_suffix, 4000, 0.75, TRUNCATION_MARKER
+    fitter = plugins._Fitter(tokenizer, *shape)
+    tokenizer.encoded = 0
+    article = " ".join(f"word{i}" for i in range(60_000))
+    text, length, truncated = fitter.fit(article, [{"role": "assistant", "content": "s"}])
+    assert truncated and length == 4000 and text.startswith("word0 ") and text.endswith("word59999")
+    # A bisection over 60,000 sizes alone would render 16 times.
+    assert tokenizer.encoded == 1 and tokenizer.measured <= 10

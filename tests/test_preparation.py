@@ -188,3 +188,51 @@ def test_split_plan_moves_no_texts(spark):
         if "Exchange hashpartitioning" in line or "Exchange SinglePartition" in line:
             assert "Content" not in line
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_plans_without_nested_loops_or_text_joins(spark, tmp_path):
+    """One stratum is no join, and without removal of copies the texts stay in place."""
+    from newsprep.plans import prepare
+
+    rows = [(i, f"text {i}", "s", ("Positive", "Negative", "Neutral")[i % 3]) for i in range(90)]
+    spark.createDataFrame(
+        rows, "row_id bigint, Content string, Summary string, Sentiment string"
+    ).write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    for result, size in (
+        (splitting.seeded_sample(df, n=10), 10),
+        (splitting.random_split(df, test_size=0.1).filter("split = 'test'"), 9),
+        (splitting.eval_subset(df, max_examples=7), 7),
+        (prepare.load_and_split(df, deduplicate=False, limit=0, test_size=0.1).filter("split = 'test'"), 9),
+    ):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "REPARTITION" not in plan
+        assert result.count() == size
+    assert "Join [row_id" not in plan
+
+
+def test_temporal_holdout(spark):
+    days = ["2024-01-01"] * 5 + ["2024-01-02"] * 3 + ["2024-01-03"] * 1 + [None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "row_id int, day string")
+    found = splitting.temporal_holdout(df, date="day", test_size=0.2)
+    splits = {r["row_id"]: r["split"] for r in found.collect()}
+    assert splits == {i: "train" for i in range(5)} | {i: "test" for i in range(5, 9)} | {9: None}
+    assert splitting.temporal_holdout(df.limit(0), date="day").count() == 0
+    one = splitting.temporal_holdout(df.filter("day = '2024-01-01'"), date="day")
+    assert {r["split"] for r in one.collect()} == {"test"}
+
+
+def test_length_distribution(spark):
+    from newsprep.operators.formatting import length_distribution
+
+    df = spark.createDataFrame([(i,) for i in [10] * 98 + [20, 2000, None]], "n int")
+    row = length_distribution(df, length="n", max_length=1024).collect()[0]
+    assert (row["rows"], row["p50"], row["max_length"], row["over_budget"]) == (100, 10.0, 2000, 0.01)
+    assert length_distribution(df.limit(0), length="n", max_length=9).collect()[0]["rows"] is None
+
+
+def test_all_offenders_are_counted(spark):
+    rows = [(f"bad{i:03d}",) for i in range(120)] + [("bad000",), ("Positive",)]
+    df = spark.createDataFrame(rows, "Sentiment string")
+    with pytest.raises(ValueError, match="120 labels outside the domain on 121 rows.* 70 more, not shown"):
+        cleaning.require_known_labels(df)

@@ -1,7 +1,9 @@
 """Files, run tables, plug-ins and streams."""
 
 import json
+import os
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -68,10 +70,29 @@ def test_predictions_keep_nulls_and_text(spark, tmp_path):
     assert json.loads(line)["predicted_sentiment"] is None and len(json.loads(line)) == 8
 
 
-def test_resume(spark):
-    have = spark.createDataFrame([(1,), (2,)], "row_id int")
-    want = spark.createDataFrame([(1,), (2,), (3,)], "row_id int")
-    assert [r["row_id"] for r in predictions.resume_unscored(want, have).collect()] == [3]
+def test_resume_looks_at_one_run(spark, tmp_path):
+    def records(*ids):
+        rows = [(i, "Positive", None, "r", None, 0.5, False, "x") for i in ids]
+        return spark.createDataFrame(rows, predictions.RECORD_SCHEMA)
+
+    path, want = str(tmp_path / "scored"), spark.createDataFrame([(1,), (2,), (3,)], "row_id int")
+    predictions.append_predictions(records(1, 2, 3), path, "one")
+    predictions.append_predictions(records(1), path, "two")
+    predictions.append_predictions(records(2), path, "two")
+    stored = predictions.read_runs(spark, path)
+    assert stored.count() == 5 and set(stored.columns) >= {"index", "raw_response", "run_id"}
+    left = predictions.resume_unscored
+    assert [r["row_id"] for r in left(want, stored, run="two").collect()] == [3]
+    assert left(want, stored, run="one").count() == 0 and left(want, stored, run="new").count() == 3
+    assert left(want, stored).count() == 0
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("extra,Sentiment,row_id,Summary,Content\n7,Positive,1,s,text\n")
+    loaded = articles.read_articles(spark, str(tmp_path / "a.csv"), format="csv")
+    assert [tuple(r) for r in loaded.collect()] == [("1", "text", "s", "Positive")]
+    with pytest.raises(ValueError, match="missing"):
+        articles.read_articles(spark, str(tmp_path / "a.csv"), format="csv", keep=("source",))
 
 
 MANIFEST = {
@@ -108,6 +129,44 @@ def test_registry(spark, manifests):
     assert (two["status"], two["job_attempts"], two["job_status"]) == ("failed", 0, None)
 
 
+def test_latest_manifest_counts_resumptions(spark):
+    """Completed, resumed, failed: the last time in a manifest decides, whatever its zone."""
+    done, failed = "2024-01-02T00:00:00Z", "2024-01-04T01:00:00+02:00"
+    resumed = [("2024-01-03T23:30:00+00:00", "latest")]
+    rows = [
+        ("a", "completed", "2024-01-01T00:00:00Z", done, None, None),
+        ("a", "training", "2024-01-01T00:00:00Z", done, None, [("2024-01-03T00:00:00Z", "latest")]),
+        ("b", "completed", "2024-01-01T00:00:00Z", done, None, None),
+        ("b", "training", "2024-01-01T00:00:00Z", done, None, resumed),
+        ("b", "failed", "2024-01-01T00:00:00Z", done, failed, [("2024-01-03T00:00:00Z", "x")]),
+        ("c", "failed", "not a time", None, None, None),
+        ("c", "failed", "not a time", None, None, None),
+    ]
+    manifests = spark.createDataFrame(
+        rows, "run_id string, status string, created_at string, completed_at string, "
+        "failed_at string, resume_events array<struct<resumed_at: string, checkpoint: string>>",
+    ).withColumn("dataset", F.struct(F.lit(1).alias("train_rows"), F.lit(1).alias("eval_rows")))
+    jobs = spark.createDataFrame([], "run_id string, " + runs.JOB_STATUS_SCHEMA)
+    registry = runs.run_registry(manifests, jobs)
+    found = {r["run_id"]: (r["status"], r["ended_at"], r["resumes"]) for r in registry.collect()}
+    # 01:00 at +02:00 is before 23:30 at UTC.
+    assert found == {"a": ("training", None, 1), "b": ("training", None, 1), "c": ("failed", None, 0)}
+
+
+def test_registry_is_reduced_before_it_is_sorted(spark, manifests):
+    jobs = spark.createDataFrame([], "run_id string, " + runs.JOB_STATUS_SCHEMA)
+    plan = runs.run_registry(manifests, jobs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(keys=[run_id") >= 4
+    assert "SortAggregate(keys=[run_id#" not in plan.replace("order#", "run_id,order#").split(
+        "Exchange hashpartitioning(run_id")[-1]
+
+
+def test_a_malformed_manifest_is_an_error(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"status": "completed", "dataset": 7, ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        runs.read_manifests(spark, str(tmp_path / "m.json")).collect()
+
+
 def test_config_diff_ignores_what_was_not_saved(spark, manifests):
     pairs = spark.createDataFrame(
         [("one", "two"), ("two", "one")], "saved_run string, current_run string")
@@ -125,8 +184,9 @@ def test_fingerprints_absent_counts_as_changed(spark, manifests):
     drift = governance.fingerprint_drift(flat.filter("run_id = 'one'"), saved).collect()
     assert [(r["fingerprint"], r["saved"], r["current"]) for r in drift] == [
         ("eval_fingerprint", None, "e1")]
-    unknown = governance.fingerprint_drift(flat.filter("run_id = 'one'"), saved.limit(0))
-    assert unknown.count() == 2
+    # A first run has no saved one to differ from.
+    first = governance.fingerprint_drift(flat.filter("run_id = 'one'"), saved.limit(0))
+    assert first.count() == 0
 
 
 def test_status_summary(spark, manifests):
@@ -171,7 +231,17 @@ def test_drift(spark):
     assert same["total_variation"] == 0 and same["stability_index"] == 0
     right = spark.createDataFrame([("Positive",)] * 5 + [("Negative",)] * 5, "l string")
     row = governance.class_drift(left, right, expected_label="l", observed_label="l").collect()[0]
-    assert row["total_variation"] == pytest.approx(0.3)
+    assert row["total_variation"] == pytest.approx(0.3) and row["unlabelled_share"] == 0
+
+
+@pytest.mark.parametrize("observed", [[(None,)] * 4, []])
+def test_drift_without_labels(spark, observed):
+    left = spark.createDataFrame([("Positive",)] * 8, "l string")
+    right = spark.createDataFrame(observed, "l string")
+    row = governance.class_drift(left, right, expected_label="l", observed_label="l").collect()[0]
+    assert (row["expected_rows"], row["observed_rows"]) == (8, 0)
+    assert row["total_variation"] is None and row["stability_index"] is None
+    assert row["unlabelled_share"] == (1.0 if observed else None)
 
 
 class Echo:
@@ -206,9 +276,6 @@ def log_files(spark, tmp_path, batches):
         rows = rows.withColumn("event_time", F.to_timestamp("t")).select(
             "event_time", "key", "user_id", "latency_ms", "predicted")
         rows.coalesce(1).write.mode("append").parquet(str(folder))
-        import os
-        import time
-
         newest = max(folder.glob("part-*"), key=lambda p: p.stat().st_mtime)
         os.utime(newest, (time.time() - 100 + i, time.time() - 100 + i))
     return monitors.read_log_stream(spark, str(folder), LOG, files_per_trigger=1)
@@ -222,23 +289,61 @@ def test_late_rows_are_not_counted(spark, tmp_path):
         [("2024-01-01 11:00:00", 3, 1, 5.0, None)],
         [("2024-01-06 00:00:00", 5, 1, 5.0, "Neutral")],
     ])
-    result = monitors.run_to_table(monitors.parse_failures(stream), "late").orderBy("window_start")
+    result = appended(monitors.parse_failures(stream), tmp_path).orderBy("window_start")
     assert [(r["rows"], r["failures"]) for r in result.collect()] == [(1, 1), (2, 1)]
 
 
+def appended(stream, tmp_path):
+    paths = {k: str(tmp_path / "out" / k) for k in ("table", "progress")}
+    return monitors.append_to_table(stream, **paths)
+
+
+def test_a_stopped_stream_goes_on(spark, tmp_path):
+    """Two runs over the same paths: no row is lost or counted twice, open windows stay."""
+    first = [("2024-01-01 10:00:00", 1, 1, 5.0, None), ("2024-01-01 11:00:00", 2, 1, 5.0, "Neutral")]
+    stream = log_files(spark, tmp_path, [first])
+    assert appended(monitors.parse_failures(stream), tmp_path).count() == 0
+    later = [("2024-01-01 12:00:00", 3, 1, 5.0, None), ("2024-01-03 00:00:00", 4, 1, 5.0, None)]
+    stream = log_files(spark, tmp_path, [later])
+    rows = appended(monitors.parse_failures(stream), tmp_path).collect()
+    assert [(r["rows"], r["failures"]) for r in rows] == [(3, 2)]
+
+
+def test_a_stopped_stream_remembers_keys(spark, tmp_path):
+    stream = log_files(spark, tmp_path, [[("2024-01-01 10:00:00", 1, 1, 5.0, "Neutral")]])
+    assert appended(monitors.drop_replays(stream), tmp_path).count() == 1
+    again = [("2024-01-01 10:00:00", 1, 1, 5.0, "Neutral"), ("2024-01-01 10:10:00", 2, 1, 5.0, None)]
+    stream = log_files(spark, tmp_path, [again])
+    once = appended(monitors.drop_replays(stream), tmp_path)
+    assert sorted(r["key"] for r in once.collect()) == [1, 2]
+
+
+def test_a_complete_table_has_open_windows(spark, tmp_path):
+    paths = {k: str(tmp_path / "all" / k) for k in ("table", "progress")}
+    stream = log_files(spark, tmp_path, [[("2024-01-01 10:00:00", 1, 1, 5.0, None)]])
+    assert monitors.complete_table(monitors.parse_failures(stream), **paths).count() == 1
+    stream = log_files(spark, tmp_path, [[("2024-01-01 11:00:00", 2, 1, 5.0, None)]])
+    rows = monitors.complete_table(monitors.parse_failures(stream), **paths).collect()
+    assert [(r["rows"], r["failures"]) for r in rows] == [(2, 2)]
+    stream = log_files(spark, tmp_path, [[("2024-01-01 13:00:00", 5, 1, 5.0, None)]])
+    bursts = {k: str(tmp_path / "bursts" / k) for k in ("table", "progress")}
+    rows = monitors.complete_table(monitors.failure_bursts(stream), **bursts).collect()
+    assert [r["failures"] for r in rows] == [3]
+
+
 def test_replays_within_the_watermark_are_dropped(spark, tmp_path):
     stream = log_files(spark, tmp_path, [
         [("2024-01-01 10:00:00", 1, 1, 5.0, "Neutral"), ("2024-01-01 10:00:01", 1, 1, 5.0, "Neutral")],
         [("2024-01-01 10:10:00", 1, 1, 5.0, "Neutral"), ("2024-01-01 10:20:00", 2, 1, 5.0, None)],
     ])
-    once = monitors.run_to_table(monitors.drop_replays(stream), "replays")
+    once = appended(monitors.drop_replays(stream), tmp_path)
     assert sorted(r["key"] for r in once.collect()) == [1, 2]
 
 
 def test_latency_percentile(spark, tmp_path):
     rows = [(f"2024-01-01 10:00:{i:02d}", i, 1, float(i), "Neutral") for i in range(60)]
     stream = log_files(spark, tmp_path, [rows, [("2024-01-09 00:00:00", 99, 1, 0.0, None)]])
-    row = monitors.run_to_table(monitors.latency(stream), "latency").collect()[0]
+    row = appended(monitors.latency(stream), tmp_path).collect()[0]
     assert (row["rows"], row["max_ms"]) == (60, 59.0) and 55 <= row["p95_ms"] <= 58
 
 
@@ -249,7 +354,11 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert table.count() == 5 and all(named in f for f in table.inputFiles())
 
 
-def test_spread_leaves_many_pieces_alone(spark):
-    many = spark.range(0, 100, 1, 32)
-    assert session.spread(many, "id") is many
-    assert session.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
+def test_clean_up_removes_what_the_application_wrote(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    os.makedirs(f"{shared}/other", exist_ok=True)
+    session.materialize(spark.range(5), "ids").count()
+    scratch = session.scratch_folder(spark)
+    assert os.listdir(scratch)
+    session.clean_up(spark)
+    assert not os.path.exists(scratch) and os.path.exists(f"{shared}/other")
