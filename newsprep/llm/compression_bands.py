@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,19 +13,24 @@ from pyspark.sql import types as T
 from newsprep.llm.shared import utf8
 
 #: (texts below so many bytes, least ratio, greatest ratio). A short text compresses
-#: little whatever it says, a long one shares more with itself, so both limits rise.
+#: little whatever it says, a long one shares more with itself, so both limits rise. The
+#: upper ones lie about a tenth above what prose in Latin script reaches at its length;
+#: scripts of two or three bytes a letter compress further and take bands of their own.
 BANDS = (
     (256, 0.85, 2.4),
-    (512, 1.05, 2.5),
-    (1024, 1.2, 2.7),
-    (4096, 1.35, 3.0),
-    (16384, 1.45, 3.4),
-    (65536, 1.5, 4.0),
-    (None, 1.5, 5.0),
+    (512, 1.05, 2.2),
+    (1024, 1.2, 2.35),
+    (2048, 1.3, 2.4),
+    (4096, 1.35, 2.45),
+    (8192, 1.4, 2.55),
+    (16384, 1.45, 2.65),
+    (32768, 1.5, 2.75),
+    (65536, 1.5, 2.9),
+    (None, 1.5, 3.2),
 )
 #: Bytes of a fixed chunk, its band, and the share of chunks that may lie outside it. A
 #: last chunk of under half the size belongs to the one before.
-CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.3, 4.0), 0.25
+CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.35, 2.6), 0.25
 LEVEL = 3
 
 SPACE, SYMBOLS = b"\t\n\x0b\x0c\r ", b"#*$%&|<>"
@@ -81,7 +86,7 @@ def chunks(text: bytes) -> Iterator[memoryview]:
         yield view[start:]
 
 
-def judge(text: bytes, press: zstandard.ZstdCompressor) -> tuple:
+def judge(text: bytes, press: zstandard.ZstdCompressor, bands: Sequence[tuple] = BANDS) -> tuple:
     """The values of VERDICT for one text."""
     words = text.split()
     word_bytes = b"".join(words)
@@ -91,7 +96,7 @@ def judge(text: bytes, press: zstandard.ZstdCompressor) -> tuple:
     repeats = repeated_words(words)
     failed = len(words) < 50 or 100 * repeats > 50 * len(words)
     whole = len(text) / len(press.compress(text)) if text else 0.0
-    low, high = next((a, b) for most, a, b in BANDS if most is None or len(text) < most)
+    low, high = next((a, b) for most, a, b in bands if most is None or len(text) < most)
     parts = outside = 0
     for part in chunks(text) if len(text) > CHUNK else ():
         parts += 1
@@ -113,6 +118,7 @@ def compression_verdicts(
     keep: list[str] | None = None,
     text_col: str = "text",
     prefix: str = "",
+    bands: Sequence[tuple] = BANDS,
 ) -> DataFrame:
     """docs (its columns keep, all by default) with the columns of VERDICT, prefixed.
 
@@ -137,7 +143,7 @@ def compression_verdicts(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
-            rows = [judge(text, press) for text in utf8(batch.column(at))]
+            rows = [judge(text, press, bands) for text in utf8(batch.column(at))]
             values = list(zip(*rows, strict=True)) or [()] * len(types)
             new = [pa.array(v, t) for v, t in zip(values, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], [*keep, *labels])
