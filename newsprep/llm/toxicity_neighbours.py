@@ -21,6 +21,8 @@ EXAMPLES, TERMS = 4000, 6000
 #: A term enters the vocabulary if the log odds of toxic against other examples are this
 #: many standard errors above 0, and its odds so many times larger.
 LEAST_Z, LEAST_ODDS = 3.5, 3.0
+#: Numbers that the calibration sees of a text.
+FEATURES = 5
 #: Characters of a part of a word, neighbours that vote, examples in a block.
 GRAM, NEIGHBOURS, BLOCK = 5, 25, 64
 #: Distinct words whose terms a worker remembers before it starts afresh.
@@ -125,17 +127,24 @@ class Index:
         return found, score[found]
 
 
-def features(index: Index, counts: Counter, k: int, without: int = -1) -> tuple[list, list]:
-    """What calibration sees of a text with terms, and the neighbours that voted."""
+def features(
+    index: Index, counts: Counter, n_words: int, k: int, without: int = -1
+) -> tuple[list, list]:
+    """What calibration sees of a text with terms, and the neighbours that voted.
+
+    A term in many words is weaker evidence than one in few, which the cosine doesn't see.
+    """
     ids, w = index.weights(counts)
     near, cosine = index.nearest(ids, w, k, without)
     if not len(near):
-        return [0.0, 0.0, 0.0], []
+        return [0.0] * FEATURES, []
     # Nearer neighbours weigh more: a cosine of 1 counts four times one of 1/2.
     vote = float((cosine**2 * index.label[near]).sum() / (cosine**2).sum())
-    strength = float(np.log1p(sum(counts.values())))
+    hits = sum(counts.values())
+    strength, density = math.log1p(hits), math.log((hits + 0.5) / (n_words + 1))
     evidence = list(zip(index.doc_id[near].tolist(), cosine.tolist(), strict=True))
-    return [vote, vote * float(cosine[:5].mean()), vote * strength], evidence
+    near_vote = vote * float(cosine[:5].mean())
+    return [vote, near_vote, vote * strength, vote * density, density], evidence
 
 
 @dataclass
@@ -146,10 +155,10 @@ class Scorer:
     empty: float
     k: int
 
-    def score(self, counts: Counter) -> tuple[float, list]:
+    def score(self, counts: Counter, n_words: int) -> tuple[float, list]:
         if self.index is None or not counts:
             return self.empty, []
-        x, evidence = features(self.index, counts, self.k)
+        x, evidence = features(self.index, counts, n_words, self.k)
         if not evidence:
             return self.empty, []
         z = self.weights[0] + float(np.dot(self.weights[1:], x))
@@ -184,24 +193,24 @@ def _vocabulary(examples: DataFrame, n: dict[int, int]) -> list[tuple[str, int]]
 
 
 def _counter(terms: dict[str, int]):
-    """A function from a text to the counts of its terms' numbers."""
+    """A function from a text to the counts of its terms' numbers, and its words."""
     memo: dict[bytes, tuple[int, ...]] = {}
 
-    def count(text: bytes) -> Counter:
-        counts: Counter = Counter()
-        for word in words_of(text):
+    def count(text: bytes) -> tuple[Counter, int]:
+        counts, words = Counter(), words_of(text)
+        for word in words:
             if (held := memo.get(word)) is None:
                 held = memo[word] = tuple(terms[t] for t in terms_of(word) if t in terms)
             for t in held:
                 counts[t] += 1
         if len(memo) > REMEMBERED:
             memo.clear()
-        return counts
+        return counts, len(words)
 
     return count
 
 
-def _postings(rows: list[tuple[int, int, Counter]], terms: list[tuple[str, int]]) -> Index:
+def _postings(rows: list[tuple[int, int, Counter, int]], terms: list[tuple[str, int]]) -> Index:
     idf = np.log((1 + len(rows)) / (1 + np.array([n for _, n in terms], float))) + 1
     index = Index(
         {t: i for i, (t, _) in enumerate(terms)}, idf,
@@ -209,7 +218,7 @@ def _postings(rows: list[tuple[int, int, Counter]], terms: list[tuple[str, int]]
         *([np.zeros(0)] * 6),
     )
     term, example, weight = [], [], []
-    for i, (_, _, counts) in enumerate(rows):
+    for i, (_, _, counts, _) in enumerate(rows):
         ids, w = index.weights(counts)
         term.append(ids)
         weight.append(w)
@@ -240,37 +249,44 @@ def fit(examples: DataFrame, k: int = NEIGHBOURS) -> Scorer:
         n[r["toxic"]], weight[r["toxic"]] = r["n"], r["t"] / r["n"]
     base = n[1] * weight[1] / max(1.0, n[0] * weight[0] + n[1] * weight[1])
     if not (n[0] and n[1]) or not (terms := _vocabulary(examples, n)):
-        return Scorer(None, np.zeros(4), base, k)
+        return Scorer(None, np.zeros(1 + FEATURES), base, k)
     numbers = {t: i for i, (t, _) in enumerate(terms)}
-    out = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("terms", pa.list_(pa.int32()))])
+    out = pa.schema(
+        [("doc_id", pa.int64()), ("toxic", pa.int32()), ("terms", pa.list_(pa.int32()))]
+        + [("n_words", pa.int64())]
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(numbers)
         for batch in batches:
-            found = [list(count(t).elements()) for t in utf8(batch.column(2))]
-            columns = [batch.column(0), batch.column(1), pa.array(found, out.field(2).type)]
+            found = [count(t) for t in utf8(batch.column(2))]
+            terms_in = pa.array([list(c.elements()) for c, _ in found], out.field(2).type)
+            words = pa.array([n for _, n in found], pa.int64())
+            columns = [batch.column(0), batch.column(1), terms_in, words]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     selected = examples.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text")
-    rows = selected.mapInArrow(run, "doc_id bigint, toxic int, terms array<int>").collect()
-    rows = sorted((r["doc_id"], r["toxic"], Counter(r["terms"])) for r in rows if r["terms"])
+    schema = "doc_id bigint, toxic int, terms array<int>, n_words bigint"
+    rows = [r for r in selected.mapInArrow(run, schema).collect() if r["terms"]]
+    rows.sort(key=lambda r: r["doc_id"])
+    rows = [(r["doc_id"], r["toxic"], Counter(r["terms"]), r["n_words"]) for r in rows]
     without = {label: n[label] - sum(r[1] == label for r in rows) for label in (0, 1)}
     held = [(without[label] + 0.5) * weight[label] for label in (0, 1)]
     empty = held[1] / sum(held)
     index = _postings(rows, terms)
     x, y, s = [], [], []
-    for i, (_, label, counts) in enumerate(rows):
-        values, evidence = features(index, counts, k, without=i)
+    for i, (_, label, counts, n_words) in enumerate(rows):
+        values, evidence = features(index, counts, n_words, k, without=i)
         if evidence:
             x.append([1.0, *values])
             y.append(label)
             s.append(weight[label])
-    x, y, s = np.array(x).reshape(-1, 4), np.array(y, float), np.array(s)
-    weights, penalty = np.zeros(4), np.diag([1e-6, 1e-2, 1e-2, 1e-2])
+    x, y, s = np.array(x).reshape(-1, 1 + FEATURES), np.array(y, float), np.array(s)
+    weights, penalty = np.zeros(1 + FEATURES), np.diag([1e-6] + [1e-2] * FEATURES)
     for _ in range(40 if len(x) else 0):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         slope = x.T @ (s * (y - p)) - penalty @ weights
-        curve = (x * (s * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(4)
+        curve = (x * (s * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(1 + FEATURES)
         step = np.linalg.solve(curve, slope)
         weights += step / max(1.0, np.abs(step).max() / 5)
     return Scorer(index, weights, empty, k)
@@ -323,7 +339,7 @@ def score_toxicity(
         for batch in batches:
             scores, near = [], []
             for text in utf8(batch.column(2)):
-                score, found = own.score(count(text))
+                score, found = own.score(*count(text))
                 scores.append(score)
                 near.append([{"doc_id": d, "cosine": c} for d, c in found[:evidence]])
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64())]

@@ -50,15 +50,15 @@ def small_index(seed=1, n=700, terms=40):
     rows = []
     for i in range(n):
         picked = rng.choices(range(terms), weights=range(1, terms + 1), k=rng.randrange(1, 9))
-        rows.append((i, rng.randrange(2), Counter(picked)))
-    rows[10:20] = [(i, 1, rows[10][2]) for i in range(10, 20)]
+        rows.append((i, rng.randrange(2), Counter(picked), 50))
+    rows[10:20] = [(i, 1, rows[10][2], 50) for i in range(10, 20)]
     return N._postings(rows, names), rows
 
 
 def test_block_max_search_is_exact():
     index, rows = small_index()
     dense = np.zeros((len(rows), len(index.idf)))
-    for i, (_, _, counts) in enumerate(rows):
+    for i, (_, _, counts, _) in enumerate(rows):
         ids, w = index.weights(counts)
         dense[i, ids] = w
     for i in range(0, len(rows), 7):
