@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -10,28 +12,59 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsprep.llm.shared import prefix_sums, utf8, written
+from newsprep.llm.shared import LOWER, prefix_sums, utf8, written
 
 #: Words whose ids a worker remembers before it starts afresh; about 200 bytes each.
 REMEMBERED = 1_500_000
 
 
+PUNCTUATION = string.punctuation.encode()
+#: A pattern by which a run of signs after a letter or digit is always a piece of its own.
+SIGNS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _takes_apart(path: str) -> bool:
+    """Whether a tokenizer file lowers letters and cuts by SIGNS_APART."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    lowers = {"type": "Lowercase"} in steps
+    return lowers and cuts[0].get("pattern") == {"Regex": SIGNS_APART}
+
+
 class WordIds(dict):
     """The ids of a word between ASCII white space, as little-endian 32-bit numbers.
 
     A tokenizer that drops white space gives a text the ids of its words in a row, so a
-    word is encoded once for as long as it is remembered.
+    word is encoded once for as long as it is remembered. If the file's pattern allows it,
+    a word with signs at its end, or with capitals, is put together from what is known of
+    the word without them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        added = tokenizer.get_added_tokens_decoder().values()
+        # With any of these characters a word may hold a special string.
+        self.special = [t.content.encode()[:1] for t in added]
+        self.apart = _takes_apart(path)
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        self[word] = value = b"".join(i.to_bytes(4, "little") for i in ids)
+        value = None
+        if self.apart and not any(c in word for c in self.special):
+            stem = word.rstrip(PUNCTUATION)
+            if stem != word and stem[-1:].isalnum():
+                value = self[stem] + self[word[len(stem) :]]
+            elif (lower := word.translate(LOWER)) != word:
+                value = self[lower]
+        if value is None:
+            ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            value = b"".join(i.to_bytes(4, "little") for i in ids)
+        self[word] = value
         return value
 
 

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from newsprep.llm.packing import binary_pieces, pack_binary
+from newsprep.llm.packing import WordIds, binary_pieces, pack_binary
 from tests.llm.rows import AWKWARD, collected, documents, given
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +52,27 @@ def test_ids_are_returned_on_request(spark):
             assert [i for _, ids in own for i in ids] == ids_of(tokenizer, text)
 
 
+def test_words_as_the_library_sees_them(spark, small):
+    """Every distinct word of the given texts, and words of odd letters."""
+    letters = [chr(c) for c in range(1, 0x260)] + list("ΣσςİKÅﬁ½²Ⅷ中٣e\u0301")
+    odd = {f"a{c}B{c}{c}" for c in letters} | {"don't", "we'LL,", "x<|endoftext|>y", "'s's", "A1b22", "it'S", "Ab'", "a',", "9.", "é.", "A\u030a!", "...", "X!!'s"}
+    texts = [t for _, t in given(spark, small.replace("0.001", "0.1"), 3000)] + sorted(odd)
+    words = {w for t in texts for w in t.encode().split()}
+    memo, tokenizer = WordIds(PATH), Tokenizer.from_file(PATH)
+    assert memo.apart
+    for word in sorted(words):
+        ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        assert memo[word] == np.array(ids, "<u4").tobytes(), word
+
+
+def test_a_tokenizer_of_unknown_steps_is_left_to_the_library():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    memo, tokenizer = WordIds(other), Tokenizer.from_file(other)
+    assert not memo.apart
+    ids = tokenizer.encode("Word,", add_special_tokens=False).ids
+    assert memo[b"Word,"] == np.array(ids, "<u4").tobytes()
+
+
 def test_binary_pieces():
     assert binary_pieces(0, 8) == []
     assert binary_pieces(8, 8) == [(0, 8)]
