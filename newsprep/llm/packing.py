@@ -6,6 +6,7 @@ import json
 import string
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from newsprep.llm.shared import LOWER, prefix_sums, utf8, written
 
-#: Words whose ids a worker remembers before it starts afresh; about 200 bytes each.
-REMEMBERED = 1_500_000
+#: Words whose ids a worker remembers, from task to task, before it starts afresh; about
+#: 200 bytes each.
+REMEMBERED = 1_000_000
 
 
 PUNCTUATION = string.punctuation.encode()
@@ -68,6 +70,12 @@ class WordIds(dict):
         return value
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The words that this Python worker knows of a tokenizer file."""
+    return WordIds(path)
+
+
 def binary_pieces(n: int, most: int) -> list[tuple[int, int]]:
     """(start, length): as many pieces of length most as fit, then one per digit of the rest."""
     pieces = [(start, most) for start in range(0, n - most + 1, most)]
@@ -120,7 +128,7 @@ def pack_binary(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, pos = WordIds(tokenizer), TaskContext.get().partitionId(), 0
+        words, part, pos = word_ids(tokenizer), TaskContext.get().partitionId(), 0
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             tokens, pieces = [], []
