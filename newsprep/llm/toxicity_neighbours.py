@@ -6,25 +6,31 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsprep.llm.decontamination import words_of
 from newsprep.llm.shared import utf8, written
 
-#: Bounds of what is fitted: examples of each label, terms of the vocabulary, and terms
-#: with a text (the most frequent first) in an example.
-EXAMPLES, TERMS = 4000, 6000
-#: A term enters the vocabulary if the log odds of toxic against other examples are this
-#: many standard errors above 0, and its odds so many times larger.
+#: Examples of each label that are learnt from.
+EXAMPLES = 4000
+#: A term marks label 1 if its share among toxic examples is so many standard errors above
+#: that among all, and its odds so many times larger. Marks are only counted for the
+#: calibration; the index has every term.
 LEAST_Z, LEAST_ODDS = 3.5, 3.0
+#: Terms in more than this share of the examples also lie in a matrix.
+FREQUENT = 0.1
 #: Numbers that the calibration sees of a text.
 FEATURES = 5
 #: Characters of a part of a word, neighbours that vote, examples in a block.
 GRAM, NEIGHBOURS, BLOCK = 5, 25, 64
+#: Texts that are scored together.
+TOGETHER = 64
 #: Distinct words whose terms a worker remembers before it starts afresh.
 REMEMBERED = 400_000
 
@@ -57,116 +63,216 @@ def training_ids(labels: DataFrame, id_col: str, label_col: str, examples: int)
     return chosen[0].union(chosen[1]).join(F.broadcast(totals), "toxic")
 
 
-@dataclass
+def spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each start to before its end, and how many these are."""
+    n = end - start
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+
+
+#: Numbers of terms, and how often a text has them.
+Counts = tuple[np.ndarray, np.ndarray]
+
+
 class Index:
-    """Terms with postings of examples, in blocks whose greatest weights are known."""
-
-    terms: dict[str, int]
-    idf: np.ndarray
-    label: np.ndarray
-    doc_id: np.ndarray
-    #: By term: where its postings begin; by posting: example and weight.
-    start: np.ndarray
-    example: np.ndarray
-    weight: np.ndarray
-    #: By term: where its blocks begin; by block: its number and greatest weight.
-    block_start: np.ndarray
-    block: np.ndarray
-    block_max: np.ndarray
-
-    def weights(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Every term of the examples with postings, in blocks whose greatest weights are known.
+
+    Only what the examples have is held by the driver and sent to tasks; weights,
+    postings, blocks and the matrix of frequent terms are laid out there.
+    """
+
+    def __init__(
+        self, words: pa.Array, idf: np.ndarray, marks: np.ndarray, label: np.ndarray,
+        doc_id: np.ndarray, n_words: np.ndarray, sizes: np.ndarray, has: np.ndarray, times: np.ndarray,
+    ):
+        self.words, self.idf, self.marks = words, idf, marks
+        self.label, self.doc_id, self.n_words = label, doc_id, n_words
+        #: By example: where its terms begin; by term of an example: its number and count.
+        self.has_start = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        self.has, self.times = has, times
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state
+        self.lay_out()
+
+    def lay_out(self) -> None:
+        n, terms = len(self.label), len(self.idf)
+        self.terms = {t: i for i, t in enumerate(self.words.to_pylist())}
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.has_start))
+        weight = (1 + np.log(self.times)) * self.idf[self.has]
+        length = np.sqrt(np.bincount(example, weight * weight, n))
+        self.has_weight = weight / np.maximum(length, 1e-12)[example]
+        order = np.argsort(self.has, kind="stable")
+        term = self.has[order]
+        #: By term: where its postings begin; by posting: example and weight.
+        self.start = np.searchsorted(term, np.arange(terms + 1))
+        self.example, self.weight = example[order], self.has_weight[order]
+        key = term.astype(np.int64) * (n // BLOCK + 1) + self.example // BLOCK
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        #: By term: where its blocks begin; by block: its number, greatest weight and postings.
+        self.block_start = np.searchsorted(term[first], np.arange(terms + 1))
+        self.block = self.example[first] // BLOCK
+        self.block_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.block_from = np.append(first, len(term))
+        #: By term: its row of the matrix, or -1.
+        often = np.flatnonzero(np.diff(self.start) > FREQUENT * n)
+        self.row = np.full(terms, -1)
+        self.row[often] = np.arange(len(often))
+        self.query = np.zeros(terms)
+        self.matrix = np.zeros((len(often), n), np.float32)
+        at = self.row[term] >= 0
+        self.matrix[self.row[term[at]], self.example[at]] = self.weight[at]
+
+    def counts(self, example: int) -> Counts:
+        at = slice(self.has_start[example], self.has_start[example + 1])
+        return self.has[at], self.times[at]
+
+    def weights(self, counts: Counter | Counts) -> Counts:
         """Terms and weights of a text of unit length."""
-        ids = np.fromiter(counts.keys(), np.int64, len(counts))
-        tf = 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
-        w = tf * self.idf[ids]
+        if isinstance(counts, Counter):
+            ids = np.fromiter(counts.keys(), np.int64, len(counts))
+            counts = ids, np.fromiter(counts.values(), np.int64, len(counts))
+        ids, times = counts
+        w = (1 + np.log(times)) * self.idf[ids]
         return ids, w / max(1e-12, math.sqrt(float(w @ w)))
 
+    def frequent(self, texts: list[Counts]) -> np.ndarray:
+        """By text and example, what frequent terms add to the cosine, in single precision."""
+        queries = np.zeros((len(texts), len(self.matrix)), np.float32)
+        for i, (ids, w) in enumerate(texts):
+            row = self.row[ids]
+            queries[i, row[row >= 0]] = w[row >= 0]
+        return queries @ self.matrix
+
     def nearest(
-        self, ids: np.ndarray, w: np.ndarray, k: int, without: int = -1
+        self,
+        ids: np.ndarray,
+        w: np.ndarray,
+        k: int,
+        without: int = -1,
+        frequent: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0, and their cosines; least first on ties.
 
-        Bounds of blocks are summed first. The blocks of greatest bound are scored until
-        they hold k examples; then all others whose bound reaches the k-th cosine. What is
-        left out can't be among the k, so the result is that of a full comparison.
+        What frequent terms add is known for every example; bounds of blocks are summed
+        for the others. The blocks of greatest bound are scored until they hold k examples;
+        then all others whose bound reaches the k-th cosine. Examples as near as the k-th
+        but for rounding are compared anew in double precision. What is left out can't be
+        among the k, so the result is that of a full comparison.
         """
-        blocks = -(-len(self.label) // BLOCK)
-        bound = np.zeros(blocks)
-        for t, q in zip(ids, w, strict=True):
-            at = slice(self.block_start[t], self.block_start[t + 1])
-            bound[self.block[at]] += q * self.block_max[at]
+        n = len(self.label)
+        blocks = -(-n // BLOCK)
+        score = np.zeros(blocks * BLOCK)
+        score[:n] = whole = self.frequent([(ids, w)])[0] if frequent is None else frequent
+        rare = self.row[ids] < 0
+        at, times = spans(self.block_start[ids[rare]], self.block_start[ids[rare] + 1])
+        q, block = np.repeat(w[rare], times), self.block[at]
+        bound = score.reshape(blocks, BLOCK).max(axis=1)
+        bound += np.bincount(block, q * self.block_max[at], blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        score = np.zeros(blocks * BLOCK)
-
-        def add(wanted: np.ndarray) -> None:
-            for t, q in zip(ids, w, strict=True):
-                at = slice(self.start[t], self.start[t + 1])
-                example = self.example[at]
-                inside = wanted[example // BLOCK]
-                score[example[inside]] += q * self.weight[at][inside]
-
-        first = order[: max(2, 2 * k // BLOCK + 1)]
-        wanted = np.zeros(blocks, bool)
-        wanted[first] = True
-        add(wanted)
-        if without >= 0:
-            score[without] = 0
-        least = np.partition(score, -k)[-k] if len(score) >= k else 0.0
-        rest = order[len(first) :]
-        rest = rest[bound[rest] >= least - 1e-9]
-        if len(rest):
-            wanted[:] = False
-            wanted[rest] = True
-            add(wanted)
+        scored = np.zeros(blocks, bool)
+
+        def add(chosen: np.ndarray) -> float:
+            """Score these blocks too, and return the k-th score of all so far."""
+            wanted = np.zeros(blocks, bool)
+            wanted[chosen] = scored[chosen] = True
+            inside = wanted[block]
+            entry = at[inside]
+            place, times = spans(self.block_from[entry], self.block_from[entry + 1])
+            gains = np.repeat(q[inside], times) * self.weight[place]
+            score[:] += np.bincount(self.example[place], gains, len(score))
             if without >= 0:
                 score[without] = 0
-        found = np.flatnonzero(score > 0)
+            held = score.reshape(blocks, BLOCK)[scored].ravel()
+            return np.partition(held, -k)[-k] if len(held) >= k else 0.0
+
+        least = add(order[: max(2, 2 * k // BLOCK + 1)])
+        rest = order[max(2, 2 * k // BLOCK + 1) :]
+        rest = rest[bound[rest] >= least - 1e-4]
+        if 2 * len(rest) > blocks:
+            # Nearly all of them: whole postings are read faster than blocks are picked.
+            place, times = spans(self.start[ids[rare]], self.start[ids[rare] + 1])
+            gains = np.repeat(w[rare], times) * self.weight[place]
+            score[:n] = whole
+            score += np.bincount(self.example[place], gains, len(score))
+            if without >= 0:
+                score[without] = 0
+            scored[:] = True
+            least = np.partition(score, -k)[-k] if n >= k else 0.0
+        elif len(rest):
+            least = add(rest)
+        score.reshape(blocks, BLOCK)[~scored] = 0
+        found = np.flatnonzero((score > 0) & (score >= least - 1e-4))
+        cosine = self._exact(ids, w, found)
         # Sums in another order differ in their last digits, which must not decide.
-        found = found[np.lexsort((found, -np.round(score[found], 9)))][:k]
-        return found, score[found]
+        best = np.lexsort((found, -np.round(cosine, 9)))[:k]
+        return found[best], cosine[best]
+
+    def _exact(self, ids: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        query = self.query
+        query[ids] = w
+        at, times = spans(self.has_start[examples], self.has_start[examples + 1])
+        which = np.repeat(np.arange(len(examples)), times)
+        cosine = np.bincount(which, self.has_weight[at] * query[self.has[at]], len(examples))
+        query[ids] = 0
+        return cosine
 
 
 def features(
-    index: Index, counts: Counter, n_words: int, k: int, without: int = -1
-) -> tuple[list, list]:
+    index: Index, counts: Counts, n_words: int, w: np.ndarray, k: int,
+    frequent: np.ndarray, without: int = -1,
+) -> tuple[list, list]:
     """What calibration sees of a text with terms, and the neighbours that voted.
 
-    A term in many words is weaker evidence than one in few, which the cosine doesn't see.
+    A mark in many words is weaker evidence than one in few, which the cosine doesn't see.
     """
-    ids, w = index.weights(counts)
-    near, cosine = index.nearest(ids, w, k, without)
+    near, cosine = index.nearest(counts[0], w, k, without, frequent)
     if not len(near):
         return [0.0] * FEATURES, []
     # Nearer neighbours weigh more: a cosine of 1 counts four times one of 1/2.
     vote = float((cosine**2 * index.label[near]).sum() / (cosine**2).sum())
-    hits = sum(counts.values())
+    hits = int(counts[1][index.marks[counts[0]]].sum())
     strength, density = math.log1p(hits), math.log((hits + 0.5) / (n_words + 1))
     evidence = list(zip(index.doc_id[near].tolist(), cosine.tolist(), strict=True))
     near_vote = vote * float(cosine[:5].mean())
-    return [vote, near_vote, vote * strength, vote * density, density], evidence
+    return [vote, near_vote, strength, vote * density, density], evidence
+
+
+def features_of(
+    index: Index, texts: list[tuple[Counts, int]], k: int, without: list[int] | None = None
+) -> Iterator[tuple[list, list]]:
+    """features() of each text, TOGETHER at a time; without has their own numbers."""
+    for start in range(0, len(texts), TOGETHER):
+        some = texts[start : start + TOGETHER]
+        weighed = [index.weights(counts) for counts, _ in some]
+        frequent = index.frequent(weighed)
+        for i, ((counts, n_words), (_, w)) in enumerate(zip(some, weighed, strict=True)):
+            own = without[start + i] if without else -1
+            yield features(index, counts, n_words, w, k, frequent[i], own)
 
 
 @dataclass
 class Scorer:
-    index: Index | None
+    index: Broadcast | None
     weights: np.ndarray
-    #: The scores of texts without a term of the vocabulary, and of texts without neighbours.
+    #: The score of texts without a term or without neighbours.
     empty: float
     k: int
 
-    def score(self, counts: Counter, n_words: int) -> tuple[float, list]:
-        if self.index is None or not counts:
-            return self.empty, []
-        x, evidence = features(self.index, counts, n_words, self.k)
-        if not evidence:
-            return self.empty, []
-        z = self.weights[0] + float(np.dot(self.weights[1:], x))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), evidence
+    def score(self, texts: list[tuple[Counts, int]]) -> Iterator[tuple[float, list]]:
+        if self.index is None:
+            yield from ((self.empty, []) for _ in texts)
+            return
+        for x, evidence in features_of(self.index.value, texts, self.k):
+            if not evidence:
+                yield self.empty, []
+                continue
+            z = self.weights[0] + float(np.dot(self.weights[1:], x))
+            yield 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), evidence
 
 
-def _vocabulary(examples: DataFrame, n: dict[int, int]) -> list[tuple[str, int]]:
-    """(term, examples that have it) for terms that speak for label 1, at most TERMS."""
+def _vocabulary(examples: DataFrame) -> pa.Table:
+    """(term, a, b): every term, and how many examples of label 1 and 0 have it."""
     out = pa.schema([("term", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,103 +290,163 @@ def _vocabulary(examples: DataFrame, n: dict[int, int]) -> list[tuple[str, int]]
 
     found = examples.select("text", "toxic").mapInArrow(run, "term string, a bigint, b bigint")
     found = found.groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    odds = F.log(a / (n[1] + 1 - a)) - F.log(b / (n[0] + 1 - b))
-    z = odds / F.sqrt(1 / a + 1 / b)
-    best = found.withColumn("z", z).filter((z >= LEAST_Z) & (odds >= math.log(LEAST_ODDS)))
-    rows = best.orderBy(F.desc("z"), "term").limit(TERMS).collect()
-    return [(r["term"], r["a"] + r["b"]) for r in rows]
+    return found.toArrow().sort_by("term")
+
+
+def marks_of(a: np.ndarray, b: np.ndarray, n: dict[int, int]) -> np.ndarray:
+    """Which terms mark label 1, if a of n[1] toxic and b of n[0] other examples have them.
+
+    The standard error is that of equal shares, so a term without a clean example is never
+    asked for more toxic ones than a term with some.
+    """
+    share = (a + b) / (n[0] + n[1])
+    error = np.sqrt(np.maximum(share * (1 - share) * (1 / n[0] + 1 / n[1]), 1e-300))
+    odds = (a + 0.5) * (n[0] + 0.5 - b) / ((b + 0.5) * (n[1] + 0.5 - a))
+    return (a / n[1] - b / n[0] >= LEAST_Z * error) & (odds >= LEAST_ODDS)
 
 
 def _counter(terms: dict[str, int]):
-    """A function from a text to the counts of its terms' numbers, and its words."""
-    memo: dict[bytes, tuple[int, ...]] = {}
-
-    def count(text: bytes) -> tuple[Counter, int]:
-        counts, words = Counter(), words_of(text)
-        for word in words:
-            if (held := memo.get(word)) is None:
-                held = memo[word] = tuple(terms[t] for t in terms_of(word) if t in terms)
-            for t in held:
-                counts[t] += 1
+    """A function from a text to the numbers and counts of its terms, and its words."""
+    memo: dict[bytes, np.ndarray] = {}
+
+    def count(text: bytes) -> tuple[Counts, int]:
+        words = words_of(text)
+        distinct = Counter(words)
+        held = []
+        for word in distinct:
+            if (own := memo.get(word)) is None:
+                own = memo[word] = np.array([terms[t] for t in terms_of(word) if t in terms], np.int32)
+            held.append(own)
         if len(memo) > REMEMBERED:
             memo.clear()
-        return counts, len(words)
+        if not held:
+            return (np.zeros(0, np.int32), np.zeros(0, np.int64)), 0
+        times = np.repeat(np.fromiter(distinct.values(), np.int64), list(map(len, held)))
+        ids, which = np.unique(np.concatenate(held), return_inverse=True)
+        return (ids, np.bincount(which, times, len(ids)).astype(np.int64)), len(words)
 
     return count
 
 
+def _document_counts(texts: DataFrame, terms: Broadcast) -> tuple[np.ndarray, int]:
+    """By term, the rows of texts that have it; and the number of rows."""
+    out = pa.schema([("term", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, rows = _counter({t: i for i, t in enumerate(terms.value.to_pylist())}), 0
+        totals = np.zeros(len(terms.value), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for text in utf8(batch.column(0)):
+                totals[count(text)[0][0]] += 1
+        has = np.flatnonzero(totals)
+        columns = [pa.array([-1, *has], pa.int32()), pa.array([rows, *totals[has]], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, schema=out)
+
+    found = texts.select("text").mapInArrow(run, "term int, n bigint")
+    found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    totals = np.zeros(len(terms.value) + 1, np.int64)
+    totals[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return totals[:-1], int(totals[-1])
+
+
+def weights_of_terms(documents: int, totals: np.ndarray) -> np.ndarray:
+    return np.log((1 + documents) / (1 + totals.astype(float))) + 1
+
+
 def _postings(rows: list[tuple[int, int, Counter, int]], terms: list[tuple[str, int]]) -> Index:
-    idf = np.log((1 + len(rows)) / (1 + np.array([n for _, n in terms], float))) + 1
-    index = Index(
-        {t: i for i, (t, _) in enumerate(terms)}, idf,
-        np.array([r[1] for r in rows]), np.array([r[0] for r in rows]),
-        *([np.zeros(0)] * 6),
-    )
-    term, example, weight = [], [], []
-    for i, (_, _, counts, _) in enumerate(rows):
-        ids, w = index.weights(counts)
-        term.append(ids)
-        weight.append(w)
-        example.append(np.full(len(ids), i))
-    term, example, weight = map(np.concatenate, (term, example, weight))
-    order = np.lexsort((example, term))
-    term, index.example, index.weight = term[order], example[order], weight[order]
-    index.start = np.searchsorted(term, np.arange(len(terms) + 1))
-    key = term * (len(rows) // BLOCK + 1) + index.example // BLOCK
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    index.block_start = np.searchsorted(term[first], np.arange(len(terms) + 1))
-    index.block = index.example[first] // BLOCK
-    index.block_max = np.maximum.reduceat(index.weight, first)
+    """An index of rows that are all documents there are, laid out."""
+    columns = [np.array([r[c] for r in rows]) for c in (1, 0, 3)]
+    sizes = np.array([len(r[2]) for r in rows])
+    has = np.array([t for r in rows for t in r[2]], np.int32)
+    times = np.array([c for r in rows for c in r[2].values()], np.int32)
+    idf = weights_of_terms(len(rows), np.array([n for _, n in terms]))
+    words = pa.array([t for t, _ in terms], pa.string())
+    index = Index(words, idf, np.ones(len(terms), bool), *columns, sizes, has, times)
+    index.lay_out()
     return index
 
 
-def fit(examples: DataFrame, k: int = NEIGHBOURS) -> Scorer:
+#: What the driver gets of an example: numbers of terms and counts as 32-bit numbers.
+EXAMPLE = "doc_id bigint, toxic int, size bigint, terms binary, counts binary, n_words bigint"
+
+
+def _example_rows(examples: DataFrame, terms: Broadcast) -> pa.Table:
+    """EXAMPLE of each example: a term once, however often the text has it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter({t: i for i, t in enumerate(terms.value.to_pylist())})
+        for batch in batches:
+            found = [count(t) for t in utf8(batch.column(2))]
+            columns = [
+                batch.column(0),
+                batch.column(1),
+                pa.array([len(ids) for (ids, _), _ in found], pa.int64()),
+                pa.array([ids.astype("<i4").tobytes() for (ids, _), _ in found], pa.binary()),
+                pa.array([times.astype("<i4").tobytes() for (_, times), _ in found], pa.binary()),
+                pa.array([n for _, n in found], pa.int64()),
+            ]
+            names = [part.split()[0] for part in EXAMPLE.split(", ")]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    selected = examples.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text")
+    return selected.mapInArrow(run, EXAMPLE).toArrow().sort_by("doc_id")
+
+
+def fit(examples: DataFrame, texts: DataFrame, k: int = NEIGHBOURS) -> Scorer:
     """Fit to examples (doc_id, text, toxic, total), whose number training_ids() bounds.
 
-    Terms are counted by Spark. The index holds the examples with a term; it reaches the
-    driver as numbers of terms, at most 2 * EXAMPLES rows of at most TERMS. Votes are
-    calibrated on the examples, each scored without itself, by a logistic regression in
-    which an example stands for total / examples rows of its label.
+    Terms are counted by Spark, in the examples and in all of texts, whose counts weigh
+    them. The index holds all examples and all their terms; it reaches the driver as
+    numbers of terms with counts, at most 2 * EXAMPLES rows of a text's distinct terms.
+    Votes are calibrated on the examples, each scored without itself, by a logistic
+    regression in which an example stands for total / examples rows of its label.
     """
     n = {0: 0, 1: 0}
     weight = {0: 0.0, 1: 0.0}
     for r in examples.groupBy("toxic").agg(F.count("*").alias("n"), F.max("total").alias("t")).collect():
         n[r["toxic"]], weight[r["toxic"]] = r["n"], r["t"] / r["n"]
     base = n[1] * weight[1] / max(1.0, n[0] * weight[0] + n[1] * weight[1])
-    if not (n[0] and n[1]) or not (terms := _vocabulary(examples, n)):
+    if not (n[0] and n[1]) or not (found := _vocabulary(examples)).num_rows:
         return Scorer(None, np.zeros(1 + FEATURES), base, k)
-    numbers = {t: i for i, (t, _) in enumerate(terms)}
-    out = pa.schema(
-        [("doc_id", pa.int64()), ("toxic", pa.int32()), ("terms", pa.list_(pa.int32()))]
-        + [("n_words", pa.int64())]
+    marks = marks_of(found.column("a").to_numpy(), found.column("b").to_numpy(), n)
+    words = found.column("term").combine_chunks()
+    context = examples.sparkSession.sparkContext
+    sent = context.broadcast(words)
+    totals, documents = _document_counts(texts, sent)
+    rows = _example_rows(examples, sent)
+    label, doc_id, n_words, sizes = (
+        rows.column(c).to_numpy() for c in ("toxic", "doc_id", "n_words", "size")
+    )
+    has, times = (
+        np.concatenate([np.frombuffer(v.as_buffer(), "<i4") for v in rows.column(c)])
+        for c in ("terms", "counts")
     )
+    idf = weights_of_terms(documents, totals)
+    index = context.broadcast(Index(words, idf, marks, label, doc_id, n_words, sizes, has, times))
+    del rows, has, times
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(numbers)
+    def calibrate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = index.value
         for batch in batches:
-            found = [count(t) for t in utf8(batch.column(2))]
-            terms_in = pa.array([list(c.elements()) for c, _ in found], out.field(2).type)
-            words = pa.array([n for _, n in found], pa.int64())
-            columns = [batch.column(0), batch.column(1), terms_in, words]
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
-
-    selected = examples.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic", "text")
-    schema = "doc_id bigint, toxic int, terms array<int>, n_words bigint"
-    rows = [r for r in selected.mapInArrow(run, schema).collect() if r["terms"]]
-    rows.sort(key=lambda r: r["doc_id"])
-    rows = [(r["doc_id"], r["toxic"], Counter(r["terms"]), r["n_words"]) for r in rows]
-    without = {label: n[label] - sum(r[1] == label for r in rows) for label in (0, 1)}
+            ids = batch.column(0).to_pylist()
+            some = [(own.counts(i), int(own.n_words[i])) for i in ids]
+            values = [x if near else None for x, near in features_of(own, some, k, ids)]
+            columns = [batch.column(0), pa.array(values, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["example", "x"])
+
+    numbers = examples.sparkSession.range(0, len(label), 1, context.defaultParallelism)
+    seen = numbers.mapInArrow(calibrate, "example bigint, x array<double>").toArrow()
+    x, y, s, without = [], [], [], {0: 0, 1: 0}
+    for i, values in sorted(zip(seen.column("example").to_pylist(), seen.column("x").to_pylist(), strict=True)):
+        if values is not None:
+            x.append([1.0, *values])
+            y.append(int(label[i]))
+            s.append(weight[int(label[i])])
+        else:
+            without[int(label[i])] += 1
     held = [(without[label] + 0.5) * weight[label] for label in (0, 1)]
     empty = held[1] / sum(held)
-    index = _postings(rows, terms)
-    x, y, s = [], [], []
-    for i, (_, label, counts, n_words) in enumerate(rows):
-        values, evidence = features(index, counts, n_words, k, without=i)
-        if evidence:
-            x.append([1.0, *values])
-            y.append(label)
-            s.append(weight[label])
     x, y, s = np.array(x).reshape(-1, 1 + FEATURES), np.array(y, float), np.array(s)
     weights, penalty = np.zeros(1 + FEATURES), np.diag([1e-6] + [1e-2] * FEATURES)
     for _ in range(40 if len(x) else 0):
@@ -305,17 +471,19 @@ def score_toxicity(
 ) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, neighbours.
 
-    A text's terms are its words and their parts of GRAM characters, as far as they tell
-    toxic examples from others. Its nearest examples by cosine of their TF-IDF weights
-    vote with the square of the cosine, and the vote is calibrated to a probability.
+    A text's terms are its words and their parts of GRAM characters, as far as an example
+    has them; their weights follow the number of rows of docs with them. Its nearest
+    examples by cosine of their TF-IDF weights vote with the square of the cosine. The vote
+    and the number of terms that mark label 1 are calibrated to a probability.
     neighbours names the nearest examples and their cosines. held_out says that the row's
     label could not be learnt from.
 
     At most examples ids of each label are learnt from; every document is scored by all of
-    these, exactly. The model is broadcast: its size is bounded by examples, TERMS and
-    nothing that grows with docs. Nothing is shuffled but what the examples have.
+    these, exactly. The model is broadcast: its size is bounded by the examples' texts and
+    nothing that grows with docs. Shuffled are the examples, and for each task the number
+    of its rows with each of their terms.
 
-    A null or empty text, or one without a term, gets the share of toxic among such
+    A null or empty text, or one without a term of an example, gets the share of toxic among such
     examples; without examples of both labels all get the share of label 1. A row of docs
     with a null id is scored and not held out. Repeated rows get equal scores, an empty
     table gives no rows, other columns are ignored.
@@ -325,8 +493,7 @@ def score_toxicity(
     # One row for each id: a document that repeats is one example.
     learnt = rows.join(F.broadcast(chosen), "doc_id")
     learnt = learnt.groupBy("doc_id", "toxic", "total").agg(F.max("text").alias("text"))
-    scorer = fit(written(learnt, "examples"))
-    model = docs.sparkSession.sparkContext.broadcast(scorer)
+    scorer = fit(written(learnt, "examples"), rows)
     pair = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])
     out = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())]
@@ -334,14 +501,14 @@ def score_toxicity(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
-        count = _counter(own.index.terms if own.index else {})
+        count = _counter(scorer.index.value.terms if scorer.index else {})
         for batch in batches:
             scores, near = [], []
-            for text in utf8(batch.column(2)):
-                score, found = own.score(*count(text))
-                scores.append(score)
-                near.append([{"doc_id": d, "cosine": c} for d, c in found[:evidence]])
+            texts = utf8(batch.column(2))
+            while some := [count(t) for t in islice(texts, TOGETHER)]:
+                for score, found in scorer.score(some):
+                    scores.append(score)
+                    near.append([{"doc_id": d, "cosine": c} for d, c in found[:evidence]])
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64())]
             columns.append(pa.array([int(s >= threshold) for s in scores], pa.int32()))
             columns.append(pa.array(near, out.field(4).type))

@@ -111,3 +111,33 @@ def test_one_label_or_none(spark):
     one = spark.createDataFrame([(3, 0), (5, 0), (6, 0)], "doc_id bigint, toxic int")
     assert {r["predicted"] for r in N.score_toxicity(docs, one).collect()} == {0}
     assert N.score_toxicity(documents(spark, []), one).count() == 0
+
+
+def test_neighbours_are_those_of_all_terms_and_examples(spark):
+    rng = random.Random(5)
+    words = [f"word{i}x" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=12) + ["vile"] * (i % 4 == 0))) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(90)], "doc_id bigint, toxic int")
+    counts = [Counter(t for w in N.words_of(x.encode()) for t in N.terms_of(w)) for _, x in rows]
+    frequency = Counter(t for c in counts for t in c)
+    examples = [i for i in range(90) if not held(i)]
+    known = {t for i in examples for t in counts[i]}
+
+    def weights(i):
+        w = {t: (1 + math.log(c)) * (math.log(121 / (1 + frequency[t])) + 1) for t, c in counts[i].items() if t in known}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / length for t, x in w.items()}
+
+    vectors = [weights(i) for i in range(120)]
+    for r in N.score_toxicity(documents(spark, rows), labels, evidence=40).collect():
+        own = vectors[r["doc_id"]]
+        cosine = {j: sum(x * vectors[j].get(t, 0) for t, x in own.items()) for j in examples}
+        wanted = sorted(examples, key=lambda j: (-round(cosine[j], 9), j))[: N.NEIGHBOURS]
+        assert [n["doc_id"] for n in r["neighbours"]] == wanted
+        assert np.allclose([n["cosine"] for n in r["neighbours"]], [cosine[j] for j in wanted])
+
+
+def test_a_term_never_seen_in_clean_text_marks_first():
+    n = {0: 4000, 1: 4000}
+    least = [next(a for a in range(4001) if N.marks_of(np.array([a]), np.array([b]), n)[0]) for b in range(9)]
+    assert least == sorted(least) and least[0] < 25
