@@ -12,25 +12,25 @@ from pyspark.sql import types as T
 
 from newsprep.llm.shared import utf8
 
-#: (texts below so many bytes, least ratio, greatest ratio). A short text compresses
+#: (texts below so many code points, least ratio, greatest ratio). A short text compresses
 #: little whatever it says, a long one shares more with itself, so both limits rise. The
-#: upper ones lie about a tenth above what prose in Latin script reaches at its length;
-#: scripts of two or three bytes a letter compress further and take bands of their own.
+#: upper ones are what text reaches that says things again and again, not what prose of one
+#: kind stays below: terms of a licence, say, come to 3.0 at 17 KB.
 BANDS = (
     (256, 0.85, 2.4),
-    (512, 1.05, 2.2),
-    (1024, 1.2, 2.35),
-    (2048, 1.3, 2.4),
-    (4096, 1.35, 2.45),
-    (8192, 1.4, 2.55),
-    (16384, 1.45, 2.65),
-    (32768, 1.5, 2.75),
-    (65536, 1.5, 2.9),
-    (None, 1.5, 3.2),
+    (512, 1.05, 2.5),
+    (1024, 1.2, 2.7),
+    (4096, 1.35, 3.0),
+    (16384, 1.45, 3.4),
+    (65536, 1.5, 4.0),
+    (None, 1.5, 5.0),
 )
+#: The upper limits are for one byte a code point. A script of two or three compresses
+#: further, as its leading bytes say little: by this much for each byte more.
+WIDER = 0.5
 #: Bytes of a fixed chunk, its band, and the share of chunks that may lie outside it. A
 #: last chunk of under half the size belongs to the one before.
-CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.35, 2.6), 0.25
+CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.3, 4.0), 0.25
 LEVEL = 3
 
 SPACE, SYMBOLS = b"\t\n\x0b\x0c\r ", b"#*$%&|<>"
@@ -96,15 +96,19 @@ def judge(text: bytes, press: zstandard.ZstdCompressor, bands: Sequence[tuple] =
     repeats = repeated_words(words)
     failed = len(words) < 50 or 100 * repeats > 50 * len(words)
     whole = len(text) / len(press.compress(text)) if text else 0.0
-    low, high = next((a, b) for most, a, b in bands if most is None or len(text) < most)
+    length = len(text.decode("utf-8", "replace"))
+    low, high = next((a, b) for most, a, b in bands if most is None or length < most)
+    # What the script adds: the bytes of a code point beyond the first.
+    wide = 1 + WIDER * (len(text) / max(1, length) - 1)
     parts = outside = 0
     for part in chunks(text) if len(text) > CHUNK else ():
         parts += 1
-        outside += not CHUNK_BAND[0] <= len(part) / len(press.compress(part)) <= CHUNK_BAND[1]
+        ratio = len(part) / len(press.compress(part))
+        outside += not CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1] * wide
     reason = (
         "base" if failed
         else "incompressible" if whole < low
-        else "repetitive" if whole > high
+        else "repetitive" if whole > high * wide
         else "chunks" if outside > CHUNK_SHARE * parts
         else None
     )
@@ -124,8 +128,9 @@ def compression_verdicts(
 
     kept is false where the base rules fail (under 50 words, or over half of them in
     repeated 3-word windows), where the zstandard ratio of the whole text lies outside
-    the band of its length, or where more than CHUNK_SHARE of the fixed chunks of a
-    longer text lie outside theirs. reason names the first that applies.
+    the band of its length in code points, or where more than CHUNK_SHARE of the fixed
+    chunks of a longer text lie outside theirs. Upper limits grow with the bytes that a
+    text has a code point, so each script has its own. reason names the first that applies.
 
     A null text is an empty one, which fails the base rules. Columns of docs with the
     name of a new one are replaced. Rows are judged one by one where they are read:

@@ -1,8 +1,11 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
-from newsprep.llm.compression_bands import VERDICT, compression_verdicts
+import zstandard
+
+from newsprep.llm.compression_bands import LEVEL, VERDICT, compression_verdicts, judge
 from tests.llm.rows import AWKWARD, documents, given, ordered
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -63,3 +66,42 @@ def test_columns_and_empty_table(spark):
     assert set(judged.columns) == set(docs.columns) | set(VERDICT.names)
     assert compression_verdicts(docs, prefix="q_").filter("kept = 'kept'").count() == len(AWKWARD)
     assert compression_verdicts(documents(spark, [])).count() == 0
+
+
+RUSSIAN = """
+Осенью в деревне рано темнеет, и к шести часам в окнах уже горит свет. Старый учитель
+возвращался с почты пешком, хотя сосед предлагал подвезти его на телеге. Дорога шла вдоль
+реки, где летом купались дети, а теперь только ветер гонял по воде жёлтые листья. Он думал
+о письме, которое лежало в кармане: сын писал, что приедет не раньше января, потому что на
+заводе много работы и отпуск перенесли. У моста учитель остановился, достал очки и ещё раз
+прочитал последнюю страницу. Внук, оказывается, выучил таблицу умножения и просил передать
+дедушке, что умеет считать до тысячи. Старик улыбнулся, аккуратно сложил бумагу и пошёл
+дальше быстрее прежнего, будто дома его кто-нибудь ждал.
+"""
+HINDI = """
+गाँव के बाहर एक पुराना बरगद का पेड़ था जिसके नीचे हर शाम बूढ़े लोग बैठकर बातें करते थे। उस दिन डाकिया
+शहर से एक चिट्ठी लाया और सबने पूछा कि किसकी है। रामू ने काँपते हाथों से लिफ़ाफ़ा खोला और चश्मा लगाकर
+पढ़ने लगा। उसका बेटा लिख रहा था कि इस बार दीवाली पर छुट्टी मिल गई है, इसलिए पूरा परिवार रेलगाड़ी से
+आएगा। बच्चों ने नदी देखने की ज़िद की है और छोटी बेटी पूछती है कि क्या बकरी अब भी आँगन में बँधी रहती है।
+यह सुनकर पड़ोसी हँस पड़े और किसी ने मिठाई मँगवाई। अँधेरा होने तक चर्चा चलती रही कि मेहमानों को कहाँ
+ठहराया जाए और कौन स्टेशन तक बैलगाड़ी लेकर जाएगा।
+"""
+LICENCES = [Path("/usr/share/common-licenses", n) for n in ("Apache-2.0", "LGPL-3", "MPL-1.1", "MPL-2.0", "GPL-3")]
+
+
+def test_natural_prose_stays(spark):
+    texts = [RUSSIAN, HINDI, *(p.read_text() for p in LICENCES if p.exists())]
+    found = compression_verdicts(documents(spark, list(enumerate(texts)))).collect()
+    assert [(r["doc_id"], r["reason"]) for r in found if not r["kept"]] == []
+
+
+def test_bands_of_scripts():
+    """A repeated text goes in every script; licences stay when spelt in Cyrillic."""
+    press = zstandard.ZstdCompressor(level=LEVEL)
+    for text in (RUSSIAN, HINDI):
+        assert judge((text * 40).encode(), press)[-1] is False
+    letters = {c: chr(0x430 + i) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    for path in LICENCES:
+        if path.exists():
+            cyrillic = "".join(letters.get(c, c) for c in path.read_text().lower())
+            assert judge(cyrillic.encode(), press)[-2] is None
