@@ -22,9 +22,8 @@ BLOCK_TOKENS, BUCKET_KEYS = 1 << 18, 1 << 19
 NOVELTY = 0.75
 #: Hashes of the end and of the start; no word is empty or has a space.
 END, START = xxhash.xxh64_intdigest(b""), xxhash.xxh64_intdigest(b" ")
-#: Bytes of a key that are sent: words exactly, longer n-grams by so many of 8. Within its
+#: Bytes of a longer n-gram's key that are sent, of 8; words are sent exactly. Within its
 #: bucket an n-gram is mistaken for another with a chance of BUCKET_KEYS / 2 ** 48 or so.
-SENT = {1: 8}
 SENT_LONG = 6
 
 
@@ -136,6 +135,35 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def sent_keys(keys: np.ndarray, n: int, bucket: int, buckets: int) -> bytes:
+    """The ordered keys of a bucket's n-grams: longer ones by their steps, if that is less.
+
+    Places are counted from the bucket's least key, and lose their last bits where they
+    would take more than SENT_LONG bytes.
+    """
+    if n == 1:
+        return keys.tobytes()
+    widest = (1 << 64) // buckets + (1 << 32)
+    cut = max(0, min(64, widest.bit_length()) - 8 * SENT_LONG)
+    places = (keys - np.uint64(-(-(bucket << 32) // buckets) << 32)) >> np.uint64(cut)
+    steps = pack(np.diff(places, prepend=np.uint64(0)))
+    if len(steps) < SENT_LONG * len(keys):
+        return b"\1" + steps
+    return b"\0" + places.view(np.uint8).reshape(-1, 8)[:, :SENT_LONG].tobytes()
+
+
+def received_keys(data: bytes, n: int) -> np.ndarray:
+    """The numbers that sent_keys() has sent."""
+    if n == 1:
+        return np.frombuffer(data, "<u8")
+    if data[0]:
+        return np.cumsum(unpack(data[1:], "<u8"), dtype=np.uint64)
+    parts = np.frombuffer(data, np.uint8, offset=1).reshape(-1, SENT_LONG)
+    whole = np.zeros((len(parts), 8), np.uint8)
+    whole[:, :SENT_LONG] = parts
+    return whole.view("<u8").ravel()
+
+
 def count_block(block: int, held: Block, order: int, buckets: int) -> Iterator[tuple]:
     """Rows of COUNTED: the block's n-grams, with counts in the documents learnt from."""
     learn = np.repeat(held.train, held.lengths + 1)
@@ -143,9 +171,9 @@ def count_block(block: int, held: Block, order: int, buckets: int) -> Iterator[t
         counts = np.bincount(which, weights=learn[at], minlength=len(keys)).astype("<u8")
         bucket = buckets_of(keys, buckets)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-        sent = keys.view(np.uint8).reshape(-1, 8)[:, : SENT.get(n, SENT_LONG)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield n, int(bucket[a]), block, sent[a:b].tobytes(), pack(counts[a:b])
+            sent = sent_keys(keys[a:b], n, int(bucket[a]), buckets)
+            yield n, int(bucket[a]), block, sent, pack(counts[a:b])
 
 
 TOTALS = (
@@ -161,12 +189,9 @@ def add_up(rows: pa.Table) -> pa.Table:
     n-grams have one, how many have 1, and the sum of their powers NOVELTY.
     """
     n = rows.column("n")[0].as_py()
-    size = SENT.get(n, SENT_LONG)
-    parts = [np.frombuffer(k.as_py(), np.uint8).reshape(-1, size) for k in rows.column("keys")]
+    parts = [received_keys(k.as_py(), n) for k in rows.column("keys")]
     counts = [unpack(c.as_py(), "<u8") for c in rows.column("counts")]
-    whole = np.zeros((sum(map(len, parts)), 8), np.uint8)
-    whole[:, :size] = np.concatenate(parts)
-    keys, which = np.unique(whole.view("<u8").ravel(), return_inverse=True)
+    keys, which = np.unique(np.concatenate(parts), return_inverse=True)
     totals = np.zeros(len(keys), np.int64)
     np.add.at(totals, which, np.concatenate(counts).astype(np.int64))
     ends = np.cumsum([len(p) for p in parts])
@@ -285,7 +310,7 @@ def score_block(row: dict, totals: dict[int, np.ndarray], model: Model) -> list[
 def backoff_scores(
     docs: DataFrame,
     *,
-    order: int = 2,
+    order: int = 3,
     folds: int = 5,
     held_fold: int = 1,
     id_col: str = "doc_id",

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from newsprep.llm import lm_scoring
+from newsprep.llm.queries import QUERIES
 from tests.llm.rows import AWKWARD, approx, documents, given
 
 
@@ -125,3 +126,28 @@ def test_empty_and_nothing_to_learn(spark):
     rows = lm_scoring.backoff_scores(documents(spark, [(held, "a b")])).collect()
     assert [tuple(r)[1:5] for r in rows] == [(True, 3, 0, 0)]
     assert rows[0]["score"] == approx(rows[0]["base_score"]) == approx(0.0)
+
+
+def test_query_scores_with_two_words_of_context(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    brute = Brute(rows, 3)
+    found = {r["doc_id"]: tuple(r) for r in QUERIES["op2_backoff_automaton"](spark, small).collect()}
+    for doc_id, text in rows[::20]:
+        assert found[doc_id] == approx(brute.row(doc_id, text), rel=1e-9)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1000, 1 << 20])
+def test_sent_keys_come_back(buckets):
+    import numpy as np
+
+    keys = np.unique(np.random.default_rng(2).integers(0, 1 << 64, 5000, np.uint64))
+    bucket = lm_scoring.buckets_of(keys, buckets)
+    for b in np.unique(bucket)[:50]:
+        own = keys[bucket == b]
+        assert lm_scoring.received_keys(lm_scoring.sent_keys(own, 1, int(b), buckets), 1).tolist() == own.tolist()
+        sent = lm_scoring.sent_keys(own, 3, int(b), buckets)
+        back = lm_scoring.received_keys(sent, 3)
+        assert len(sent) <= 1 + lm_scoring.SENT_LONG * len(own)
+        assert len(back) == len(own) and (np.diff(back.astype(object)) > 0).all()
+        assert int(back.max()) < 1 << 48
