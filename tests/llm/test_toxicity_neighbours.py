@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from newsprep.llm import toxicity_neighbours as N
 from tests.llm.rows import AWKWARD, CLASHING, documents
@@ -141,3 +142,11 @@ def test_a_term_never_seen_in_clean_text_marks_first():
     n = {0: 4000, 1: 4000}
     least = [next(a for a in range(4001) if N.marks_of(np.array([a]), np.array([b]), n)[0]) for b in range(9)]
     assert least == sorted(least) and least[0] < 25
+
+
+def test_a_frequent_term_reaches_the_driver_once(spark):
+    examples = spark.createDataFrame([(7, 1, "vile " * 50_000)], "doc_id bigint, toxic int, text string")
+    terms = sorted(N.terms_of(b"vile"))
+    row = N._example_rows(examples, spark.sparkContext.broadcast(pa.array(terms))).to_pylist()[0]
+    assert row["size"] == len(terms) and len(row["terms"]) == len(row["counts"]) == 4 * len(terms)
+    assert set(np.frombuffer(row["counts"], "<i4").tolist()) == {50_000}
