@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from newsprep.llm import (
     byte_shards,
     compression_bands,
+    conversation_repair,
     decontamination,
     lm_scoring,
     packing,
+    page_blocks,
     pii_votes,
     simhash_tiles,
+    spelling_variants,
     token_counts,
     toxicity_neighbours,
     warc_members,
@@ -99,6 +102,21 @@ def op10_toxicity_neighbours(spark, sf_dir):
     return toxicity_neighbours.score_toxicity(documents, labels).drop("neighbours")
 
 
+@query
+def op11_block_tree(spark, sf_dir):
+    return page_blocks.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_bloom_variants(spark, sf_dir):
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_suffix_dawg(spark, sf_dir):
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 ORACLES["op3_fm_index"] = r"""
 WITH words AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
@@ -156,3 +174,18 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM firsts
 """
+
+# What lies in the article element of the given pages, whose references are few.
+ORACLES["op11_block_tree"] = r"""
+WITH pieces AS (
+    SELECT page_id, url, list_transform(
+        regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>'),
+        p -> trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            p, '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'),
+            '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))) AS blocks
+    FROM pages
+), texts AS (
+    SELECT page_id, url, array_to_string(list_filter(blocks, b -> b <> ''), chr(10) || chr(10)) AS text FROM pieces
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+"""
