@@ -251,6 +251,49 @@ PAGES = [
 -<div><a href="/y">{4}</a></div>
 -<div>{5} <a href="/z">{2}</a></div>
 =</body>""",
+    # A heading right after the menu, short paragraphs.
+    """
+=<body class="no-sidebar"><div class="menu">
+-<a href="/1">{1}</a> <a href="/2">{1}</a>
+=</div><div class="story">
++<h1>{6}</h1>
++<p>{9}</p>
++<p>{22}</p>
++<p>{3}</p>
++<p>{14}</p>
+=</div><div>
+-<ul><li><a href="/1">{4}</a></li><li><a href="/2">{4}</a></li></ul>
+=</div></body>""",
+    """
+=<body><p>
+-<a href="/1">{2}</a></p>
++<h1>{5}</h1>
++<p>{16}</p>
++<p>{21}</p>
++<h2>{3}</h2>
++<p>{13}</p>
++<p>{44}</p>
+-<p><a href="/2">{1}</a> <a href="/3">{1}</a></p>
+-<p>{5}</p>
+=</body>""",
+    # Pages that end with the article, one of them cut off.
+    """
+=<body><nav>
+-<a href="/1">{1}</a>
+=</nav><article>
++<h1>{7}</h1>
++<p>{1}</p>
++<p>{19}</p>
++<p><a href="/1">{2}</a></p>
++<p>{2}</p>
++<p>{1}</p>
+=</article></body>""",
+    """
+=<body>
++<h1>{6}</h1>
++<p>{26}</p>
++<p>{31}</p>
++<p>{15}</p>""",
 ]
 
 #: Every page is laid out with its lengths multiplied by each of these.

@@ -180,12 +180,12 @@ ORACLES["op11_block_tree"] = r"""
 WITH pieces AS (
     SELECT page_id, url, list_transform(
         regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>'),
-        p -> trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        lambda p: trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
             p, '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'),
             '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))) AS blocks
     FROM pages
 ), texts AS (
-    SELECT page_id, url, array_to_string(list_filter(blocks, b -> b <> ''), chr(10) || chr(10)) AS text FROM pieces
+    SELECT page_id, url, array_to_string(list_filter(blocks, lambda b: b <> ''), chr(10) || chr(10)) AS text FROM pieces
 )
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
 """
