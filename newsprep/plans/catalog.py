@@ -702,9 +702,11 @@ def _plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-def _all_windows(spark, stream: DataFrame, name: str) -> DataFrame:
+def _all_windows(spark, stream: DataFrame, name: str, *keys: str) -> DataFrame:
     path = new_path(spark, name)
-    return monitors.complete_table(stream, table=f"{path}/table", progress=f"{path}/progress")
+    return monitors.upsert_table(
+        stream, table=f"{path}/table", progress=f"{path}/progress", keys=("window_start", *keys)
+    )
 
 
 @query
@@ -717,7 +719,9 @@ def stream_parse_failures(spark, sf_dir):
 
 @query
 def stream_class_mix(spark, sf_dir):
-    mix = _all_windows(spark, monitors.class_mix(_log_stream(spark, sf_dir)), "class-mix")
+    mix = _all_windows(
+        spark, monitors.class_mix(_log_stream(spark, sf_dir)), "class-mix", "predicted"
+    )
     return _round(_plain_time(monitors.class_shares(mix), "window_start"), "share")
 
 
@@ -758,7 +762,53 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_sessions(spark, sf_dir):
-    bursts = _all_windows(
-        spark, monitors.failure_bursts(_log_stream(spark, sf_dir)), "failure-bursts"
+    path = new_path(spark, "failure-bursts")
+    bursts = monitors.bursts_so_far(
+        monitors.failure_bursts(_log_stream(spark, sf_dir)),
+        table=f"{path}/table", progress=f"{path}/progress",
     )
     return _plain_time(bursts, "burst_start", "burst_end")
+
+
+@query
+def stream_late_data(spark, sf_dir):
+    """The log arrives in loads of eight days, some rows three days late; each load is
+    taken in by itself. Rows of closed windows are left out and counted beside the result."""
+    events = derived.table(spark, sf_dir, "events")
+    path = new_path(spark, "late-data")
+    loads = derived.loads(events)
+    loads.write.partitionBy("load").parquet(f"{path}/loads")
+    schema = events.schema
+    for load in range(derived.LOADS):
+        # A load is what has come into the folder since the last run.
+        own = spark.read.schema(schema).parquet(f"{path}/loads/load={load}")
+        own.write.mode("append").parquet(f"{path}/log")
+        log = derived.log_columns(monitors.read_log_stream(spark, f"{path}/log", schema))
+        windows = monitors.upsert_table(
+            monitors.parse_failures(log), table=f"{path}/windows", progress=f"{path}/progress")
+        arrivals = monitors.count_arrivals(
+            log, table=f"{path}/arrivals", progress=f"{path}/arrivals-progress")
+    return _round(_plain_time(monitors.late_rows(windows, arrivals), "window_start"), "failure_rate")
+
+
+@query
+def stream_latency_rollup(spark, sf_dir):
+    """Sketches by day, put together by week. The quantile is compared with the exact one
+    in rank, within a hundredth."""
+    sketches = _all_windows(
+        spark, monitors.latency_sketches(_log_stream(spark, sf_dir)), "latency-sketches"
+    )
+    weeks = materialize(monitors.rolled_up(sketches, "week", {"p95_ms": 0.95}), "weeks")
+    log = derived.log_columns(derived.table(spark, sf_dir, "events")).select(
+        F.date_trunc("week", "event_time").alias("window_start"), "latency_ms"
+    )
+    ranks = log.join(weeks.select("window_start", "p95_ms"), "window_start").groupBy("window_start").agg(
+        F.count_if(F.col("latency_ms") < F.col("p95_ms")).alias("below"),
+        F.count_if(F.col("latency_ms") <= F.col("p95_ms")).alias("upto"),
+    )
+    slack = F.greatest(F.lit(1), F.ceil(F.col("rows") / 100))
+    right = (F.col("below") - slack <= F.col("rows") * 0.95) & (
+        F.col("upto") + slack >= F.col("rows") * 0.95
+    )
+    checked = weeks.join(ranks, "window_start").withColumn("p95_in_rank", right)
+    return _plain_time(checked, "window_start").drop("p95_ms", "below", "upto")

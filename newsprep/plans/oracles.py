@@ -1127,6 +1127,38 @@ FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_time, key)
       PARTITION BY user_id ORDER BY event_time, key) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts
     FROM log WHERE predicted IS NULL))
 GROUP BY user_id, burst
+""",
+        LOG,
+    ),
+    "stream_late_data": twin(
+        """
+SELECT window_start, coalesce(count(*) FILTER (NOT late), 0) AS rows,
+  CASE WHEN count(*) FILTER (NOT late) > 0 THEN count(*) FILTER (NOT late AND predicted IS NULL) END AS failures,
+  round(count(*) FILTER (NOT late AND predicted IS NULL) / nullif(count(*) FILTER (NOT late), 0), 6) AS failure_rate,
+  count(*) FILTER (late) AS late_rows
+FROM (
+  SELECT date_trunc('day', event_time) AS window_start, predicted,
+    coalesce(date_trunc('day', event_time) + INTERVAL 1 DAY <= reach - INTERVAL 1 HOUR, false) AS late
+  FROM arriving LEFT JOIN (
+    SELECT l.load, max(a.event_time) AS reach FROM (SELECT DISTINCT load FROM arriving) l
+    JOIN arriving a ON a.load < l.load GROUP BY l.load) USING (load))
+GROUP BY 1
+""",
+        LOG,
+        """
+arriving AS (
+  SELECT *, least(3, (date_diff('day', DATE '2024-01-01', CAST(event_time AS DATE))
+    + CASE WHEN key % 23 = 0 THEN 3 ELSE 0 END) // 8) AS load
+  FROM log
+)
+""",
+    ),
+    "stream_latency_rollup": twin(
+        """
+SELECT date_trunc('week', event_time) AS window_start,
+  count(DISTINCT date_trunc('day', event_time)) AS windows, CAST(count(latency_ms) AS BIGINT) AS rows,
+  max(latency_ms) AS max_ms, true AS p95_in_rank
+FROM log GROUP BY 1
 """,
         LOG,
     ),

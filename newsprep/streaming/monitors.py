@@ -3,12 +3,15 @@
 A log row has ``event_time`` (timestamp), ``key``, ``user_id``, ``latency_ms`` and
 ``predicted`` (null where the answer did not parse). Every monitor takes and
 returns a DataFrame and works on batches and streams alike. ``append_to_table`` keeps
-what is final, that is, windows whose end the watermark has passed; ``complete_table``
-shows all windows as they stand.
+what is final, that is, windows whose end the watermark has passed; ``upsert_table`` and
+``bursts_so_far`` also show what is open. In both, state ends at the watermark.
+``late_rows`` counts what came too late.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +94,18 @@ def failure_bursts(log: DataFrame, *, gap: str = "6 hours", delay: str = "1 hour
     )
 
 
+def run_available(stream: DataFrame, *, mode: str, progress: str, table=None, each=None):
+    """Start a query over what is there, wait for it and return it with its progress.
+
+    Either rows are appended to a parquet table, or each batch and its number go to a function.
+    """
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", progress)
+    writer = writer.format("parquet") if each is None else writer.foreachBatch(each)
+    query = writer.trigger(availableNow=True).start(*([table] if each is None else []))
+    query.awaitTermination()
+    return query
+
+
 def append_to_table(stream: DataFrame, *, table: str, progress: str) -> DataFrame:
     """Process what is available; a row is appended once it is final.
 
@@ -99,32 +114,120 @@ def append_to_table(stream: DataFrame, *, table: str, progress: str) -> DataFram
     is stopped and started neither loses nor repeats rows. Windows that the watermark
     hasn't passed stay open in progress until later rows close them.
     """
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", progress)
-        .trigger(availableNow=True)
-        .start(table)
-    )
-    query.awaitTermination()
+    run_available(stream, mode="append", table=table, progress=progress)
     return stream.sparkSession.read.schema(stream.schema).parquet(table)
 
 
-def complete_table(stream: DataFrame, *, table: str, progress: str) -> DataFrame:
+def replace_groups(table: str, keys: Sequence[str]):
+    """A batch writer that replaces the folder of every group in the batch, and no other.
+
+    A folder's name is the group's key, so a batch that is written again, whole or after
+    half of it, leaves the same files. New files are complete before old ones go.
+    """
+    def write(batch: DataFrame, _: int) -> None:
+        # One file for each folder; a batch has few groups, all of open windows.
+        writer = batch.repartition(*keys).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(table)
+
+    return write
+
+
+def upsert_table(
+    stream: DataFrame, *, table: str, progress: str, keys: Sequence[str] = ("window_start",)
+) -> DataFrame:
     """Process what is available; the table then holds every window, the open ones too.
 
-    For aggregations. Each batch replaces the table by the whole result, so a batch that
-    runs again does no harm. Give the same two paths again to go on.
+    For aggregations over windows, of which ``keys`` name a group. Each batch replaces the
+    groups that it changed; a window that the watermark has passed leaves the state and
+    stays in the table as it is. Give the same two paths again to go on.
     """
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
-
-    query = (
-        stream.writeStream.foreachBatch(replace)
-        .outputMode("complete")
-        .option("checkpointLocation", progress)
-        .trigger(availableNow=True)
-        .start()
+    run_available(stream, mode="update", progress=progress, each=replace_groups(table, keys))
+    return read_table(stream, table)
+
+
+def read_table(stream: DataFrame, table: str) -> DataFrame:
+    """What ``upsert_table`` has written so far, with the stream's columns."""
+    return stream.sparkSession.read.schema(stream.schema).parquet(table).select(stream.columns)
+
+
+def open_bursts(spark: SparkSession, progress: str) -> DataFrame:
+    """The bursts that a stopped ``failure_bursts`` query has not closed yet, from its state."""
+    state = spark.read.format("statestore").load(progress)
+    window = F.col("value.session_window")
+    return state.select(
+        "value.user_id", window["start"].alias("burst_start"), window["end"].alias("burst_end"),
+        F.col("value.count").alias("failures"),
     )
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(table)
+
+
+def bursts_so_far(stream: DataFrame, *, table: str, progress: str) -> DataFrame:
+    """Process what is available; closed bursts and, behind them, those still open.
+
+    Closed bursts are appended once and leave the state. The open ones are read from the
+    state and not from the table, so they are never written twice.
+    """
+    closed = append_to_table(stream, table=table, progress=progress)
+    return closed.unionByName(open_bursts(stream.sparkSession, progress))
+
+
+def count_arrivals(
+    log: DataFrame, *, table: str, progress: str, window: str = "1 day", slide: str | None = None
+) -> DataFrame:
+    """Process what is available; how many rows of each window have arrived, late or not.
+
+    Needs no state: every batch keeps its own counts, in a folder of its number, and a batch
+    that runs again replaces them. One row per window and batch.
+    """
+    counts = replace_groups(table, ("batch_id",))
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spans = batch.groupBy(F.window("event_time", window, slide)["start"].alias("window_start"))
+        counted = spans.agg(F.count(F.lit(1)).alias("rows"))
+        counts(counted.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
+
+    run_available(log, mode="append", progress=progress, each=count)
+    schema = "window_start timestamp, rows bigint, batch_id bigint"
+    return log.sparkSession.read.schema(schema).parquet(table)
+
+
+def late_rows(windows: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """Windows with ``late_rows``: what arrived for them and isn't in their ``rows``.
+
+    Both tables must have taken in the same log. A window of which all rows came late has
+    a row too, with no rows counted.
+    """
+    arrived = arrivals.groupBy("window_start").agg(F.sum("rows").alias("arrived"))
+    counted = windows.groupBy("window_start").agg(F.sum("rows").alias("counted"))
+    late = arrived.join(counted, "window_start", "left").select(
+        "window_start", (F.col("arrived") - F.coalesce("counted", F.lit(0))).alias("late_rows"))
+    joined = late.join(windows, "window_start", "left")
+    return joined.withColumn("rows", F.coalesce("rows", F.lit(0))).select(*windows.columns, "late_rows")
+
+
+def latency_sketches(log: DataFrame, *, window: str = "1 day", delay: str = "1 hour", size: int = 1024) -> DataFrame:
+    """Count, maximum and a quantile sketch of the latencies per window.
+
+    Sketches of neighbouring windows merge (``rolled_up``), which percentiles do not.
+    ``size`` bounds a sketch: the rank of a quantile is off by about 2.3 / size.
+    """
+    summed = log.withWatermark("event_time", delay).groupBy(F.window("event_time", window)).agg(
+        F.count("latency_ms").alias("rows"),
+        F.max("latency_ms").alias("max_ms"),
+        F.kll_sketch_agg_double("latency_ms", size).alias("sketch"),
+    )
+    return summed.select(F.col("window.start").alias("window_start"), "rows", "max_ms", "sketch")
+
+
+def rolled_up(sketches: DataFrame, period: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Windows put together to longer ones (``day``, ``week``, ``month``), with quantiles.
+
+    Reads one row per window and none of the log. A period without latencies has nulls.
+    """
+    merged = sketches.groupBy(F.date_trunc(period, "window_start").alias("window_start")).agg(
+        F.count("*").alias("windows"), F.sum("rows").alias("rows"), F.max("max_ms").alias("max_ms"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+    return merged.select("window_start", "windows", "rows", "max_ms", *(
+        F.when(F.col("rows") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q))).alias(name)
+        for name, q in quantiles.items()
+    ))

@@ -318,17 +318,109 @@ def test_a_stopped_stream_remembers_keys(spark, tmp_path):
     assert sorted(r["key"] for r in once.collect()) == [1, 2]
 
 
-def test_a_complete_table_has_open_windows(spark, tmp_path):
-    paths = {k: str(tmp_path / "all" / k) for k in ("table", "progress")}
+def paths(tmp_path, name):
+    return {k: str(tmp_path / name / k) for k in ("table", "progress")}
+
+
+def test_an_upserted_table_has_open_windows(spark, tmp_path):
+    into = paths(tmp_path, "all")
+    stream = log_files(spark, tmp_path, [[("2024-01-01 10:00:00", 1, 1, 5.0, None)]])
+    assert monitors.upsert_table(monitors.parse_failures(stream), **into).count() == 1
+    stream = log_files(spark, tmp_path, [[("2024-01-01 11:00:00", 2, 1, 5.0, None),
+                                          ("2024-01-02 11:00:00", 3, 1, 5.0, None)]])
+    rows = monitors.upsert_table(monitors.parse_failures(stream), **into).orderBy("window_start").collect()
+    assert [(r["rows"], r["failures"]) for r in rows] == [(2, 2), (1, 1)]
+
+
+def test_groups_of_a_window_are_replaced_by_themselves(spark, tmp_path):
+    into = paths(tmp_path, "mix") | {"keys": ("window_start", "predicted")}
+    stream = log_files(spark, tmp_path, [
+        [("2024-01-01 10:00:00", 1, 1, 5.0, None), ("2024-01-01 10:00:00", 2, 1, 5.0, "Neutral")],
+        [("2024-01-01 11:00:00", 3, 1, 5.0, "Neutral")],
+    ])
+    rows = monitors.upsert_table(monitors.class_mix(stream), **into).collect()
+    assert sorted((r["window_start"].day, r["predicted"], r["rows"]) for r in rows) == [
+        (1, "Neutral", 2), (1, "UNPARSED", 1), (31, "Neutral", 2), (31, "UNPARSED", 1)]
+
+
+def days(n):
+    return [[(f"2024-{1 + d // 28:02d}-{1 + d % 28:02d} {h:02d}:00:00", 10 * d + h, 1, float(h), None if h % 2 else "Neutral")
+             for h in range(10)] for d in range(n)]
+
+
+def test_state_does_not_grow_with_windows(spark, tmp_path):
+    stream = monitors.parse_failures(log_files(spark, tmp_path, days(50)))
+    into = paths(tmp_path, "many")
+    query = monitors.run_available(
+        stream, mode="update", progress=into["progress"],
+        each=monitors.replace_groups(into["table"], ("window_start",)))
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(held) >= 50 and max(held) <= 3
+    assert monitors.read_table(stream, into["table"]).count() == 50
+
+
+def test_a_crash_between_two_writes_loses_nothing(spark, tmp_path, monkeypatch):
+    """The batch's files are there, its commit is not: it runs again over the same groups."""
+    into = paths(tmp_path, "crash")
     stream = log_files(spark, tmp_path, [[("2024-01-01 10:00:00", 1, 1, 5.0, None)]])
-    assert monitors.complete_table(monitors.parse_failures(stream), **paths).count() == 1
-    stream = log_files(spark, tmp_path, [[("2024-01-01 11:00:00", 2, 1, 5.0, None)]])
-    rows = monitors.complete_table(monitors.parse_failures(stream), **paths).collect()
-    assert [(r["rows"], r["failures"]) for r in rows] == [(2, 2)]
-    stream = log_files(spark, tmp_path, [[("2024-01-01 13:00:00", 5, 1, 5.0, None)]])
-    bursts = {k: str(tmp_path / "bursts" / k) for k in ("table", "progress")}
-    rows = monitors.complete_table(monitors.failure_bursts(stream), **bursts).collect()
-    assert [r["failures"] for r in rows] == [3]
+    assert monitors.upsert_table(monitors.parse_failures(stream), **into).count() == 1
+    whole = monitors.replace_groups
+
+    def half(table, keys):
+        def write(batch, batch_id):
+            whole(table, keys)(batch.filter("rows < 3"), batch_id)
+            raise RuntimeError("lost")
+        return write
+
+    second = [("2024-01-01 11:00:00", 2, 1, 5.0, None), *(("2024-01-02 11:00:00", k, 1, 5.0, None) for k in (3, 4, 5))]
+    stream = log_files(spark, tmp_path, [second])
+    monkeypatch.setattr(monitors, "replace_groups", half)
+    with pytest.raises(Exception, match="lost"):
+        monitors.upsert_table(monitors.parse_failures(stream), **into)
+    rows = monitors.read_table(monitors.parse_failures(stream), into["table"]).collect()
+    assert [r["rows"] for r in rows] == [2]
+    monkeypatch.setattr(monitors, "replace_groups", whole)
+    rows = monitors.upsert_table(monitors.parse_failures(stream), **into).collect()
+    assert sorted(r["rows"] for r in rows) == [2, 3]
+
+
+def test_bursts_leave_the_state_when_they_are_closed(spark, tmp_path):
+    into = paths(tmp_path, "bursts")
+    stream = log_files(spark, tmp_path, [
+        [("2024-01-01 10:00:00", 1, 1, 5.0, None), ("2024-01-01 12:00:00", 2, 1, 5.0, None)],
+        [("2024-01-02 10:00:00", 3, 2, 5.0, None)],
+    ])
+    rows = monitors.bursts_so_far(monitors.failure_bursts(stream), **into).collect()
+    assert sorted((r["user_id"], r["failures"]) for r in rows) == [(1, 2), (2, 1)]
+    assert [r["user_id"] for r in monitors.open_bursts(spark, into["progress"]).collect()] == [2]
+    stream = log_files(spark, tmp_path, [[("2024-01-02 11:00:00", 4, 2, 5.0, None)], [("2024-01-09 00:00:00", 5, 3, 5.0, None)]])
+    rows = monitors.bursts_so_far(monitors.failure_bursts(stream), **into).collect()
+    assert sorted((r["user_id"], r["failures"]) for r in rows) == [(1, 2), (2, 2), (3, 1)]
+    assert monitors.open_bursts(spark, into["progress"]).count() == 1
+    assert spark.read.parquet(into["table"]).count() == 2
+
+
+def test_late_rows_are_counted_beside_the_result(spark, tmp_path):
+    windows, arrivals = paths(tmp_path, "windows"), paths(tmp_path, "arrivals")
+    for load in (
+        [("2024-01-01 10:00:00", 1, 1, 5.0, None), ("2024-01-03 12:00:00", 2, 1, 5.0, "Neutral")],
+        [("2024-01-01 11:00:00", 3, 1, 5.0, None), ("2024-01-02 11:00:00", 4, 1, 5.0, None),
+         ("2024-01-03 00:30:00", 5, 1, 5.0, None)],
+    ):
+        log = log_files(spark, tmp_path, [load])
+        counted = monitors.upsert_table(monitors.parse_failures(log), **windows)
+        arrived = monitors.count_arrivals(log, **arrivals)
+    found = monitors.late_rows(counted, arrived).orderBy("window_start").collect()
+    assert [(r["rows"], r["failures"], r["late_rows"]) for r in found] == [(1, 1, 1), (0, None, 1), (2, 1, 0)]
+    again = monitors.count_arrivals(log, **arrivals)
+    assert monitors.late_rows(counted, again).agg(F.sum("late_rows")).first()[0] == 2
+
+
+def test_sketches_of_days_make_weeks(spark, tmp_path):
+    log = log_files(spark, tmp_path, days(14))
+    sketches = monitors.upsert_table(monitors.latency_sketches(log), **paths(tmp_path, "sketches"))
+    weeks = monitors.rolled_up(sketches, "week", {"p50": 0.5, "p100": 1.0}).orderBy("window_start").collect()
+    assert [(w["windows"], w["rows"], w["max_ms"], w["p50"], w["p100"]) for w in weeks] == [(7, 70, 9.0, 4.0, 9.0)] * 2
 
 
 def test_replays_within_the_watermark_are_dropped(spark, tmp_path):
