@@ -8,7 +8,6 @@ deterministic, because a lost task runs again.
 from __future__ import annotations
 
 import bisect
-import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -48,16 +47,13 @@ def _messages(cell) -> list[Message] | None:
     return [{"role": m["role"], "content": m["content"]} for m in cell]
 
 
-#: By how many tokens a candidate may differ from the sum of its parts.
-SLACK = 16
-
-
 class _Fitter:
     """Cuts articles to what a chat leaves over, with few calls of the tokenizer.
 
-    A candidate of k tokens is expected to measure the chat without article, plus k, plus
-    the marker. Only where that lies within SLACK of the limit is it rendered; an article
-    with runs of white space, of which stripping may take any number, is always rendered.
+    A chat without article, the marker and the kept tokens are expected to add up. That sum
+    only says where to look first: decoding can drop tokens and a tokenizer can make more of
+    a decoded text, so sizes around it are rendered, in growing steps, until one that fits
+    and one that doesn't enclose the answer.
     """
 
     def __init__(self, tokenizer, system: str, prefix: str, suffix: str, limit: int,
@@ -95,20 +91,35 @@ class _Fitter:
             return article, whole, False
         tokens = self.tokenizer.encode(article, add_special_tokens=False)
         fixed = self.measure("", answer) + self.marker_tokens
-        exact = re.search(r"\s\s", article) is not None
+        found: dict[int, tuple[str, int]] = {}
 
         def fits(dropped: int) -> bool:
-            over = fixed + len(tokens) - dropped - self.limit
-            if not exact and abs(over) > SLACK:
-                return over < 0
-            return self.measure(self.candidate(tokens, dropped), answer) <= self.limit
-
-        # The fewest tokens dropped, as bisection finds them.
-        dropped = bisect.bisect_left(range(len(tokens) + 1), True, key=fits)
-        if dropped > len(tokens):
+            if dropped not in found:
+                text = self.candidate(tokens, dropped)
+                found[dropped] = text, self.measure(text, answer)
+            return found[dropped][1] <= self.limit
+
+        best = _least(fits, min(max(fixed + len(tokens) - self.limit, 0), len(tokens)), len(tokens))
+        if best is None:
             return None, None, True
-        text = self.candidate(tokens, dropped)
-        return text, self.measure(text, answer), True
+        return *found[best], True
+
+
+def _least(fits: Callable[[int], bool], first: int, last: int) -> int | None:
+    """The least number up to last that fits while the one below does not, looking from first on."""
+    step = 1
+    if fits(first):
+        low, high = first - 1, first
+        while low >= 0 and fits(low):
+            high, low, step = low, max(low - 2 * step, -1), 2 * step
+    else:
+        low, high = first, min(first + 1, last)
+        while not fits(high):
+            if high == last:
+                return None
+            low, high, step = high, min(high + 2 * step, last), 2 * step
+    # low does not fit, or is below all; high fits.
+    return bisect.bisect_left(range(low + 1, high), True, key=fits) + low + 1
 
 
 def tokenize_batches(
@@ -171,19 +182,33 @@ def score_prompts(
     key: str = "row_id",
     prompt: str = "prompt",
     batch_size: int = 64,
+    profile=None,
 ) -> DataFrame:
-    """Apply a predictor to prompts; the result holds the generated text only."""
+    """Apply a predictor to prompts; the result holds the generated text only.
+
+    The predictor sees prompts of like length together, since a batch costs what its longest
+    prompt costs: those of an Arrow batch are sorted by length before they are dealt into
+    batches. An answer belongs to its key, so the order in which rows come does not matter.
+    A prompt without text, or with a message without one, has a null answer and is not sent.
+    ``profile`` is a resource profile for this stage, such as one that asks for a GPU.
+    """
     rows = df.select(F.col(key).alias("row_id"), F.col(prompt).alias("prompt"))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = predictor_factory()
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                part = batch.iloc[start : start + batch_size]
-                answers = predict([_messages(p) for p in part["prompt"]])
-                if len(answers) != len(part):
+            prompts = [_messages(p) for p in batch["prompt"]]
+            sizes = {i: sum(len(m["content"]) for m in p) for i, p in enumerate(prompts) if p}
+            order = sorted(sizes, key=sizes.get)
+            answers: list[str | None] = [None] * len(prompts)
+            for start in range(0, len(order), batch_size):
+                part = order[start : start + batch_size]
+                given = predict([prompts[i] for i in part])
+                if len(given) != len(part):
                     raise ValueError("the predictor must answer every prompt")
-                yield pd.DataFrame({"row_id": part["row_id"], "raw_response": answers})
+                for i, answer in zip(part, given):
+                    answers[i] = answer
+            yield pd.DataFrame({"row_id": batch["row_id"], "raw_response": answers})
 
     key_type = df.schema[key].dataType.simpleString()
-    return rows.mapInPandas(score, f"row_id {key_type}, raw_response string")
+    return rows.mapInPandas(score, f"row_id {key_type}, raw_response string", profile=profile)

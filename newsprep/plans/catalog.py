@@ -23,7 +23,7 @@ from newsprep.plans import derived, prepare
 from newsprep.session import configure, materialize, new_path
 from newsprep.sources import articles as article_source
 from newsprep.sources import datasets, predictions, runs
-from newsprep.streaming import monitors
+from newsprep.streaming import monitors, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,6 +107,82 @@ def run_registry(spark, sf_dir):
     )
 
 
+@query
+def run_registry_in_parts(spark, sf_dir):
+    """Manifests and jobs arrive in two loads; each file is read by one of two runs."""
+    path = new_path(spark, "registry")
+    second = F.pmod(F.xxhash64("run_id"), F.lit(3)) == 0
+    manifests = derived.manifests(spark, sf_dir).drop("lineage")
+    jobs = derived.jobs(spark, sf_dir).withColumn("run_id", F.element_at(F.split("output_dir", "/"), -1))
+    late = F.col("finished_at") > "1995-01-01"
+    for manifest_load, job_load in ((~second, ~late), (second, late)):
+        manifests.filter(manifest_load).write.mode("append").json(f"{path}/manifests")
+        jobs.filter(job_load).drop("run_id").write.mode("append").json(f"{path}/jobs")
+        registry.take_in_manifests(spark, f"{path}/manifests", folder=f"{path}/kept", one_per_file=False)
+        registry.take_in_jobs(spark, f"{path}/jobs", folder=f"{path}/kept", one_per_file=False)
+    return registry.read_registry(spark, f"{path}/kept")
+
+
+def _good_and_bad(good: DataFrame, bad: DataFrame) -> DataFrame:
+    digests = good.select(
+        F.lit("row").alias("kind"), "row_id",
+        F.sha2(F.concat_ws("|", "Content", "Summary", "Sentiment"), 256).alias("digest"))
+    return digests.unionByName(bad.select(
+        F.lit("line").alias("kind"), F.lit(None).cast("string").alias("row_id"), F.sha2("line", 256).alias("digest")))
+
+
+@query
+def quarantined_json(spark, sf_dir):
+    """Articles as JSON Lines of which some are cut off: rows and, beside them, lines."""
+    path = new_path(spark, "json-lines")
+    whole = derived.articles(spark, sf_dir)
+    line = F.to_json(F.struct(F.col("row_id").cast("string").alias("row_id"), "Content", "Summary", "Sentiment"))
+    cut = F.concat(F.lit('{"row_id": "'), F.col("row_id").cast("string"), F.lit('", "Content": "cut off'))
+    whole.select(F.when(F.pmod("row_id", F.lit(7)) == 0, cut).otherwise(line).alias("value")).write.text(path)
+    return _good_and_bad(*article_source.read_articles_with_errors(spark, path, format="json"))
+
+
+@query
+def quarantined_csv(spark, sf_dir):
+    """Articles as CSV without quotes; an article with a comma makes a field too many."""
+    path = new_path(spark, "csv-lines")
+    plain = F.trim(F.translate("text", ',"\n\r\t\\', " " * 6))
+    comma = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.lit("one, two ")).otherwise(F.lit("one "))
+    content = F.concat(comma, F.coalesce(plain, F.lit("")), F.lit("|"))
+    lines = derived.table(spark, sf_dir, "documents").select(
+        F.concat_ws(",", "doc_id", content, "source", "lang").alias("row_id,Content,Summary,Sentiment"))
+    # One column with a header that is the whole first line.
+    lines.write.csv(path, header=True, sep="\x01", ignoreTrailingWhiteSpace=False)
+    return _good_and_bad(*article_source.read_articles_with_errors(spark, path, format="csv"))
+
+
+@query
+def append_again(spark, sf_dir):
+    """Two batches of a run's records, one of them written twice: every record is there once."""
+    path = new_path(spark, "batches")
+    records = materialize(_records(spark, sf_dir), "records")
+    for batch in ("0", "1", "0"):
+        own = records.filter(F.pmod("index", F.lit(2)) == int(batch))
+        predictions.append_predictions(own, path, "run", batch)
+    return predictions.read_runs(spark, path).groupBy("run_id", "batch").agg(
+        F.count("*").alias("records"), F.count_distinct("index").alias("rows"))
+
+
+@query
+def sft_table_join(spark, sf_dir):
+    """Examples and answers in buckets of their key, joined where they lie."""
+    path = new_path(spark, "sft-table")
+    name = f"sft_{path[-8:]}"
+    examples = formatting.format_sft(_split(spark, sf_dir)).select("row_id", "split", "sequence_length")
+    answers = derived.responses(derived.articles(spark, sf_dir))
+    datasets.save_sft_table(examples, f"{name}_examples", buckets=8, path=f"{path}/examples")
+    datasets.save_sft_table(answers, f"{name}_answers", buckets=8, path=f"{path}/answers")
+    joined = spark.table(f"{name}_examples").join(spark.table(f"{name}_answers"), "row_id")
+    return joined.groupBy("split").agg(
+        F.count("*").alias("rows"), F.sum("sequence_length").alias("total_length"),
+        F.sum(F.length("raw_response")).alias("answer_chars"))
+
+
 @query
 def manifest_files(spark, sf_dir):
     """A manifest file for each lineage, in a folder of its name, of its first run."""

@@ -559,6 +559,41 @@ latest AS (
 )
 """,
     ),
+    "quarantined_json": twin(
+        """
+SELECT 'row' AS kind, CAST(row_id AS VARCHAR) AS row_id,
+  sha256(concat_ws('|', "Content", "Summary", "Sentiment")) AS digest
+FROM articles WHERE row_id % 7 <> 0
+UNION ALL
+SELECT 'line', NULL, sha256('{"row_id": "' || row_id || '", "Content": "cut off') FROM articles WHERE row_id % 7 = 0
+""",
+        ARTICLES,
+    ),
+    "quarantined_csv": twin(
+        """
+SELECT CASE WHEN doc_id % 7 = 0 THEN 'line' ELSE 'row' END AS kind,
+  CASE WHEN doc_id % 7 <> 0 THEN CAST(doc_id AS VARCHAR) END AS row_id,
+  sha256(CASE WHEN doc_id % 7 = 0 THEN doc_id || ',one, two ' || plain || '|,' || source || ',' || lang
+    ELSE 'one ' || plain || '||' || source || '|' || lang END) AS digest
+FROM (SELECT *, trim(translate(coalesce(text, ''),
+  ',"' || chr(10) || chr(13) || chr(9) || chr(92), '      ')) AS plain FROM documents)
+"""
+    ),
+    "append_again": twin(
+        """
+SELECT 'run' AS run_id, CAST(index % 2 AS VARCHAR) AS batch, count(*) AS records, count(DISTINCT index) AS rows
+FROM records GROUP BY ALL
+""",
+        *FULL,
+    ),
+    "sft_table_join": twin(
+        """
+SELECT f.split, count(*) AS rows, CAST(sum(f.sequence_length) AS BIGINT) AS total_length,
+  CAST(sum(length(r.raw_response)) AS BIGINT) AS answer_chars
+FROM formatted f JOIN responses r ON r.row_id = f.row_id GROUP BY f.split
+""",
+        *SPLIT, responses(), fit_char("split"), FORMATTED, recursive=True,
+    ),
     "manifest_files": twin(
         """
 SELECT lineage, status, created_at, train_rows,
@@ -1163,3 +1198,5 @@ FROM log GROUP BY 1
         LOG,
     ),
 }
+
+ORACLES["run_registry_in_parts"] = ORACLES["run_registry"]

@@ -35,8 +35,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as the session names it in spark.checkpoint.dir.
 
-    Only a local session without one, as in a first try, gets a temporary folder, which
-    goes with the process; on a cluster a missing setting is an error.
+    Only a session of one local process without one, as in a first try, gets a temporary
+    folder, which goes with the process; on a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="newsprep-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)

@@ -54,72 +54,71 @@ def micros(text: Column) -> Column:
     return F.unix_micros(F.try_to_timestamp(text))
 
 
-def _latest(rows: DataFrame, first: Column, second: Column, *counts: Column) -> DataFrame:
-    """The rows of each run_id with the greatest first time, then second number.
+MANIFEST_FIELDS = ("status", "created_at", "ended_at", "train_rows", "eval_rows", "resumes")
 
-    The two make one decimal of fixed size, so the reduction is a hash aggregation, and
-    the winners are joined back by it: a run with very many rows neither gathers in one
-    task nor is sorted. counts are aggregates that ride along. Equal winners all stay.
-    """
-    wide = "decimal(38,0)"
-    scale = F.lit("1" + "0" * 18).cast("decimal(19,0)")
-    order = (
-        F.greatest(F.coalesce(first, F.lit(0)), F.lit(0)).cast("decimal(18,0)") * scale
-        + F.greatest(F.coalesce(second, F.lit(0)), F.lit(0)).cast("decimal(18,0)")
-    ).cast(wide)
-    ranked = rows.withColumn("order", order)
-    best = ranked.groupBy("run_id").agg(F.max("order").alias("order"), *counts)
-    return ranked.join(best, ["run_id", "order"])
 
+def latest_manifests(manifests: DataFrame) -> DataFrame:
+    """(run_id, manifest): the latest manifest of each run, with the time it is ordered by.
 
-def run_registry(manifests: DataFrame, jobs: DataFrame) -> DataFrame:
-    """One row per run: its latest manifest and the latest job status of its output folder.
-
-    ``jobs`` carries a ``run_id``. A manifest is as late as the latest time in it, that of
-    a resumption included; times are compared as times, whatever their zone is written
-    like. ``ended_at`` belongs to the state: a run that goes on after a resumption has not
-    ended. Of entries of one time one is chosen by the greatest values.
+    A manifest is as late as the latest time in it, that of a resumption included; times are
+    compared as times, whatever their zone is written like. ``ended_at`` belongs to the
+    state: a run that goes on after a resumption has not ended. Of entries of one time the
+    one with more resumptions counts, then the one with the greatest values.
     """
     resumed = F.array_max(
         F.transform(F.col("resume_events"), lambda e: micros(e["resumed_at"]))
     )
-    times = [micros(F.col(c)) for c in ("created_at", "training_started_at", "completed_at", "failed_at")]
-    latest = F.greatest(*times, resumed)
-    if "training_started_at" not in manifests.columns:
-        latest = F.greatest(*times[:1], *times[2:], resumed)
-    slim = manifests.select(
-        "run_id",
-        "status",
-        "created_at",
-        F.when(F.col("status") == "completed", F.col("completed_at"))
-        .when(F.col("status") == "failed", F.col("failed_at"))
-        .alias("ended_at"),
-        F.col("dataset.train_rows").alias("train_rows"),
-        F.col("dataset.eval_rows").alias("eval_rows"),
-        F.greatest(F.size("resume_events"), F.lit(0)).alias("resumes"),
-        latest.alias("at"),
+    names = ("created_at", "training_started_at", "completed_at", "failed_at")
+    times = [micros(F.col(c)) for c in names if c in manifests.columns]
+    resumes = F.greatest(F.size("resume_events"), F.lit(0))
+    values = {
+        "status": F.col("status"),
+        "created_at": F.col("created_at"),
+        "ended_at": F.when(F.col("status") == "completed", F.col("completed_at"))
+        .when(F.col("status") == "failed", F.col("failed_at")),
+        "train_rows": F.col("dataset.train_rows"),
+        "eval_rows": F.col("dataset.eval_rows"),
+        "resumes": resumes,
+    }
+    order = F.struct(F.greatest(*times, resumed).alias("at"), resumes.alias("resumed"),
+                     *(v.alias(n) for n, v in values.items()))
+    return manifests.groupBy("run_id").agg(F.max(order).alias("manifest"))
+
+
+def latest_jobs(jobs: DataFrame) -> DataFrame:
+    """(run_id, attempts, job): the number of job statuses of each run, and the latest."""
+    order = F.struct(
+        micros(F.col("started_at")).alias("started"), micros(F.col("finished_at")).alias("finished"),
+        "exit_code", "host", "status",
     )
-    fields = ("status", "created_at", "ended_at", "train_rows", "eval_rows", "resumes")
-    latest_manifest = (
-        _latest(slim, F.col("at"), F.col("resumes"))
-        .groupBy("run_id", "order")
-        .agg(F.max(F.struct(*fields)).alias("m"))
-    )
-    latest_job = (
-        _latest(
-            jobs.select("run_id", "status", "exit_code", "started_at", "finished_at", "host"),
-            micros(F.col("started_at")),
-            micros(F.col("finished_at")),
-            F.count(F.lit(1)).alias("attempts"),
-        )
-        .groupBy("run_id", "order", "attempts")
-        .agg(F.max(F.struct("exit_code", "host", "status")).alias("j"))
-    )
-    return latest_manifest.join(latest_job, "run_id", "left").select(
+    return jobs.groupBy("run_id").agg(F.count(F.lit(1)).alias("attempts"), F.max(order).alias("job"))
+
+
+def joined_registry(manifests: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The registry from any number of ``latest_manifests`` and ``latest_jobs`` put together."""
+    last = manifests.groupBy("run_id").agg(F.max("manifest").alias("m"))
+    job = jobs.groupBy("run_id").agg(F.sum("attempts").alias("attempts"), F.max("job").alias("j"))
+    return _registry(last, job)
+
+
+def _registry(last: DataFrame, job: DataFrame) -> DataFrame:
+    return last.join(job, "run_id", "left").select(
         "run_id",
-        *(f"m.{c}" for c in fields),
+        *(f"m.{c}" for c in MANIFEST_FIELDS),
         F.coalesce("attempts", F.lit(0)).alias("job_attempts"),
         F.col("j.status").alias("job_status"),
         F.col("j.exit_code").alias("job_exit_code"),
         F.col("j.host").alias("job_host"),
     )
+
+
+def run_registry(manifests: DataFrame, jobs: DataFrame) -> DataFrame:
+    """One row per run: its latest manifest and the latest job status of its output folder.
+
+    ``jobs`` carries a ``run_id``. Both inputs are read once and reduced within tasks, so
+    one row per run and task moves, however many entries a run has. See
+    ``latest_manifests`` for what is latest; ``streaming.registry`` keeps a registry up to
+    date without reading old files again.
+    """
+    last = latest_manifests(manifests).withColumnRenamed("manifest", "m")
+    return _registry(last, latest_jobs(jobs).withColumnRenamed("job", "j"))

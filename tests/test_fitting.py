@@ -189,3 +189,52 @@ def test_few_calls_of_the_tokenizer():
     assert truncated and length == 4000 and text.startswith("word0 ") and text.endswith("word59999")
     # A bisection over 60,000 sizes alone would render 16 times.
     assert tokenizer.encoded == 1 and tokenizer.measured <= 10
+
+
+class Dropping(WordTokenizer):
+    """Some tokens are special: decoding leaves them out."""
+
+    def decode(self, token_ids, skip_special_tokens=True):
+        return super().decode([t for t in token_ids if t != "<special>"])
+
+
+class Growing(WordTokenizer):
+    """A text that was cut is encoded to more tokens than it was cut to."""
+
+    def apply_chat_template(self, messages, **options):
+        return [t for m in messages for w in self.encode(m["content"]) for t in ([w, w] if w.startswith("odd") else [w])]
+
+
+@pytest.mark.parametrize("factory", [Dropping, Growing, WordTokenizer])
+@pytest.mark.parametrize("limit", [95, 120, 200])
+def test_what_is_returned_is_measured(factory, limit):
+    """Within the limit, and the next larger cut is not; whatever the estimate says."""
+    template = chat.PromptTemplate()
+    shape = template.system, template.user_prefix, template.user_suffix, limit, 0.75, TRUNCATION_MARKER
+    fitter = plugins._Fitter(factory(), *shape)
+    answer = [{"role": "assistant", "content": "s"}]
+    articles = [
+        " ".join(["<special>"] * 300 + [f"w{i}" for i in range(400)]),
+        " ".join(f"{'odd' if i % 3 else 'w'}{i}" for i in range(500)),
+        " ".join("<special>" if i % 2 else f"odd{i}" for i in range(700)),
+        " ".join(f"w{i}" for i in range(90)) + " <special>" * 500,
+    ]
+    for article in articles:
+        text, length, truncated = fitter.fit(article, answer)
+        assert length == fitter.measure(text, answer) <= limit
+        if truncated:
+            tokens = fitter.tokenizer.encode(article)
+            texts = [fitter.candidate(tokens, d) for d in range(len(tokens) + 1)]
+            sizes = [fitter.measure(t, answer) for t in texts]
+            at = texts.index(text)
+            assert at == 0 or sizes[at - 1] > limit
+            # Sizes fall steadily here, so this is the longest text that fits.
+            assert length == max(s for s in sizes if s <= limit)
+
+
+@pytest.mark.parametrize("last", [0, 1, 7, 100])
+def test_the_search_finds_the_border_from_anywhere(last):
+    for border in range(last + 2):
+        for first in range(last + 1):
+            found = plugins._least(lambda d: d >= border, first, last)
+            assert found == (border if border <= last else None)

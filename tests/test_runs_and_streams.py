@@ -13,7 +13,7 @@ from newsprep import session
 from newsprep.functions import chat
 from newsprep.operators import governance, plugins
 from newsprep.sources import articles, datasets, predictions, runs
-from newsprep.streaming import monitors
+from newsprep.streaming import monitors, registry
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -153,12 +153,135 @@ def test_latest_manifest_counts_resumptions(spark):
     assert found == {"a": ("training", None, 1), "b": ("training", None, 1), "c": ("failed", None, 0)}
 
 
-def test_registry_is_reduced_before_it_is_sorted(spark, manifests):
+def test_registry_reads_each_input_once(spark, manifests):
     jobs = spark.createDataFrame([], "run_id string, " + runs.JOB_STATUS_SCHEMA)
     plan = runs.run_registry(manifests, jobs)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("HashAggregate(keys=[run_id") >= 4
-    assert "SortAggregate(keys=[run_id#" not in plan.replace("order#", "run_id,order#").split(
-        "Exchange hashpartitioning(run_id")[-1]
+    assert plan.count("FileScan json") == 1
+    # Entries of a run are reduced within the task before they move.
+    assert plan.count("partial_max(struct(") == 2
+
+
+def test_registry_takes_in_new_files_only(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "kept")
+
+    def manifest(name, **changes):
+        (tmp_path / "runs" / name).mkdir(parents=True, exist_ok=True)
+        n = len(list((tmp_path / "runs" / name).iterdir()))
+        (tmp_path / "runs" / name / f"{n}.json").write_text(json.dumps(dict(MANIFEST, **changes), indent=1))
+
+    def job(name, finished, code):
+        (tmp_path / "jobs").mkdir(exist_ok=True)
+        status = {"status": "failed" if code else "completed", "exit_code": code, "started_at": "2024-05-01T10:00:00Z",
+                  "finished_at": finished, "host": "h", "output_dir": f"outputs/{name}"}
+        (tmp_path / "jobs" / f"{name}{finished[8:10]}.json").write_text(json.dumps(status))
+
+    def take_in():
+        one = registry.take_in_manifests(spark, f"{tmp_path}/runs/*/", folder=folder)
+        two = registry.take_in_jobs(spark, f"{tmp_path}/jobs", folder=folder)
+        found = {r["run_id"]: r for r in registry.read_registry(spark, folder).collect()}
+        return [sum(p["numInputRows"] for p in q.recentProgress) for q in (one, two)], found
+
+    for name in ("a", "b", "c"):
+        manifest(name)
+    job("a", "2024-05-02T10:00:00Z", 7)
+    read, found = take_in()
+    assert read == [3, 1] and {r["status"] for r in found.values()} == {"completed"}
+    assert (found["a"]["job_attempts"], found["a"]["job_exit_code"], found["b"]["job_attempts"]) == (1, 7, 0)
+
+    manifest("b", resume_events=[{"resumed_at": "2024-06-01T00:00:00Z"}], status="training")
+    manifest("c", created_at="2024-04-01T00:00:00Z", completed_at="2024-04-01T00:00:01Z", status="failed")
+    job("a", "2024-05-03T10:00:00Z", 0)
+    whole = registry.replace_groups
+
+    def lost(*args):
+        def write(batch, batch_id):
+            whole(*args)(batch, batch_id)
+            raise RuntimeError("lost")
+        return write
+
+    # The files of the batch are written, then the job dies: nothing is counted twice.
+    monkeypatch.setattr(registry, "replace_groups", lost)
+    for kind in (registry.take_in_manifests, registry.take_in_jobs):
+        where = f"{tmp_path}/runs/*/" if kind is registry.take_in_manifests else f"{tmp_path}/jobs"
+        with pytest.raises(Exception, match="lost"):
+            kind(spark, where, folder=folder)
+    monkeypatch.setattr(registry, "replace_groups", whole)
+    read, found = take_in()
+    assert read == [2, 1]
+    assert [found[r]["status"] for r in "abc"] == ["completed", "training", "completed"]
+    assert (found["a"]["job_attempts"], found["a"]["job_exit_code"], found["b"]["resumes"]) == (2, 0, 1)
+    assert take_in()[0] == [0, 0]
+
+
+def test_a_batch_that_is_appended_again_replaces_itself(spark, tmp_path):
+    def records(*ids):
+        rows = [(i, "Positive", None, "r", None, 0.5, False, "x") for i in ids]
+        return spark.createDataFrame(rows, predictions.RECORD_SCHEMA)
+
+    path = str(tmp_path / "scored")
+    for ids, batch in (((1, 2), "a"), ((3,), "b"), ((1, 2), "a"), ((4,), "b")):
+        predictions.append_predictions(records(*ids), path, "run", batch)
+    predictions.append_predictions(records(1), path, "other", "a")
+    stored = predictions.read_runs(spark, path)
+    assert sorted((r["run_id"], r["batch"], r["index"]) for r in stored.collect()) == [
+        ("other", "a", 1), ("run", "a", 1), ("run", "a", 2), ("run", "b", 4)]
+
+
+def test_malformed_lines_are_set_aside(spark, tmp_path):
+    (tmp_path / "a.json").write_text(
+        '{"row_id": "1", "Content": "text", "Summary": "s", "Sentiment": "Positive"}\n'
+        '{"row_id": "2", "Content": "cut\n[1]\n\n{"row_id": "3", "Content": null}\n')
+    good, bad = articles.read_articles_with_errors(spark, str(tmp_path / "a.json"), format="json")
+    assert [tuple(r) for r in good.orderBy("row_id").collect()] == [
+        ("1", "text", "s", "Positive"), ("3", None, None, None)]
+    assert sorted(r["line"] for r in bad.collect()) == ["[1]", '{"row_id": "2", "Content": "cut']
+    assert {r["file_path"].rsplit("/", 1)[1] for r in bad.collect()} == {"a.json"}
+    (tmp_path / "a.csv").write_text("row_id,Sentiment,Summary,Content\n1,Positive,s,text\n2,Positive\n3,a,b,c,d\n")
+    good, bad = articles.read_articles_with_errors(spark, str(tmp_path / "a.csv"), format="csv")
+    assert [tuple(r) for r in good.collect()] == [("1", "text", "s", "Positive")]
+    assert sorted(r["line"] for r in bad.collect()) == ["2,Positive", "3,a,b,c,d"]
+    assert good.select("row_id").count() == 1
+
+
+def test_a_record_is_judged_by_all_its_fields(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"index": 1, "raw_response": "x"}\n{"index": 2, "rouge_l_f1": "none"}\n{"index": "z"}\n')
+    good, bad = predictions.read_predictions_with_errors(spark, str(tmp_path / "p.json"))
+    assert [r["index"] for r in good.select("index").collect()] == [1]
+    assert bad.select("file_path").count() == 2 and good.count() == 1
+
+
+def test_files_near_the_advisory_size(spark, tmp_path):
+    words = F.expr("concat_ws(' ', transform(sequence(1, 200), i -> hash(id, i)))")
+    df = spark.range(4000).withColumn("text", words).withColumn("split", F.when(F.col("id") < 3900, "train").otherwise("test"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        datasets.write_sft_dataset(df.repartition(16), str(tmp_path / "even"), rebalance=True)
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        else:
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    train, test = ([p.stat().st_size for p in (tmp_path / "even" / f"split={s}").glob("*.parquet")] for s in ("train", "test"))
+    assert len(test) == 1 and 3 <= len(train) <= 8
+    assert max(train) < 3 * min(train)
+
+
+def test_bucketed_tables_join_where_they_lie(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("left", "right"):
+            df = spark.range(2000).select(F.col("id").alias("row_id"), F.lit(name).alias(name))
+            datasets.save_sft_table(df, f"sft_{name}", buckets=4, path=str(tmp_path / name))
+            assert len(list((tmp_path / name).glob("*.parquet"))) == 4
+        joined = spark.table("sft_left").join(spark.table("sft_right"), "row_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("left", "right"):
+            spark.sql(f"DROP TABLE IF EXISTS sft_{name}")
 
 
 def test_a_malformed_manifest_is_an_error(spark, tmp_path):
@@ -266,6 +389,27 @@ def test_predictor_plugin(spark):
         plugins.score_prompts(df, predictor_factory=Lazy).count()
 
 
+class Recording:
+    """Answers with the prompt and the lengths that the predictor saw together."""
+
+    def __call__(self, prompts):
+        sizes = [sum(len(m["content"]) for m in p) for p in prompts]
+        assert sizes == sorted(sizes)
+        return [f"{p[-1]['content']}|{len(prompts)}" for p in prompts]
+
+
+def test_prompts_of_like_length_go_together(spark):
+    df = spark.range(100).select(
+        F.col("id").alias("row_id"),
+        F.array(F.struct(F.lit("user").alias("role"), F.when(F.col("id") != 5, F.repeat(F.lit("x"), F.pmod(F.col("id") * 37, F.lit(101)).cast("int"))).alias("content"))).alias("prompt"),
+    )
+    for parts in (1, 5):
+        scored = plugins.score_prompts(df.repartition(parts), predictor_factory=Recording, batch_size=8)
+        rows = {r["row_id"]: r["raw_response"] for r in scored.collect()}
+        assert len(rows) == 100 and rows[5] is None
+        assert all(v.split("|")[0] == "x" * (i * 37 % 101) for i, v in rows.items() if i != 5)
+
+
 LOG = "event_time timestamp, key long, user_id long, latency_ms double, predicted string"
 
 
