@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -12,25 +13,26 @@ from pyspark.sql import types as T
 
 from newsprep.llm.shared import utf8
 
-#: (texts below so many code points, least ratio, greatest ratio). A short text compresses
-#: little whatever it says, a long one shares more with itself, so both limits rise. The
-#: upper ones are what text reaches that says things again and again, not what prose of one
-#: kind stays below: terms of a licence, say, come to 3.0 at 17 KB.
+#: (code points, least ratio, greatest ratio), between which limits go with the logarithm of
+#: the length. Prose of one byte a code point has about 1.5, 1.7, 1.9, 2.05, 2.2, 2.3, 2.4 at
+#: these lengths. The least are 0.72 of that, which text of random letters does not reach;
+#: the greatest are 1.4 times that, which the terms of licences, as formal as prose gets,
+#: stay a tenth below, and text that says things again and again does not.
 BANDS = (
-    (256, 0.85, 2.4),
-    (512, 1.05, 2.5),
-    (1024, 1.2, 2.7),
-    (4096, 1.35, 3.0),
-    (16384, 1.45, 3.4),
-    (65536, 1.5, 4.0),
-    (None, 1.5, 5.0),
+    (250, 1.08, 2.1),
+    (600, 1.22, 2.38),
+    (1200, 1.37, 2.66),
+    (2500, 1.48, 2.87),
+    (6000, 1.58, 3.08),
+    (16000, 1.66, 3.25),
+    (64000, 1.73, 3.5),
 )
-#: The upper limits are for one byte a code point. A script of two or three compresses
+#: The greatest are for one byte a code point. A script of two or three compresses
 #: further, as its leading bytes say little: by this much for each byte more.
 WIDER = 0.5
 #: Bytes of a fixed chunk, its band, and the share of chunks that may lie outside it. A
 #: last chunk of under half the size belongs to the one before.
-CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.3, 4.0), 0.25
+CHUNK, CHUNK_BAND, CHUNK_SHARE = 4096, (1.4, 3.4), 0.25
 LEVEL = 3
 
 SPACE, SYMBOLS = b"\t\n\x0b\x0c\r ", b"#*$%&|<>"
@@ -46,6 +48,7 @@ VERDICT = T.StructType(
         T.StructField("whole_ratio", T.DoubleType()),
         T.StructField("n_chunks", T.LongType()),
         T.StructField("chunks_outside", T.LongType()),
+        T.StructField("band_reason", T.StringType()),
         T.StructField("reason", T.StringType()),
         T.StructField("kept", T.BooleanType()),
     ]
@@ -97,7 +100,9 @@ def judge(text: bytes, press: zstandard.ZstdCompressor, bands: Sequence[tuple] =
     failed = len(words) < 50 or 100 * repeats > 50 * len(words)
     whole = len(text) / len(press.compress(text)) if text else 0.0
     length = len(text.decode("utf-8", "replace"))
-    low, high = next((a, b) for most, a, b in bands if most is None or length < most)
+    at, lows, highs = zip(*bands)
+    place = math.log(max(1, length))
+    low, high = (float(np.interp(place, np.log(at), limits)) for limits in (lows, highs))
     # What the script adds: the bytes of a code point beyond the first.
     wide = 1 + WIDER * (len(text) / max(1, length) - 1)
     parts = outside = 0
@@ -105,15 +110,15 @@ def judge(text: bytes, press: zstandard.ZstdCompressor, bands: Sequence[tuple] =
         parts += 1
         ratio = len(part) / len(press.compress(part))
         outside += not CHUNK_BAND[0] <= ratio <= CHUNK_BAND[1] * wide
-    reason = (
-        "base" if failed
-        else "incompressible" if whole < low
+    band_reason = (
+        "incompressible" if whole < low
         else "repetitive" if whole > high * wide
         else "chunks" if outside > CHUNK_SHARE * parts
         else None
     )
+    reason = "base" if failed else band_reason
     counts = len(words), points, symbols, duplicate_lines(text), repeats
-    return *counts, failed, whole, parts, outside, reason, reason is None
+    return *counts, failed, whole, parts, outside, band_reason, reason, reason is None
 
 
 def compression_verdicts(
@@ -130,7 +135,8 @@ def compression_verdicts(
     repeated 3-word windows), where the zstandard ratio of the whole text lies outside
     the band of its length in code points, or where more than CHUNK_SHARE of the fixed
     chunks of a longer text lie outside theirs. Upper limits grow with the bytes that a
-    text has a code point, so each script has its own. reason names the first that applies.
+    text has a code point, so each script has its own. reason names the first that applies,
+    band_reason the first of the bands, whether or not the base rules fail.
 
     A null text is an empty one, which fails the base rules. Columns of docs with the
     name of a new one are replaced. Rows are judged one by one where they are read:
@@ -142,7 +148,7 @@ def compression_verdicts(
     read = keep + ([] if text_col in keep else [text_col])
     schema = T.StructType([docs.schema[c] for c in keep] + fields)
     types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.int64(), pa.int64()]
-    types += [pa.string(), pa.bool_()]
+    types += [pa.string(), pa.string(), pa.bool_()]
     at, width = read.index(text_col), len(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,3 +105,37 @@ def test_bands_of_scripts():
         if path.exists():
             cyrillic = "".join(letters.get(c, c) for c in path.read_text().lower())
             assert judge(cyrillic.encode(), press)[-2] is None
+
+
+def test_each_band_rejects(spark, small):
+    """Documents that the base rules pass, made from the given ones, and the given ones.
+
+    The given tables have none that only a band rejects; among those that fail the base
+    rules the bands find the ones that repeat themselves.
+    """
+    draw = random.Random(7)
+    folder = small.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    longest = [r["text"] for r in docs.orderBy("n_chars", ascending=False).limit(40).collect()]
+    longest = [t for t in longest if not base(t)[-1]][:30]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    planted = []
+    for i, text in enumerate(longest):
+        words = text.split()
+        # Key and value lines: no three words are said twice, little is said at all.
+        planted.append((3 * i, " ".join(f"field_{k:04d} =" for k in range(len(words) // 4))))
+        planted.append((3 * i + 1, " ".join("".join(draw.choices(letters, k=48)) for _ in range(60 + i))))
+        # A good text, then a list in which every line says nearly the same.
+        filler = "".join(
+            f"\nentry {k} has the value {draw.randrange(10**6)}, as before" for k in range(len(text) // 60))
+        planted.append((3 * i + 2, text + filler))
+    found = {r["doc_id"]: r for r in compression_verdicts(documents(spark, planted)).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    reasons = Counter(r["reason"] for r in found.values())
+    assert min(reasons[k] for k in ("repetitive", "incompressible", "chunks")) >= 5, reasons
+    assert {found[3 * i]["reason"] for i in range(30)} == {"repetitive"}
+    assert {found[3 * i + 1]["reason"] for i in range(30)} == {"incompressible"}
+    assert {found[3 * i + 2]["reason"] for i in range(30) if len(longest[i]) > 12_900} == {"chunks"}
+    own = compression_verdicts(docs, keep=["doc_id"])
+    assert own.filter("NOT base_failed AND NOT kept").count() == 0
+    assert own.filter("base_failed AND n_words >= 50 AND band_reason = 'repetitive'").count() >= 3
