@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,14 +26,31 @@ PUNCTUATION = string.punctuation.encode()
 SIGNS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _takes_apart(path: str) -> bool:
-    """Whether a tokenizer file lowers letters and cuts by SIGNS_APART."""
+#: Steps that leave lower-case Latin letters as they are, and the spelling of bytes.
+PLAIN_STEPS = ({"type": "NFC"}, {"type": "Lowercase"})
+AS_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for a byte: itself if it prints in Latin-1, else one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _shortcuts(path: str) -> tuple[bool, bool]:
+    """Whether a tokenizer file lowers letters and cuts by SIGNS_APART, and if so, whether
+    the model sees a word of lower-case Latin letters as its bytes and nothing else."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     steps = (spec["normalizer"] or {}).get("normalizers", [])
     cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-    lowers = {"type": "Lowercase"} in steps
-    return lowers and cuts[0].get("pattern") == {"Regex": SIGNS_APART}
+    apart = {"type": "Lowercase"} in steps and cuts[0].get("pattern") == {"Regex": SIGNS_APART}
+    plain = all(s in PLAIN_STEPS or s.get("pattern") == {"Regex": r"\s+"} for s in steps)
+    return apart, apart and plain and cuts[1:] == [AS_BYTES] and not spec["model"].get("dropout")
 
 
 class WordIds(dict):
@@ -41,7 +59,8 @@ class WordIds(dict):
     A tokenizer that drops white space gives a text the ids of its words in a row, so a
     word is encoded once for as long as it is remembered. If the file's pattern allows it,
     a word with signs at its end, or with capitals, is put together from what is known of
-    the word without them.
+    the word without them, and a word of lower-case Latin letters goes to the model itself:
+    what normalizes and cuts a text has nothing to do in it, but takes most of the time.
     """
 
     def __init__(self, path: str):
@@ -53,7 +72,8 @@ class WordIds(dict):
         added = tokenizer.get_added_tokens_decoder().values()
         # With any of these characters a word may hold a special string.
         self.special = [t.content.encode()[:1] for t in added]
-        self.apart = _takes_apart(path)
+        self.apart, self.letters_alone = _shortcuts(path)
+        self.model = tokenizer.model
 
     def __missing__(self, word: bytes) -> bytes:
         value = None
@@ -64,11 +84,17 @@ class WordIds(dict):
             elif (lower := word.translate(LOWER)) != word:
                 value = self[lower]
         if value is None:
-            ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            value = b"".join(i.to_bytes(4, "little") for i in ids)
+            value = np.array(self.ids(word.decode("utf-8", "replace")), "<u4").tobytes()
         self[word] = value
         return value
 
+    def ids(self, word: str) -> list[int]:
+        # Letters below U+0250 are single code points that no normal form changes.
+        if self.letters_alone and word.isalpha() and max(word) < "\u0250" and word.lower() == word:
+            spelt = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return [token.id for token in self.model.tokenize(spelt)]
+        return self.encode(word, add_special_tokens=False).ids
+
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
