@@ -19,26 +19,15 @@ from newsprep.llm.shared import utf8, written
 
 #: Examples of each label that are learnt from.
 EXAMPLES = 4000
-#: A term marks label 1 if its share among toxic examples is so many standard errors above
-#: that among all, and its odds so many times larger. Marks are only counted for the
-#: calibration; the index has every term.
-LEAST_Z, LEAST_ODDS = 3.5, 3.0
-#: Terms in more than this share of the examples also lie in a matrix.
+#: Words in more than this share of the examples also lie in a matrix.
 FREQUENT = 0.1
-#: Numbers that the calibration sees of a text.
-FEATURES = 5
-#: Characters of a part of a word, neighbours that vote, examples in a block.
-GRAM, NEIGHBOURS, BLOCK = 5, 25, 64
+#: What the weight of a word that is no rarer among clean examples than elsewhere is
+#: multiplied by; one that is adds the logarithm of how much rarer.
+LEAST_CONTRAST = 0.05
+#: Neighbours that vote, examples in a block.
+NEIGHBOURS, BLOCK = 50, 64
 #: Texts that are scored together.
 TOGETHER = 64
-#: Distinct words whose terms a worker remembers before it starts afresh.
-REMEMBERED = 400_000
-
-
-def terms_of(word: bytes) -> list[str]:
-    """A word between bars, and its parts of GRAM characters."""
-    text = "|" + word.decode("utf-8", "replace") + "|"
-    return [text, *dict.fromkeys(text[i : i + GRAM] for i in range(len(text) - GRAM + 1))]
 
 
 def training_ids(labels: DataFrame, id_col: str, label_col: str, examples: int) -> DataFrame:
@@ -74,18 +63,22 @@ Counts = tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """Every term of the examples with postings, in blocks whose greatest weights are known.
+    """Every word of the examples with postings, in blocks whose greatest weights are known.
 
     Only what the examples have is held by the driver and sent to tasks; weights,
-    postings, blocks and the matrix of frequent terms are laid out there.
+    postings, blocks and the matrix of frequent words are laid out there. Examples of one
+    label that owe most of their length to the same word lie side by side, so that few
+    blocks have much in common with a text.
     """
 
     def __init__(
-        self, words: pa.Array, idf: np.ndarray, marks: np.ndarray, label: np.ndarray,
-        doc_id: np.ndarray, n_words: np.ndarray, sizes: np.ndarray, has: np.ndarray, times: np.ndarray,
+        self, words: pa.Array, idf: np.ndarray, label: np.ndarray,
+        doc_id: np.ndarray, sizes: np.ndarray, has: np.ndarray, times: np.ndarray,
     ):
-        self.words, self.idf, self.marks = words, idf, marks
-        self.label, self.doc_id, self.n_words = label, doc_id, n_words
+        self.words, self.idf = words, idf
+        self.label, self.doc_id = label, doc_id
+        #: Blocks that searches have scored, and those they could have.
+        self.blocks_scored = self.blocks_seen = 0
         #: By example: where its terms begin; by term of an example: its number and count.
         self.has_start = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         self.has, self.times = has, times
@@ -96,7 +89,7 @@ class Index:
 
     def lay_out(self) -> None:
         n, terms = len(self.label), len(self.idf)
-        self.terms = {t: i for i, t in enumerate(self.words.to_pylist())}
+        self.terms = _numbers(self.words)
         example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.has_start))
         weight = (1 + np.log(self.times)) * self.idf[self.has]
         length = np.sqrt(np.bincount(example, weight * weight, n))
@@ -153,9 +146,9 @@ class Index:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0, and their cosines; least first on ties.
 
-        What frequent terms add is known for every example; bounds of blocks are summed
-        for the others. The blocks of greatest bound are scored until they hold k examples;
-        then all others whose bound reaches the k-th cosine. Examples as near as the k-th
+        What frequent words add is known for every example; bounds of blocks are summed
+        for the others. Blocks are scored by falling bound, some more each time, until no
+        other's bound reaches the k-th cosine. Examples as near as the k-th
         but for rounding are compared anew in double precision. What is left out can't be
         among the k, so the result is that of a full comparison.
         """
@@ -186,21 +179,12 @@ class Index:
             held = score.reshape(blocks, BLOCK)[scored].ravel()
             return np.partition(held, -k)[-k] if len(held) >= k else 0.0
 
-        least = add(order[: max(2, 2 * k // BLOCK + 1)])
-        rest = order[max(2, 2 * k // BLOCK + 1) :]
-        rest = rest[bound[rest] >= least - 1e-4]
-        if 2 * len(rest) > blocks:
-            # Nearly all of them: whole postings are read faster than blocks are picked.
-            place, times = spans(self.start[ids[rare]], self.start[ids[rare] + 1])
-            gains = np.repeat(w[rare], times) * self.weight[place]
-            score[:n] = whole
-            score += np.bincount(self.example[place], gains, len(score))
-            if without >= 0:
-                score[without] = 0
-            scored[:] = True
-            least = np.partition(score, -k)[-k] if n >= k else 0.0
-        elif len(rest):
-            least = add(rest)
+        least, done, step = 0.0, 0, max(2, 2 * k // BLOCK + 1)
+        while done < len(order) and bound[order[done]] >= least - 1e-4:
+            some = order[done : done + step]
+            least = add(some[bound[some] >= least - 1e-4])
+            done, step = done + step, 2 * step
+        self.blocks_scored, self.blocks_seen = self.blocks_scored + int(scored.sum()), self.blocks_seen + blocks
         score.reshape(blocks, BLOCK)[~scored] = 0
         found = np.flatnonzero((score > 0) & (score >= least - 1e-4))
         cosine = self._exact(ids, w, found)
@@ -218,68 +202,63 @@ class Index:
         return cosine
 
 
-def features(
-    index: Index, counts: Counts, n_words: int, w: np.ndarray, k: int,
-    frequent: np.ndarray, without: int = -1,
-) -> tuple[list, list]:
-    """What calibration sees of a text with terms, and the neighbours that voted.
+def vote(index: Index, near: np.ndarray, cosine: np.ndarray) -> float:
+    """The logit of the share that label 1 has of the neighbours, each counted by its cosine."""
+    toxic = float((cosine * index.label[near]).sum())
+    slack = 0.01 * float(cosine.sum())
+    return math.log((toxic + slack) / (float(cosine.sum()) - toxic + slack))
 
-    A mark in many words is weaker evidence than one in few, which the cosine doesn't see.
+
+def votes_of(
+    index: Index, texts: list[Counts], k: int, without: list[int] | None = None
+) -> Iterator[tuple[float | None, list]]:
+    """(vote, evidence) of each text, TOGETHER at a time; without has their own numbers.
+
+    The vote is None if no example has a word of the text.
     """
-    near, cosine = index.nearest(counts[0], w, k, without, frequent)
-    if not len(near):
-        return [0.0] * FEATURES, []
-    # Nearer neighbours weigh more: a cosine of 1 counts four times one of 1/2.
-    vote = float((cosine**2 * index.label[near]).sum() / (cosine**2).sum())
-    hits = int(counts[1][index.marks[counts[0]]].sum())
-    strength, density = math.log1p(hits), math.log((hits + 0.5) / (n_words + 1))
-    evidence = list(zip(index.doc_id[near].tolist(), cosine.tolist(), strict=True))
-    near_vote = vote * float(cosine[:5].mean())
-    return [vote, near_vote, strength, vote * density, density], evidence
-
-
-def features_of(
-    index: Index, texts: list[tuple[Counts, int]], k: int, without: list[int] | None = None
-) -> Iterator[tuple[list, list]]:
-    """features() of each text, TOGETHER at a time; without has their own numbers."""
     for start in range(0, len(texts), TOGETHER):
         some = texts[start : start + TOGETHER]
-        weighed = [index.weights(counts) for counts, _ in some]
+        weighed = [index.weights(counts) for counts in some]
         frequent = index.frequent(weighed)
-        for i, ((counts, n_words), (_, w)) in enumerate(zip(some, weighed, strict=True)):
+        for i, (ids, w) in enumerate(weighed):
             own = without[start + i] if without else -1
-            yield features(index, counts, n_words, w, k, frequent[i], own)
+            near, cosine = index.nearest(ids, w, k, own, frequent[i])
+            if len(near):
+                evidence = zip(index.doc_id[near].tolist(), cosine.tolist(), strict=True)
+                yield vote(index, near, cosine), list(evidence)
+            else:
+                yield None, []
 
 
 @dataclass
 class Scorer:
     index: Broadcast | None
     weights: np.ndarray
-    #: The score of texts without a term or without neighbours.
+    #: The score of texts without a word of an example.
     empty: float
     k: int
 
-    def score(self, texts: list[tuple[Counts, int]]) -> Iterator[tuple[float, list]]:
+    def score(self, texts: list[Counts]) -> Iterator[tuple[float, list]]:
         if self.index is None:
             yield from ((self.empty, []) for _ in texts)
             return
-        for x, evidence in features_of(self.index.value, texts, self.k):
-            if not evidence:
+        for x, evidence in votes_of(self.index.value, texts, self.k):
+            if x is None:
                 yield self.empty, []
                 continue
-            z = self.weights[0] + float(np.dot(self.weights[1:], x))
+            z = float(self.weights @ (1.0, x))
             yield 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), evidence
 
 
 def _vocabulary(examples: DataFrame) -> pa.Table:
-    """(term, a, b): every term, and how many examples of label 1 and 0 have it."""
+    """(term, a, b): every word, and how many examples of label 1 and 0 have it."""
     out = pa.schema([("term", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                counts[label].update({t for w in set(words_of(text)) for t in terms_of(w)})
+                counts[label].update({w.decode("utf-8", "replace") for w in words_of(text)})
         terms = list(counts[0] | counts[1])
         columns = [
             pa.array(terms, pa.string()),
@@ -293,52 +272,41 @@ def _vocabulary(examples: DataFrame) -> pa.Table:
     return found.toArrow().sort_by("term")
 
 
-def marks_of(a: np.ndarray, b: np.ndarray, n: dict[int, int]) -> np.ndarray:
-    """Which terms mark label 1, if a of n[1] toxic and b of n[0] other examples have them.
+def contrast(clean: np.ndarray, n_clean: int, totals: np.ndarray, documents: int) -> np.ndarray:
+    """By word, the logarithm of how much rarer it is in clean examples than in all
+    documents, 0 if it is not, and LEAST_CONTRAST more."""
+    rarer = np.log((1 + n_clean) / (1 + clean)) - np.log((1 + documents) / (1 + totals.astype(float)))
+    return LEAST_CONTRAST + np.maximum(rarer, 0)
 
-    The standard error is that of equal shares, so a term without a clean example is never
-    asked for more toxic ones than a term with some.
-    """
-    share = (a + b) / (n[0] + n[1])
-    error = np.sqrt(np.maximum(share * (1 - share) * (1 / n[0] + 1 / n[1]), 1e-300))
-    odds = (a + 0.5) * (n[0] + 0.5 - b) / ((b + 0.5) * (n[1] + 0.5 - a))
-    return (a / n[1] - b / n[0] >= LEAST_Z * error) & (odds >= LEAST_ODDS)
-
-
-def _counter(terms: dict[str, int]):
-    """A function from a text to the numbers and counts of its terms, and its words."""
-    memo: dict[bytes, np.ndarray] = {}
-
-    def count(text: bytes) -> tuple[Counts, int]:
-        words = words_of(text)
-        distinct = Counter(words)
-        held = []
-        for word in distinct:
-            if (own := memo.get(word)) is None:
-                own = memo[word] = np.array([terms[t] for t in terms_of(word) if t in terms], np.int32)
-            held.append(own)
-        if len(memo) > REMEMBERED:
-            memo.clear()
-        if not held:
-            return (np.zeros(0, np.int32), np.zeros(0, np.int64)), 0
-        times = np.repeat(np.fromiter(distinct.values(), np.int64), list(map(len, held)))
-        ids, which = np.unique(np.concatenate(held), return_inverse=True)
-        return (ids, np.bincount(which, times, len(ids)).astype(np.int64)), len(words)
+
+def _counter(terms: dict[bytes, int]):
+    """A function from a text to the numbers and counts of the words that are terms."""
+
+    def count(text: bytes) -> Counts:
+        found = Counter(words_of(text))
+        held = [(terms[w], n) for w, n in found.items() if w in terms]
+        ids = np.array([i for i, _ in held], np.int32)
+        order = np.argsort(ids)
+        return ids[order], np.array([n for _, n in held], np.int64)[order]
 
     return count
 
 
+def _numbers(words: pa.Array) -> dict[bytes, int]:
+    return {w: i for i, w in enumerate(words.cast(pa.binary()).to_pylist())}
+
+
 def _document_counts(texts: DataFrame, terms: Broadcast) -> tuple[np.ndarray, int]:
     """By term, the rows of texts that have it; and the number of rows."""
     out = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = _counter({t: i for i, t in enumerate(terms.value.to_pylist())}), 0
+        count, rows = _counter(_numbers(terms.value)), 0
         totals = np.zeros(len(terms.value), np.int64)
         for batch in batches:
             rows += batch.num_rows
             for text in utf8(batch.column(0)):
-                totals[count(text)[0][0]] += 1
+                totals[count(text)[0]] += 1
         has = np.flatnonzero(totals)
         columns = [pa.array([-1, *has], pa.int32()), pa.array([rows, *totals[has]], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, schema=out)
@@ -354,37 +322,36 @@ def weights_of_terms(documents: int, totals: np.ndarray) -> np.ndarray:
     return np.log((1 + documents) / (1 + totals.astype(float))) + 1
 
 
-def _postings(rows: list[tuple[int, int, Counter, int]], terms: list[tuple[str, int]]) -> Index:
+def _postings(rows: list[tuple[int, int, Counter]], terms: list[tuple[str, int]]) -> Index:
     """An index of rows that are all documents there are, laid out."""
-    columns = [np.array([r[c] for r in rows]) for c in (1, 0, 3)]
+    columns = [np.array([r[c] for r in rows]) for c in (1, 0)]
     sizes = np.array([len(r[2]) for r in rows])
     has = np.array([t for r in rows for t in r[2]], np.int32)
     times = np.array([c for r in rows for c in r[2].values()], np.int32)
     idf = weights_of_terms(len(rows), np.array([n for _, n in terms]))
     words = pa.array([t for t, _ in terms], pa.string())
-    index = Index(words, idf, np.ones(len(terms), bool), *columns, sizes, has, times)
+    index = Index(words, idf, *columns, sizes, has, times)
     index.lay_out()
     return index
 
 
 #: What the driver gets of an example: numbers of terms and counts as 32-bit numbers.
-EXAMPLE = "doc_id bigint, toxic int, size bigint, terms binary, counts binary, n_words bigint"
+EXAMPLE = "doc_id bigint, toxic int, size bigint, terms binary, counts binary"
 
 
 def _example_rows(examples: DataFrame, terms: Broadcast) -> pa.Table:
     """EXAMPLE of each example: a term once, however often the text has it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter({t: i for i, t in enumerate(terms.value.to_pylist())})
+        count = _counter(_numbers(terms.value))
         for batch in batches:
             found = [count(t) for t in utf8(batch.column(2))]
             columns = [
                 batch.column(0),
                 batch.column(1),
-                pa.array([len(ids) for (ids, _), _ in found], pa.int64()),
-                pa.array([ids.astype("<i4").tobytes() for (ids, _), _ in found], pa.binary()),
-                pa.array([times.astype("<i4").tobytes() for (_, times), _ in found], pa.binary()),
-                pa.array([n for _, n in found], pa.int64()),
+                pa.array([len(ids) for ids, _ in found], pa.int64()),
+                pa.array([ids.astype("<i4").tobytes() for ids, _ in found], pa.binary()),
+                pa.array([times.astype("<i4").tobytes() for _, times in found], pa.binary()),
             ]
             names = [part.split()[0] for part in EXAMPLE.split(", ")]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -393,10 +360,20 @@ def _example_rows(examples: DataFrame, terms: Broadcast) -> pa.Table:
     return selected.mapInArrow(run, EXAMPLE).toArrow().sort_by("doc_id")
 
 
+def in_blocks(rows: pa.Table, weights: np.ndarray) -> pa.Table:
+    """The examples by label and by the word that most of their length comes from."""
+    main = []
+    for ids, times in zip(rows.column("terms"), rows.column("counts")):
+        own = np.frombuffer(ids.as_buffer(), "<i4")
+        gain = (1 + np.log(np.frombuffer(times.as_buffer(), "<i4"))) * weights[own]
+        main.append(int(own[np.argmax(gain)]) if len(own) else -1)
+    return rows.take(np.lexsort((rows.column("doc_id").to_numpy(), main, rows.column("toxic").to_numpy())))
+
+
 def fit(examples: DataFrame, texts: DataFrame, k: int = NEIGHBOURS) -> Scorer:
     """Fit to examples (doc_id, text, toxic, total), whose number training_ids() bounds.
 
-    Terms are counted by Spark, in the examples and in all of texts, whose counts weigh
+    Words are counted by Spark, in the examples and in all of texts, whose counts weigh
     them. The index holds all examples and all their terms; it reaches the driver as
     numbers of terms with counts, at most 2 * EXAMPLES rows of a text's distinct terms.
     Votes are calibrated on the examples, each scored without itself, by a logistic
@@ -408,51 +385,49 @@ def fit(examples: DataFrame, texts: DataFrame, k: int = NEIGHBOURS) -> Scorer:
         n[r["toxic"]], weight[r["toxic"]] = r["n"], r["t"] / r["n"]
     base = n[1] * weight[1] / max(1.0, n[0] * weight[0] + n[1] * weight[1])
     if not (n[0] and n[1]) or not (found := _vocabulary(examples)).num_rows:
-        return Scorer(None, np.zeros(1 + FEATURES), base, k)
-    marks = marks_of(found.column("a").to_numpy(), found.column("b").to_numpy(), n)
+        return Scorer(None, np.zeros(2), base, k)
     words = found.column("term").combine_chunks()
     context = examples.sparkSession.sparkContext
     sent = context.broadcast(words)
     totals, documents = _document_counts(texts, sent)
     rows = _example_rows(examples, sent)
-    label, doc_id, n_words, sizes = (
-        rows.column(c).to_numpy() for c in ("toxic", "doc_id", "n_words", "size")
-    )
+    idf = weights_of_terms(documents, totals)
+    idf *= contrast(found.column("b").to_numpy(), n[0], totals, documents)
+    rows = in_blocks(rows, idf)
+    label, doc_id, sizes = (rows.column(c).to_numpy() for c in ("toxic", "doc_id", "size"))
     has, times = (
         np.concatenate([np.frombuffer(v.as_buffer(), "<i4") for v in rows.column(c)])
         for c in ("terms", "counts")
     )
-    idf = weights_of_terms(documents, totals)
-    index = context.broadcast(Index(words, idf, marks, label, doc_id, n_words, sizes, has, times))
+    index = context.broadcast(Index(words, idf, label, doc_id, sizes, has, times))
     del rows, has, times
 
     def calibrate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            some = [(own.counts(i), int(own.n_words[i])) for i in ids]
-            values = [x if near else None for x, near in features_of(own, some, k, ids)]
-            columns = [batch.column(0), pa.array(values, pa.list_(pa.float64()))]
+            values = [x for x, _ in votes_of(own, [own.counts(i) for i in ids], k, ids)]
+            columns = [batch.column(0), pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["example", "x"])
 
     numbers = examples.sparkSession.range(0, len(label), 1, context.defaultParallelism)
-    seen = numbers.mapInArrow(calibrate, "example bigint, x array<double>").toArrow()
+    seen = numbers.mapInArrow(calibrate, "example bigint, x double").toArrow()
     x, y, s, without = [], [], [], {0: 0, 1: 0}
     for i, values in sorted(zip(seen.column("example").to_pylist(), seen.column("x").to_pylist(), strict=True)):
         if values is not None:
-            x.append([1.0, *values])
+            x.append([1.0, values])
             y.append(int(label[i]))
             s.append(weight[int(label[i])])
         else:
             without[int(label[i])] += 1
     held = [(without[label] + 0.5) * weight[label] for label in (0, 1)]
     empty = held[1] / sum(held)
-    x, y, s = np.array(x).reshape(-1, 1 + FEATURES), np.array(y, float), np.array(s)
-    weights, penalty = np.zeros(1 + FEATURES), np.diag([1e-6] + [1e-2] * FEATURES)
+    x, y, s = np.array(x).reshape(-1, 2), np.array(y, float), np.array(s)
+    weights, penalty = np.zeros(2), np.diag([1e-6, 1e-2])
     for _ in range(40 if len(x) else 0):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         slope = x.T @ (s * (y - p)) - penalty @ weights
-        curve = (x * (s * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(1 + FEATURES)
+        curve = (x * (s * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(2)
         step = np.linalg.solve(curve, slope)
         weights += step / max(1.0, np.abs(step).max() / 5)
     return Scorer(index, weights, empty, k)
@@ -471,10 +446,13 @@ def score_toxicity(
 ) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, neighbours.
 
-    A text's terms are its words and their parts of GRAM characters, as far as an example
-    has them; their weights follow the number of rows of docs with them. Its nearest
-    examples by cosine of their TF-IDF weights vote with the square of the cosine. The vote
-    and the number of terms that mark label 1 are calibrated to a probability.
+    A text's terms are its words, as far as an example has them. Their weights follow from
+    how often the text has them, from the number of all rows of docs with them, and from
+    how much rarer they are among clean examples than in all rows: words of a subject say
+    little here, words that clean text avoids say much. The NEIGHBOURS nearest examples by
+    cosine of these TF-IDF weights vote, each by its cosine; of examples equally near the
+    one that comes first in the index, by label, main word and id, is nearer. The share of
+    label 1 in the vote is all that a score sees; it is calibrated to a probability.
     neighbours names the nearest examples and their cosines. held_out says that the row's
     label could not be learnt from.
 
@@ -483,7 +461,7 @@ def score_toxicity(
     nothing that grows with docs. Shuffled are the examples, and for each task the number
     of its rows with each of their terms.
 
-    A null or empty text, or one without a term of an example, gets the share of toxic among such
+    A null or empty text, or one without a word of an example, gets the share of toxic among such
     examples; without examples of both labels all get the share of label 1. A row of docs
     with a null id is scored and not held out. Repeated rows get equal scores, an empty
     table gives no rows, other columns are ignored.
