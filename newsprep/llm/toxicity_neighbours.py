@@ -25,9 +25,11 @@ FREQUENT = 0.1
 #: multiplied by; one that is adds the logarithm of how much rarer.
 LEAST_CONTRAST = 0.05
 #: Neighbours that vote, examples in a block.
-NEIGHBOURS, BLOCK = 50, 64
+NEIGHBOURS, BLOCK = 50, 32
 #: Texts that are scored together.
 TOGETHER = 64
+#: By how much sums in another order may differ.
+SLACK = 1e-8
 
 
 def training_ids(labels: DataFrame, id_col: str, label_col: str, examples: int) -> DataFrame:
@@ -110,8 +112,7 @@ class Index:
         often = np.flatnonzero(np.diff(self.start) > FREQUENT * n)
         self.row = np.full(terms, -1)
         self.row[often] = np.arange(len(often))
-        self.query = np.zeros(terms)
-        self.matrix = np.zeros((len(often), n), np.float32)
+        self.matrix = np.zeros((len(often), n))
         at = self.row[term] >= 0
         self.matrix[self.row[term[at]], self.example[at]] = self.weight[at]
 
@@ -129,8 +130,8 @@ class Index:
         return ids, w / max(1e-12, math.sqrt(float(w @ w)))
 
     def frequent(self, texts: list[Counts]) -> np.ndarray:
-        """By text and example, what frequent terms add to the cosine, in single precision."""
-        queries = np.zeros((len(texts), len(self.matrix)), np.float32)
+        """By text and example, what frequent terms add to the cosine."""
+        queries = np.zeros((len(texts), len(self.matrix)))
         for i, (ids, w) in enumerate(texts):
             row = self.row[ids]
             queries[i, row[row >= 0]] = w[row >= 0]
@@ -147,10 +148,9 @@ class Index:
         """The k examples of greatest cosine above 0, and their cosines; least first on ties.
 
         What frequent words add is known for every example; bounds of blocks are summed
-        for the others. Blocks are scored by falling bound, some more each time, until no
-        other's bound reaches the k-th cosine. Examples as near as the k-th
-        but for rounding are compared anew in double precision. What is left out can't be
-        among the k, so the result is that of a full comparison.
+        for the others. Blocks are scored by falling bound until no other's reaches the
+        k-th cosine. What is left out can't be among the k, so the result is that of a full
+        comparison, cosines being equal if their first nine digits are.
         """
         n = len(self.label)
         blocks = -(-n // BLOCK)
@@ -179,27 +179,20 @@ class Index:
             held = score.reshape(blocks, BLOCK)[scored].ravel()
             return np.partition(held, -k)[-k] if len(held) >= k else 0.0
 
-        least, done, step = 0.0, 0, max(2, 2 * k // BLOCK + 1)
-        while done < len(order) and bound[order[done]] >= least - 1e-4:
+        # A few blocks, then all that can still hold a neighbour.
+        least, done, few = 0.0, 0, 8 + 4 * k // BLOCK
+        for step in (few, blocks):
             some = order[done : done + step]
-            least = add(some[bound[some] >= least - 1e-4])
-            done, step = done + step, 2 * step
+            if not len(some) or bound[some[0]] < least - SLACK:
+                break
+            least = add(some[bound[some] >= least - SLACK])
+            done += step
         self.blocks_scored, self.blocks_seen = self.blocks_scored + int(scored.sum()), self.blocks_seen + blocks
         score.reshape(blocks, BLOCK)[~scored] = 0
-        found = np.flatnonzero((score > 0) & (score >= least - 1e-4))
-        cosine = self._exact(ids, w, found)
+        found = np.flatnonzero((score > 0) & (score >= least - SLACK))
         # Sums in another order differ in their last digits, which must not decide.
-        best = np.lexsort((found, -np.round(cosine, 9)))[:k]
-        return found[best], cosine[best]
-
-    def _exact(self, ids: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
-        query = self.query
-        query[ids] = w
-        at, times = spans(self.has_start[examples], self.has_start[examples + 1])
-        which = np.repeat(np.arange(len(examples)), times)
-        cosine = np.bincount(which, self.has_weight[at] * query[self.has[at]], len(examples))
-        query[ids] = 0
-        return cosine
+        best = np.lexsort((found, -np.round(score[found], 9)))[:k]
+        return found[best], score[found[best]]
 
 
 def vote(index: Index, near: np.ndarray, cosine: np.ndarray) -> float:
@@ -283,11 +276,9 @@ def _counter(terms: dict[bytes, int]):
     """A function from a text to the numbers and counts of the words that are terms."""
 
     def count(text: bytes) -> Counts:
-        found = Counter(words_of(text))
-        held = [(terms[w], n) for w, n in found.items() if w in terms]
-        ids = np.array([i for i, _ in held], np.int32)
-        order = np.argsort(ids)
-        return ids[order], np.array([n for _, n in held], np.int64)[order]
+        held = [i for i in map(terms.get, words_of(text)) if i is not None]
+        ids, times = np.unique(np.array(held, np.int32), return_counts=True)
+        return ids, times
 
     return count
 
