@@ -20,7 +20,7 @@ from newsprep.llm.shared import utf8, written
 #: Examples of each label that are learnt from.
 EXAMPLES = 4000
 #: Words in more than this share of the examples also lie in a matrix.
-FREQUENT = 0.1
+FREQUENT = 0.06
 #: What the weight of a word that is no rarer among clean examples than elsewhere is
 #: multiplied by; one that is adds the logarithm of how much rarer.
 LEAST_CONTRAST = 0.05
@@ -57,7 +57,8 @@ def training_ids(labels: DataFrame, id_col: str, label_col: str, examples: int)
 def spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers from each start to before its end, and how many these are."""
     n = end - start
-    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+    first = start - (np.cumsum(n, dtype=start.dtype) - n)
+    return np.repeat(first, n) + np.arange(int(n.sum()), dtype=start.dtype), n
 
 
 #: Numbers of terms, and how often a text has them.
@@ -99,15 +100,15 @@ class Index:
         order = np.argsort(self.has, kind="stable")
         term = self.has[order]
         #: By term: where its postings begin; by posting: example and weight.
-        self.start = np.searchsorted(term, np.arange(terms + 1))
+        self.start = np.searchsorted(term, np.arange(terms + 1)).astype(np.int32)
         self.example, self.weight = example[order], self.has_weight[order]
         key = term.astype(np.int64) * (n // BLOCK + 1) + self.example // BLOCK
         first = np.flatnonzero(np.diff(key, prepend=-1))
         #: By term: where its blocks begin; by block: its number, greatest weight and postings.
-        self.block_start = np.searchsorted(term[first], np.arange(terms + 1))
+        self.block_start = np.searchsorted(term[first], np.arange(terms + 1)).astype(np.int32)
         self.block = self.example[first] // BLOCK
         self.block_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.block_from = np.append(first, len(term))
+        self.block_from = np.append(first, len(term)).astype(np.int32)
         #: By term: its row of the matrix, or -1.
         often = np.flatnonzero(np.diff(self.start) > FREQUENT * n)
         self.row = np.full(terms, -1)
@@ -292,12 +293,12 @@ def _document_counts(texts: DataFrame, terms: Broadcast) -> tuple[np.ndarray, in
     out = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rows = _counter(_numbers(terms.value)), 0
+        number, rows = _numbers(terms.value).get, 0
         totals = np.zeros(len(terms.value), np.int64)
         for batch in batches:
             rows += batch.num_rows
             for text in utf8(batch.column(0)):
-                totals[count(text)[0]] += 1
+                totals[[i for i in map(number, set(words_of(text))) if i is not None]] += 1
         has = np.flatnonzero(totals)
         columns = [pa.array([-1, *has], pa.int32()), pa.array([rows, *totals[has]], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, schema=out)
