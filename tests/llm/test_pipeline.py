@@ -90,7 +90,7 @@ def test_empty_tables(spark, folder):
 def test_registered():
     import __spark_entry__
 
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert __spark_entry__.queries().keys() >= QUERIES.keys() | {"pipeline"}
     assert set(__spark_entry__.oracle_sql()) >= set(ORACLES)
     assert "n_words" in CLASHING
