@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from newsprep.llm.shared import LOWER, utf8, written
 
 #: Tokens of a block (a longer document is a block of its own), and n-grams of a bucket.
-BLOCK_TOKENS, BUCKET_KEYS = 1 << 18, 1 << 19
+BLOCK_TOKENS, BUCKET_KEYS = 1 << 20, 1 << 21
 #: How the share of unseen followers falls with a context's count: count ** (NOVELTY - 1).
 NOVELTY = 0.75
 #: Hashes of the end and of the start; no word is empty or has a space.
@@ -126,6 +126,11 @@ class Block:
             distinct, which = np.unique(keys[at], return_inverse=True)
             yield n, at, distinct, which
 
+    def learnt(self, at: np.ndarray, which: np.ndarray, size: int) -> np.ndarray:
+        """How often each of the n-grams of grams() occurs in the documents learnt from."""
+        learn = np.repeat(self.train, self.lengths + 1)[at]
+        return np.bincount(which, weights=learn, minlength=size).astype(np.int64)
+
 
 COUNTED = "n int, bucket bigint, block bigint, keys binary, counts binary"
 
@@ -136,39 +141,35 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def sent_keys(keys: np.ndarray, n: int, bucket: int, buckets: int) -> bytes:
-    """The ordered keys of a bucket's n-grams: longer ones by their steps, if that is less.
+    """The ordered keys of a bucket's n-grams by their steps, or whole if that is less.
 
-    Places are counted from the bucket's least key, and lose their last bits where they
-    would take more than SENT_LONG bytes.
+    Places are counted from the bucket's least key; those of longer n-grams lose their last
+    bits where they would take more than SENT_LONG bytes.
     """
-    if n == 1:
-        return keys.tobytes()
-    widest = (1 << 64) // buckets + (1 << 32)
-    cut = max(0, min(64, widest.bit_length()) - 8 * SENT_LONG)
+    widest, width = (1 << 64) // buckets + (1 << 32), 8 if n == 1 else SENT_LONG
+    cut = max(0, min(64, widest.bit_length()) - 8 * width)
     places = (keys - np.uint64(-(-(bucket << 32) // buckets) << 32)) >> np.uint64(cut)
     steps = pack(np.diff(places, prepend=np.uint64(0)))
-    if len(steps) < SENT_LONG * len(keys):
+    if len(steps) < width * len(keys):
         return b"\1" + steps
-    return b"\0" + places.view(np.uint8).reshape(-1, 8)[:, :SENT_LONG].tobytes()
+    return b"\0" + places.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def received_keys(data: bytes, n: int) -> np.ndarray:
-    """The numbers that sent_keys() has sent."""
-    if n == 1:
-        return np.frombuffer(data, "<u8")
+    """The numbers that sent_keys() has sent: the keys' places in their bucket."""
     if data[0]:
         return np.cumsum(unpack(data[1:], "<u8"), dtype=np.uint64)
-    parts = np.frombuffer(data, np.uint8, offset=1).reshape(-1, SENT_LONG)
+    width = 8 if n == 1 else SENT_LONG
+    parts = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
     whole = np.zeros((len(parts), 8), np.uint8)
-    whole[:, :SENT_LONG] = parts
+    whole[:, :width] = parts
     return whole.view("<u8").ravel()
 
 
 def count_block(block: int, held: Block, order: int, buckets: int) -> Iterator[tuple]:
     """Rows of COUNTED: the block's n-grams, with counts in the documents learnt from."""
-    learn = np.repeat(held.train, held.lengths + 1)
     for n, at, keys, which in held.grams(order):
-        counts = np.bincount(which, weights=learn[at], minlength=len(keys)).astype("<u8")
+        counts = held.learnt(at, which, len(keys)).astype("<u8")
         bucket = buckets_of(keys, buckets)
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -177,15 +178,16 @@ def count_block(block: int, held: Block, order: int, buckets: int) -> Iterator[t
 
 
 TOTALS = (
-    "n int, bucket bigint, block bigint, totals binary, "
+    "n int, bucket bigint, block bigint, others binary, "
     "tokens bigint, types bigint, once bigint, power double"
 )
 
 
 def add_up(rows: pa.Table) -> pa.Table:
-    """Totals of one bucket's n-grams, for each block in the order of its keys.
+    """Counts of one bucket's n-grams in other blocks, for each block in its keys' order.
 
-    The first row also has what the model needs of all: the sum of the totals, how many
+    Most n-grams of a block are in no other, so these numbers take far less than totals,
+    which a block gets by adding its own counts. The first row also has what the model needs of all: the sum of the totals, how many
     n-grams have one, how many have 1, and the sum of their powers NOVELTY.
     """
     n = rows.column("n")[0].as_py()
@@ -195,7 +197,10 @@ def add_up(rows: pa.Table) -> pa.Table:
     totals = np.zeros(len(keys), np.int64)
     np.add.at(totals, which, np.concatenate(counts).astype(np.int64))
     ends = np.cumsum([len(p) for p in parts])
-    back = [pack(totals[w].astype("<u8")) for w in np.split(which, ends[:-1])]
+    back = [
+        pack((totals[w] - own.astype(np.int64)).astype("<u8"))
+        for w, own in zip(np.split(which, ends[:-1]), counts, strict=True)
+    ]
     seen = totals[totals > 0]
     stats = [int(seen.sum()), len(seen), int((seen == 1).sum()), float((seen**NOVELTY).sum())]
     first = [[s] + [0] * (len(parts) - 1) for s in stats]
@@ -204,7 +209,7 @@ def add_up(rows: pa.Table) -> pa.Table:
             "n": rows.column("n"),
             "bucket": rows.column("bucket"),
             "block": rows.column("block"),
-            "totals": pa.array(back, pa.binary()),
+            "others": pa.array(back, pa.binary()),
             "tokens": pa.array(first[0], pa.int64()),
             "types": pa.array(first[1], pa.int64()),
             "once": pa.array(first[2], pa.int64()),
@@ -238,14 +243,14 @@ class Automaton:
     weight of that state's failure arc, to the state of the context without its first word.
     """
 
-    def __init__(self, held: Block, totals: dict[int, np.ndarray], model: Model):
+    def __init__(self, held: Block, others: dict[int, np.ndarray], model: Model):
         size = len(held.hashes)
         probability, before = np.ones(size), np.zeros(size, np.int64)
         self.known = np.zeros(size, bool)
         self.arcs, self.fail = [None], [None, None]
-        for n, at, _, which in held.grams(model.order):
+        for n, at, keys, which in held.grams(model.order):
             count = np.zeros(size, np.int64)
-            count[at] = totals[n][which]
+            count[at] = (others[n] + held.learnt(at, which, len(keys)))[which]
             if n == 1:
                 self.known[at] = count[at] > 0
                 smooth = model.tokens + 0.5 * (model.types + 1)
@@ -290,9 +295,9 @@ SCORES = (
 )
 
 
-def score_block(row: dict, totals: dict[int, np.ndarray], model: Model) -> list[tuple]:
+def score_block(row: dict, others: dict[int, np.ndarray], model: Model) -> list[tuple]:
     held = Block.of(row)
-    automaton = Automaton(held, totals, model)
+    automaton = Automaton(held, others, model)
     rows = []
     for doc_id, train, begin, length in zip(
         held.doc_id, held.train.tolist(), held.begin.tolist(), held.lengths.tolist(), strict=True
@@ -330,8 +335,8 @@ def backoff_scores(
 
     Documents are packed into blocks, and written as such. A block sends its distinct
     n-grams to buckets, ranges of hashes whose number follows the corpus; a bucket adds up
-    and returns totals in the order received; a block then has every arc that its texts
-    can take, and walks them. An n-gram comes from a block once however often it occurs
+    and returns the counts of other blocks in the order received; a block then has every
+    arc that its texts can take, and walks them. An n-gram comes from a block once however often it occurs
     there, so no key is hot, and neither a bucket nor a block grows with the corpus. Words
     are told apart by 64 bits, longer n-grams by SENT_LONG bytes within their bucket.
 
@@ -388,7 +393,7 @@ def backoff_scores(
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by([("n", "ascending"), ("bucket", "ascending")])
         held: dict[int, list[np.ndarray]] = {n: [] for n in range(1, order + 1)}
-        for n, data in zip(right.column("n").to_pylist(), right.column("totals"), strict=True):
+        for n, data in zip(right.column("n").to_pylist(), right.column("others"), strict=True):
             held[n].append(unpack(data.as_py(), "<u8").astype(np.int64))
         joined = {n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in held.items()}
         rows = [r for row in left.to_pylist() for r in score_block(row, joined, model)]
@@ -398,5 +403,5 @@ def backoff_scores(
             {c: pa.array([r[k] for r in rows], types[k]) for k, c in enumerate(names)}
         )
 
-    delivered = totals.select("n", "bucket", "block", "totals")
+    delivered = totals.select("n", "bucket", "block", "others")
     return blocks.groupBy("block").cogroup(delivered.groupBy("block")).applyInArrow(score, SCORES)
