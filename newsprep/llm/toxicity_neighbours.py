@@ -21,6 +21,8 @@ from newsprep.llm.shared import utf8, written
 EXAMPLES = 4000
 #: Words in more than this share of the examples also lie in a matrix.
 FREQUENT = 0.06
+#: Words with more blocks than this share of their postings are added up without bounds.
+THIN = 0.35
 #: What the weight of a word that is no rarer among clean examples than elsewhere is
 #: multiplied by; one that is adds the logarithm of how much rarer.
 LEAST_CONTRAST = 0.05
@@ -57,8 +59,10 @@ def training_ids(labels: DataFrame, id_col: str, label_col: str, examples: int)
 def spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers from each start to before its end, and how many these are."""
     n = end - start
-    first = start - (np.cumsum(n, dtype=start.dtype) - n)
-    return np.repeat(first, n) + np.arange(int(n.sum()), dtype=start.dtype), n
+    before = np.cumsum(n)
+    found = np.arange(int(before[-1]) if len(n) else 0)
+    found += np.repeat(start - (before - n), n)
+    return found, n
 
 
 #: Numbers of terms, and how often a text has them.
@@ -99,16 +103,19 @@ class Index:
         self.has_weight = weight / np.maximum(length, 1e-12)[example]
         order = np.argsort(self.has, kind="stable")
         term = self.has[order]
-        #: By term: where its postings begin; by posting: example and weight.
-        self.start = np.searchsorted(term, np.arange(terms + 1)).astype(np.int32)
-        self.example, self.weight = example[order], self.has_weight[order]
+        #: By term: where its postings begin; by posting: example and weight. What numpy
+        #: takes as an index has the width of its own, so that no search converts it.
+        self.start = np.searchsorted(term, np.arange(terms + 1))
+        self.example, self.weight = example[order].astype(np.intp), self.has_weight[order]
         key = term.astype(np.int64) * (n // BLOCK + 1) + self.example // BLOCK
         first = np.flatnonzero(np.diff(key, prepend=-1))
         #: By term: where its blocks begin; by block: its number, greatest weight and postings.
-        self.block_start = np.searchsorted(term[first], np.arange(terms + 1)).astype(np.int32)
+        self.block_start = np.searchsorted(term[first], np.arange(terms + 1))
         self.block = self.example[first] // BLOCK
         self.block_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.block_from = np.append(first, len(term)).astype(np.int32)
+        self.block_from = np.append(first, len(term))
+        #: By term: does a block hold so few of its postings that a bound saves nothing?
+        self.thin = THIN * np.diff(self.start) < np.diff(self.block_start)
         #: By term: its row of the matrix, or -1.
         often = np.flatnonzero(np.diff(self.start) > FREQUENT * n)
         self.row = np.full(terms, -1)
@@ -148,8 +155,9 @@ class Index:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0, and their cosines; least first on ties.
 
-        What frequent words add is known for every example; bounds of blocks are summed
-        for the others. Blocks are scored by falling bound until no other's reaches the
+        What frequent words add is known for every example, and words whose postings lie
+        alone in their blocks are added outright; bounds of blocks are summed for the
+        others. Blocks are scored by falling bound until no other's reaches the
         k-th cosine. What is left out can't be among the k, so the result is that of a full
         comparison, cosines being equal if their first nine digits are.
         """
@@ -158,6 +166,12 @@ class Index:
         score = np.zeros(blocks * BLOCK)
         score[:n] = whole = self.frequent([(ids, w)])[0] if frequent is None else frequent
         rare = self.row[ids] < 0
+        thin = rare & self.thin[ids]
+        place, times = spans(self.start[ids[thin]], self.start[ids[thin] + 1])
+        gains = np.repeat(w[thin], times)
+        gains *= self.weight[place]
+        score += np.bincount(self.example[place], gains, len(score))
+        rare &= ~thin
         at, times = spans(self.block_start[ids[rare]], self.block_start[ids[rare] + 1])
         q, block = np.repeat(w[rare], times), self.block[at]
         bound = score.reshape(blocks, BLOCK).max(axis=1)
@@ -173,7 +187,8 @@ class Index:
             inside = wanted[block]
             entry = at[inside]
             place, times = spans(self.block_from[entry], self.block_from[entry + 1])
-            gains = np.repeat(q[inside], times) * self.weight[place]
+            gains = np.repeat(q[inside], times)
+            gains *= self.weight[place]
             score[:] += np.bincount(self.example[place], gains, len(score))
             if without >= 0:
                 score[without] = 0

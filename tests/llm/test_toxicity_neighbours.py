@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from newsprep.llm import toxicity_neighbours as N
@@ -58,8 +59,13 @@ def small_index(seed=1, n=700, terms=40):
     return N._postings(rows, names), rows
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize(("thin", "frequent"), [(0, 0.06), (0, 1), (0.35, 0.06), (0.35, 1), (2, 1)])
+def test_block_max_search_is_exact(thin, frequent, monkeypatch):
+    """With bounds for no word, for some and for all."""
+    monkeypatch.setattr(N, "THIN", thin)
+    monkeypatch.setattr(N, "FREQUENT", frequent)
     index, rows = small_index()
+    assert thin == 0.35 or index.thin.any() == (thin == 0)
     dense = np.zeros((len(rows), len(index.idf)))
     for i, (_, _, counts) in enumerate(rows):
         ids, w = index.weights(counts)
