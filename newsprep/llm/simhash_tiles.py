@@ -225,13 +225,34 @@ def simhash_components(
     )
 
 
+def only_at(rows: DataFrame, chosen: DataFrame, place: str) -> DataFrame:
+    """The rows whose place is one of chosen, a numbering by monotonically_increasing_id().
+
+    chosen becomes one bitmap of 4 kB for each 32,768 places of a piece of the table, and
+    rows look up their bit. So the join has a row for each bitmap, which Spark broadcasts
+    as long as its measured size allows: the rows then stay where they are.
+    """
+    number = F.bitmap_bucket_number(place)
+    maps = chosen.groupBy(number.alias("_number")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    )
+    maps = written(maps, "bitmaps")
+    at = F.bitmap_bit_position(place)
+    byte = F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))
+    bit = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.pow(F.lit(2), at % 8).cast("int"))
+    joined = rows.join(maps, number == F.col("_number"))
+    return joined.filter(bit != 0).drop("_number", "_bits")
+
+
 def keep_one_each(
     docs: DataFrame, *, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """docs with one row of each component of simhash_components(), all columns kept.
 
     It is the row with the least id; of rows that share that id and their fingerprint, the
-    one with the least text. Rows that repeat both are reduced before they are shuffled.
+    one whose text has the least SHA-256, and of rows that share that too the first of the
+    table. It is chosen by numbers alone; texts are written once with their fingerprints,
+    and read again where they lie to take the chosen rows: see only_at().
     """
     row = F.struct(*(F.col(c) for c in docs.columns))
     held = docs.select(
@@ -245,11 +266,15 @@ def keep_one_each(
             columns = [*batch.columns, pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    marked = held.mapInArrow(run, schema).drop("text")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    marked = held.mapInArrow(run, schema).select(
+        "doc_id", "fp", digest.alias("digest"), F.monotonically_increasing_id().alias("place"), "row"
+    )
     marked = written(marked, "marked")
     named = clusters(marked.select("doc_id", "fp"), radius).filter("keeper")
-    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
-    single = marked.groupBy("fp", "doc_id").agg(F.min_by("row", text).alias("row"))
+    least = F.min(F.struct("digest", "place")).alias("least")
+    single = marked.groupBy("fp", "doc_id").agg(least).select("fp", "doc_id", "least.place")
     kept = named.select("fp", F.col("least").alias("doc_id"))
     same = (single["fp"] == kept["fp"]) & single["doc_id"].eqNullSafe(kept["doc_id"])
-    return single.join(kept, same, "left_semi").select("row.*")
+    chosen = single.join(kept, same, "left_semi").select("place")
+    return only_at(marked.select("place", "row"), chosen, "place").select("row.*")

@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from newsprep.llm import simhash_tiles as S
 from tests.llm.rows import AWKWARD, collected, documents, given, ordered
@@ -103,3 +105,22 @@ def test_rows_that_repeat_id_and_text_are_one(spark):
     rows = [(5, "a b c d"), (5, "a b c d"), (5, "x y z w"), (6, "a b c d")]
     kept = S.keep_one_each(documents(spark, rows))
     assert collected(kept, "doc_id", "text") == [(5, "a b c d"), (5, "x y z w")]
+
+
+def test_rows_are_taken_where_they_lie(spark):
+    """Bitmaps find exactly the chosen places, over pieces and beyond one bitmap."""
+    rows = spark.range(0, 200_000, 1, 3).withColumn("place", F.monotonically_increasing_id())
+    chosen = rows.filter("id % 7 = 3 OR id IN (0, 32767, 32768, 199999)")
+    found = S.only_at(rows, chosen.select("place"), "place")
+    assert found.columns == rows.columns
+    assert sorted(r["id"] for r in found.collect()) == sorted(r["id"] for r in chosen.collect())
+    assert S.only_at(rows, chosen.select("place").limit(0), "place").count() == 0
+
+
+def test_ties_of_id_and_fingerprint_go_by_the_text(spark):
+    """Case does not count for the fingerprint: of these two texts one stays, always the same."""
+    texts = ["a b c d", "A B C D"]
+    least = min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    for some in (texts, texts[::-1]):
+        kept = S.keep_one_each(documents(spark, [(5, t) for t in some]))
+        assert [r["text"] for r in kept.collect()] == [least]
