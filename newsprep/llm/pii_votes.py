@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Kinds in their order; the first four are those of the base rules.
-KINDS = ("email", "ip", "card", "phone", "iban", "secret", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret", "ssn", "birth", "passport", "address")
 BASE = KINDS[:4]
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -39,6 +40,25 @@ SPELT = re.compile(
     r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)) ?[a-z0-9-]{1,63}"
     r"(?: ?(?:\.|\[dot\]|\(dot\)) ?[a-z0-9-]{1,24}){1,3}"
 )
+# Secrets that their form gives away: cloud access keys, signed tokens of three parts, and
+# tokens that say what they are for.
+ACCESS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
+PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:sk|pk|ghp|gho|ghs|glpat|xox[abp])[_-][A-Za-z0-9_-]{16,}")
+KEY_BEGINS, KEY_ENDS = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"), re.compile(r"-----END [A-Z ]{0,40}KEY-----")
+IPV6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
+# A national number after its trunk zero.
+TRUNK = re.compile(r"(?<![0-9+().-])\(?0[0-9]{1,4}\)?[ /-][0-9]{3,4}(?:[ -]?[0-9]{2,4}){1,2}(?![0-9])")
+# What only a word before it makes personal; the value is the group.
+BIRTH = re.compile(
+    r"(?i)(?<![a-z])(?:date of birth|birth ?date|born on|born|dob)[:,]? {0,3}"
+    r"([0-9]{1,4}[./-][0-9]{1,2}[./-][0-9]{2,4}|[0-9]{1,2}\.? [a-z]{3,9},? [0-9]{4}|[a-z]{3,9} [0-9]{1,2},? [0-9]{4})(?![0-9])"
+)
+PASSPORT = re.compile(r"(?i)(?<![a-z])passport(?: ?(?:no|number|nr))?\.?[:#]? {0,3}([A-Z]{0,2}[0-9]{6,9})(?![A-Za-z0-9])")
+ADDRESS = re.compile(
+    r"(?<![0-9A-Za-z])[0-9]{1,5}[A-Za-z]? (?:[A-Z][a-z]{1,15} ){1,3}"
+    r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Court|Ct)(?![A-Za-z])"
+)
 
 # Gazetteers, fixed values.
 DOMAINS = frozenset(
@@ -63,10 +83,15 @@ FOR = {
     "iban": ("iban", "account", "bank", "transfer"),
     "secret": ("token", "secret", "passw", "key", "auth"),
     "ssn": ("ssn", "social", "security"),
+    "birth": ("birth", "born", "dob"),
+    "passport": ("passport", "travel"),
+    "address": ("address", "live", "resid", "home", "mail", "ship", "deliver", "at "),
 }
 AGAINST = ("isbn", "issn", "version", "order", "invoice", "page", "figure", "serial", "sha", "md5")
 BEFORE = 40
 
+MONTHS = frozenset("jan feb mar apr may jun jul aug sep oct nov dec".split())
+
 LABELERS = ("pattern", "checksum", "gazetteer", "context", "surroundings", "variety")
 #: What the classifier sees besides kind and votes, each with its number of values.
 FEATURES = {"length": 4, "digits": 3, "left": 4, "right": 4}
@@ -117,6 +142,22 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
+def private_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Blocks of private keys, each to its end line, or the text's end."""
+    at = 0
+    while begins := KEY_BEGINS.search(text, at):
+        ends = KEY_ENDS.search(text, begins.end())
+        at = ends.end() if ends else len(text)
+        yield begins.start(), at
+
+
+def is_ipv6(value: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(value))
+    except ValueError:
+        return False
+
+
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
     """Other spans that may be personal data, none overlapping a span of the base rules."""
     found = []
@@ -128,6 +169,17 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, s
         for kind, pattern in (("phone", NATIONAL), ("ssn", SSN), ("iban", IBAN), ("secret", HEX)):
             found += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
         found += [(m.start(), "card", m.end()) for m in GROUPED.finditer(text)]
+        for kind, pattern in (("phone", TRUNK), ("address", ADDRESS)):
+            found += [(m.start(), kind, m.end()) for m in pattern.finditer(text)]
+        for kind, pattern in (("birth", BIRTH), ("passport", PASSPORT)):
+            found += [(m.start(1), kind, m.end(1)) for m in pattern.finditer(text)]
+    for sign, pattern in (("AKIA", ACCESS), ("ASIA", ACCESS), ("eyJ", SIGNED), ("_", PREFIXED), ("-", PREFIXED)):
+        if sign in text:
+            found += [(m.start(), "secret", m.end()) for m in pattern.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [(a, "secret", b) for a, b in private_keys(text)]
+    if "::" in text or text.count(":") > 6:
+        found += [(m.start(), "ip", m.end()) for m in IPV6.finditer(text) if is_ipv6(m[0])]
     ends = np.array([0] + sorted(b for _, _, b in base))
     starts = np.array(sorted(a for a, _, _ in base) + [len(text) + 1])
     # As many base spans end at or before a span as begin before its end, if none overlaps.
@@ -161,6 +213,10 @@ def votes_of(text: str, span: tuple[int, str, int], is_base: bool) -> tuple[int,
     if kind == "email":
         top = re.split(r"[^A-Za-z0-9]+", value.rstrip(")]"))[-1].lower()
         check, gazetteer = sign(top.isalpha() and len(top) > 1), 1 if top in DOMAINS else 0
+    elif kind == "ip" and ":" in value:
+        parsed = ipaddress.IPv6Address(value)
+        pattern = sign(len(value) > 6)
+        check, gazetteer = sign(not (parsed.is_loopback or parsed.is_unspecified)), 0
     elif kind == "ip":
         first = value.split(".")[0].lstrip("0")
         check, gazetteer = sign(octets(value)), 0 if first else -1
@@ -177,8 +233,18 @@ def votes_of(text: str, span: tuple[int, str, int], is_base: bool) -> tuple[int,
         gazetteer = sign(plain[:2] in IBAN_LANDS)
     elif kind == "secret":
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        check, gazetteer = sign(mixed and entropy(value) > 3), 0
+        form = value.startswith("-----BEGIN") or ACCESS.fullmatch(value) or SIGNED.fullmatch(value)
+        check, gazetteer = sign(mixed and entropy(value) > (2.5 if form else 3)), 1 if form else 0
         pattern = 0 if HEX.fullmatch(value) and SECRET.search(before + value) is None else 1
+    elif kind == "birth":
+        years = [int(y) for y in re.findall(r"(?<![0-9])[0-9]{4}(?![0-9])", value)]
+        names = [w[:3].lower() for w in re.findall(r"[A-Za-z]+", value)]
+        pattern, check = 1, sign(all(1880 <= y <= 2030 for y in years))
+        gazetteer = sign(names[0] in MONTHS) if names else 0
+    elif kind == "passport":
+        pattern, check, gazetteer = 1, sign(len(set(value)) > 2), 0
+    elif kind == "address":
+        pattern, check, gazetteer = 0, sign(not value.startswith("0")), 1
     else:
         area = digits[:3]
         check = sign(area not in ("000", "666") and area < "900" and digits[3:5] != "00")
@@ -278,7 +344,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     """The model of all spans of all texts.
 
     Tasks count equal (kind, votes, features); only these counts reach the driver. There
-    are at most 7 * 3**6 * 4*3*4*4 of them, whatever the size of the corpus, and some
+    are at most 10 * 3**6 * 4*3*4*4 of them, whatever the size of the corpus, and some
     hundreds in fact.
     """
     names = [*LABELERS, *FEATURES]
