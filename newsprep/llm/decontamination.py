@@ -267,8 +267,9 @@ def decontaminate(
 
     Each task packs the documents it reads into shards of about SHARD_WORDS words and
     indexes them, so memory is bounded by a shard, or one document if that is longer, and
-    no text is shuffled. The benchmark is the query set: it is broadcast in blocks of
-    BLOCK_WINDOWS windows, each searched in turn, so it may be of any size.
+    no text is shuffled. The benchmark is the query set: it passes the driver block
+    by block and is broadcast in blocks of BLOCK_WINDOWS windows, each searched in turn. A
+    worker keeps the blocks that it has read, so all windows have to fit in its memory.
 
     A null text has no words. An item without words matches nothing; items of one id are
     one item, a null id counts as an empty one. Repeated rows get equal results, empty
