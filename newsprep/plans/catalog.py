@@ -190,8 +190,8 @@ def manifest_files(spark, sf_dir):
     manifests = derived.manifests(spark, sf_dir)
     first = derived.run_pairs(manifests).select(F.col("saved_run").alias("run_id")).distinct()
     named = manifests.join(first, "run_id").withColumn("folder", F.col("lineage"))
-    named.drop("run_id", "lineage").repartition("folder").write.partitionBy("folder").json(path)
-    found = runs.read_manifests(spark, f"{path}/*/*.json")
+    runs.write_manifest_files(named.drop("run_id", "lineage"), path, folder="folder")
+    found = runs.read_manifests(spark, f"{path}/*")
     return found.select(
         F.replace("run_id", F.lit("folder="), F.lit("")).alias("lineage"),
         "status",

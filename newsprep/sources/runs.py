@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +36,56 @@ def run_of_path(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
+#: What Spark writes otherwise in names of folders, and the name for no value.
+_ESCAPED, _NO_VALUE = re.compile(r"""[\x01-\x1f"#%'*/:=?\\{[\]^\x7f]"""), "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_name(key: str, value: str | None) -> str:
+    escaped = _NO_VALUE if value is None else _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", value)
+    return f"{key}={escaped}"
+
+
+def write_manifest_files(manifests: DataFrame, path: str, *, folder: str) -> None:
+    """A file of manifests for each value of ``folder``, in the folder ``<folder>=<value>``.
+
+    ``path`` is a new one. Every folder is written by one task, and a task that runs again
+    writes the same files. On a mounted file system tasks open the files themselves: Hadoop
+    starts a process for the permissions of each folder, file and checksum there, and the
+    driver moves one folder after the other.
+    """
+    spark = manifests.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    named = manifests.withColumn(folder, F.nullif(F.col(folder).cast("string"), F.lit("")))
+    dealt = named.repartition(folder)
+    if files.getUri().getScheme() != "file":
+        dealt.write.partitionBy(folder).json(path)
+        return
+    top = at.toUri().getPath()
+    os.makedirs(top)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = ((v, line) for b in batches for v, line in zip(*(c.to_pylist() for c in b.columns)))
+        for value, own in groupby(lines, key=itemgetter(0)):
+            at = f"{top}/{_folder_name(folder, value)}"
+            os.makedirs(at, exist_ok=True)
+            with open(f"{at}/run_manifest.json", "w", encoding="utf-8") as file:
+                file.writelines(f"{line}\n" for _, line in own)
+        yield from ()
+
+    content = F.struct(*(c for c in manifests.columns if c != folder))
+    lines = dealt.select(folder, F.to_json(content).alias("line")).sortWithinPartitions(folder)
+    lines.mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
+
+
 def read_manifests(
     spark: SparkSession, path: str, *, one_per_file: bool = True, schema: str = MANIFEST_SCHEMA
 ) -> DataFrame:
     """Many manifests, either one indented document per file or JSON Lines.
 
     Argument values of any JSON type are read as strings. A malformed document is an error.
+    The executors look into folders that a pattern names; for a pattern of files the driver
+    looks into one folder after the other.
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     manifests = reader.json(path, multiLine=one_per_file)

@@ -117,6 +117,29 @@ def manifests(spark, tmp_path):
     return runs.read_manifests(spark, str(tmp_path / "*" / "run_manifest.json"))
 
 
+def test_manifest_files_are_those_of_sparks_writer(spark, tmp_path):
+    """Same folders, same lines, and nothing but the one file of a folder in it."""
+    values = [None, "", "a", "a", "b/c", "x=y", 'q"%:', "é {z}", *(f"line-{i}" for i in range(40))]
+    rows = [(v, f"s{i}", None if i % 3 else i, {"limit": str(i)}) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "own string, status string, n int, command_arguments map<string, string>")
+
+    def found(path):
+        lines = {}
+        for folder in (f for f in path.iterdir() if f.is_dir()):
+            for file in folder.glob("*.json"):
+                lines[folder.name] = sorted(lines.get(folder.name, []) + file.read_text().splitlines())
+        return lines
+
+    runs.write_manifest_files(df, f"file://{tmp_path}/ours", folder="own")
+    df.repartition("own").write.partitionBy("own").json(str(tmp_path / "theirs"))
+    ours = found(tmp_path / "ours")
+    assert ours == found(tmp_path / "theirs") and len(ours) == 46
+    assert sum(len(list(f.iterdir())) for f in (tmp_path / "ours").iterdir()) == len(ours)
+    read = runs.read_manifests(spark, f"{tmp_path}/ours/*").filter("run_id LIKE 'own=line%'")
+    assert {(r["run_id"], r["command_arguments"]["limit"]) for r in read.collect()} == {
+        (f"own=line-{i}", str(i + 8)) for i in range(40)}
+
+
 def test_registry(spark, manifests):
     jobs = spark.createDataFrame(
         [("one", "failed", 7, "2024-05-01T09:00:00Z", "2024-05-01T09:10:00Z", "h", "o"),
