@@ -146,7 +146,12 @@ def latest_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def joined_registry(manifests: DataFrame, jobs: DataFrame) -> DataFrame:
-    """The registry from any number of ``latest_manifests`` and ``latest_jobs`` put together."""
+    """The registry from any number of ``latest_manifests`` and ``latest_jobs`` put together.
+
+    Rows are dealt out before they are reduced: their runs hardly repeat within a file, and a
+    task would sort all that it reads of these dense files in memory, to no use.
+    """
+    manifests, jobs = manifests.repartition("run_id"), jobs.repartition("run_id")
     last = manifests.groupBy("run_id").agg(F.max("manifest").alias("m"))
     job = jobs.groupBy("run_id").agg(F.sum("attempts").alias("attempts"), F.max("job").alias("j"))
     return _registry(last, job)

@@ -118,15 +118,16 @@ def append_to_table(stream: DataFrame, *, table: str, progress: str) -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(table)
 
 
-def replace_groups(table: str, keys: Sequence[str]):
+def replace_groups(table: str, keys: Sequence[str], one_file: bool = True):
     """A batch writer that replaces the folder of every group in the batch, and no other.
 
     A folder's name is the group's key, so a batch that is written again, whole or after
-    half of it, leaves the same files. New files are complete before old ones go.
+    half of it, leaves the same rows. New files are complete before old ones go. A group's
+    rows go through one task and into one file, unless ``one_file`` is off, for large groups.
     """
     def write(batch: DataFrame, _: int) -> None:
         # One file for each folder; a batch has few groups, all of open windows.
-        writer = batch.repartition(*keys).write.mode("overwrite")
+        writer = (batch.repartition(*keys) if one_file else batch).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(table)
 
     return write

@@ -22,7 +22,8 @@ def _files(spark: SparkSession, path: str, schema: str, one_per_file: bool) -> D
 
 
 def _taken_in(entries: DataFrame, reduce: Callable[[DataFrame], DataFrame], table: str, progress: str):
-    replace = replace_groups(table, ("batch_id",))
+    # A batch is one group, of as many rows as it has runs.
+    replace = replace_groups(table, ("batch_id",), False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         replace(reduce(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)

@@ -236,6 +236,33 @@ def test_registry_takes_in_new_files_only(spark, tmp_path, monkeypatch):
     assert take_in()[0] == [0, 0]
 
 
+def test_a_batch_of_the_registry_is_not_one_tasks_work(spark, tmp_path):
+    """Rows of a batch are written where they are, and dealt out before they are reduced."""
+    folder, coalesce = str(tmp_path / "kept"), "spark.sql.adaptive.coalescePartitions.enabled"
+    one = {"created_at": "2024-05-01T10:00:00Z", "dataset": {"train_rows": 1, "eval_rows": 1}}
+    lines = [json.dumps({"run_id": f"r{i % 400}", "status": f"s{i // 400}", **one}) for i in range(800)]
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs" / "a.json").write_text("\n".join(lines))
+    (tmp_path / "jobs").mkdir()
+    (tmp_path / "jobs" / "a.json").write_text("\n".join(
+        json.dumps({"status": "failed", "exit_code": i, "output_dir": f"outputs/r{i}"}) for i in range(400)))
+    spark.conf.set(coalesce, "false")
+    try:
+        registry.take_in_manifests(spark, f"{tmp_path}/runs", folder=folder, one_per_file=False)
+        registry.take_in_jobs(spark, f"{tmp_path}/jobs", folder=folder, one_per_file=False)
+        found = registry.read_registry(spark, folder)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set(coalesce, "true")
+    for kind in ("manifests", "jobs"):
+        assert len(list((tmp_path / "kept" / kind / "batch_id=0").glob("*.parquet"))) == 8
+    assert len(rows) == 400 and {(r["status"], r["job_attempts"]) for r in rows} == {("s1", 1)}
+    # Below an exchange nothing is reduced, so nothing is sorted for it either.
+    below = plan.split("Exchange hashpartitioning(run_id")[1:]
+    assert len(below) == 2 and not any("partial_max" in p.split("FileScan")[0] for p in below)
+
+
 def test_a_batch_that_is_appended_again_replaces_itself(spark, tmp_path):
     def records(*ids):
         rows = [(i, "Positive", None, "r", None, 0.5, False, "x") for i in ids]
