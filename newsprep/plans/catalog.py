@@ -98,8 +98,8 @@ def predictions_jsonl_roundtrip(spark, sf_dir):
 @query
 def run_registry(spark, sf_dir):
     manifests, jobs = new_path(spark, "manifests"), new_path(spark, "jobs")
-    derived.manifests(spark, sf_dir).drop("lineage").write.json(manifests)
-    derived.jobs(spark, sf_dir).write.json(jobs)
+    runs.write_entries(derived.manifests(spark, sf_dir).drop("lineage"), manifests)
+    runs.write_entries(derived.jobs(spark, sf_dir), jobs)
     attempts = runs.read_job_statuses(spark, jobs, one_per_file=False)
     return runs.run_registry(
         runs.read_manifests(spark, manifests, one_per_file=False),
@@ -116,8 +116,8 @@ def run_registry_in_parts(spark, sf_dir):
     jobs = derived.jobs(spark, sf_dir).withColumn("run_id", F.element_at(F.split("output_dir", "/"), -1))
     late = F.col("finished_at") > "1995-01-01"
     for manifest_load, job_load in ((~second, ~late), (second, late)):
-        manifests.filter(manifest_load).write.mode("append").json(f"{path}/manifests")
-        jobs.filter(job_load).drop("run_id").write.mode("append").json(f"{path}/jobs")
+        runs.write_entries(manifests.filter(manifest_load), f"{path}/manifests", mode="append")
+        runs.write_entries(jobs.filter(job_load).drop("run_id"), f"{path}/jobs", mode="append")
         registry.take_in_manifests(spark, f"{path}/manifests", folder=f"{path}/kept", one_per_file=False)
         registry.take_in_jobs(spark, f"{path}/jobs", folder=f"{path}/kept", one_per_file=False)
     return registry.read_registry(spark, f"{path}/kept")

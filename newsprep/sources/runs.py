@@ -78,6 +78,17 @@ def write_manifest_files(manifests: DataFrame, path: str, *, folder: str) -> Non
     lines.mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
 
 
+#: Entries of a compressed file. One task reads it whole, and some others beside it, since
+#: Spark puts small files together; their entries are sorted in the task's memory.
+FILE_ENTRIES = 50_000
+
+
+def write_entries(entries: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+    """Manifests or job statuses as compressed JSON Lines, in files of bounded size."""
+    writer = entries.write.mode(mode).option("maxRecordsPerFile", FILE_ENTRIES)
+    writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").json(path)
+
+
 def read_manifests(
     spark: SparkSession, path: str, *, one_per_file: bool = True, schema: str = MANIFEST_SCHEMA
 ) -> DataFrame:

@@ -1,5 +1,6 @@
 """Files, run tables, plug-ins and streams."""
 
+import datetime
 import json
 import os
 import sys
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from newsprep import session
 from newsprep.functions import chat
 from newsprep.operators import governance, plugins
+from newsprep.plans.catalog import QUERIES
 from newsprep.sources import articles, datasets, predictions, runs
 from newsprep.streaming import monitors, registry
 
@@ -263,6 +265,33 @@ def test_a_batch_of_the_registry_is_not_one_tasks_work(spark, tmp_path):
     assert len(below) == 2 and not any("partial_max" in p.split("FileScan")[0] for p in below)
 
 
+def test_entries_are_kept_in_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "FILE_ENTRIES", 10)
+    jobs = spark.range(25).select(F.lit("failed").alias("status"), F.concat(F.lit("outputs/"), "id").alias("output_dir"))
+    for _ in range(2):
+        runs.write_entries(jobs.coalesce(1), str(tmp_path / "jobs"), mode="append")
+    found = runs.read_job_statuses(spark, str(tmp_path / "jobs"), one_per_file=False)
+    assert sorted(r["output_dir"] for r in found.collect()) == sorted(f"outputs/{i}" for i in range(25) for _ in "ab")
+    assert len(found.inputFiles()) == 6 and all(f.endswith(".json.gz") for f in found.inputFiles())
+
+    day = datetime.datetime(1994, 5, 1)
+    spark.createDataFrame(
+        [(1, 5, "F", 100.0, day, "1-URGENT"), (2, None, "P", 50.5, day, None), (3, 6, "O", 7.0, None, "2-HIGH")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        [(1, 3, "R", day, 2.0), (1, None, "N", day, 3.0), (2, 4, None, None, 1.0)],
+        "l_orderkey long, l_suppkey long, l_returnflag string, l_shipdate timestamp_ntz, l_quantity double",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("run_registry", "run_registry_in_parts"):
+        registered = QUERIES[name](spark, str(tmp_path))
+        rows = sorted((r["run_id"], r["status"], r["train_rows"], r["job_attempts"]) for r in registered.collect())
+        assert rows[0] == ("run-1", "completed", 100, 2) and rows[2] == ("run-3", "training", 7, 0)
+        if name == "run_registry":
+            assert rows[1] == ("run-2", "failed", 50, 1)
+            assert all(f.endswith(".json.gz") for f in registered.inputFiles())
+
+
 def test_a_batch_that_is_appended_again_replaces_itself(spark, tmp_path):
     def records(*ids):
         rows = [(i, "Positive", None, "r", None, 0.5, False, "x") for i in ids]
