@@ -1,6 +1,7 @@
 """Files, run tables, plug-ins and streams."""
 
 import datetime
+import gzip
 import json
 import os
 import sys
@@ -142,6 +143,58 @@ def test_manifest_files_are_those_of_sparks_writer(spark, tmp_path):
         (f"own=line-{i}", str(i + 8)) for i in range(40)}
 
 
+def test_very_many_manifest_folders_are_listed_by_tasks(spark, tmp_path):
+    """The rows of Spark's reader, without a list of files on the driver."""
+    documents = {
+        "one line": b'{"status": "a", "command_arguments": {"limit": 5, "x": true}}',
+        "no name": b'{"run_id": null, "status": "b"}', "own name": b'{"run_id": "mine", "status": "c"}',
+        "indented": json.dumps(MANIFEST, indent=2).encode(), "two": b'{"status": "d"}\n{"status": "e"}\n',
+        "array": b'[{"status": "f"}, {"status": "g", "run_id": "h"}]', "no row": b"[]", "nothing": b"", "blank": b" \n",
+        "mark": b'\xef\xbb\xbf{"status": "i"}', "wide": '{"status": "\u00e9"}'.encode("utf-16-le"),
+        "\u00e9 \u2028\u3000\u00a0\U0001f600%41#?&=+;,@!$'()~^`|<>{}[]\"\x7f\x85": b'{"status": "\xc3\xa9"}',
+        **{f"run-{i}": b'{"status": "%d"}' % i for i in range(40)},
+    }
+    for name, content in documents.items():
+        (tmp_path / "runs" / name / "checkpoint").mkdir(parents=True)
+        (tmp_path / "runs" / name / "run_manifest.json").write_bytes(content)
+        (tmp_path / "runs" / name / "_SUCCESS").write_text("hidden")
+        (tmp_path / "runs" / name / "checkpoint" / "state.json").write_text('{"status": "deeper"}')
+    (tmp_path / "runs" / "run-0" / "run_manifest2.json").write_bytes(b'{"status": "second"}')
+    (tmp_path / "runs" / "_SUCCESS").write_text("hidden")
+
+    def both(path):
+        reader = spark.read.schema(runs.MANIFEST_SCHEMA).option("mode", "FAILFAST")
+        theirs = reader.json(path, multiLine=True)
+        own = F.coalesce("run_id", runs.run_of_path(F.input_file_name()))
+        ours = runs.read_manifests(spark, path)
+        assert ours.schema == theirs.schema
+        rows = [sorted(map(str, df.collect())) for df in (ours, theirs.withColumn("run_id", own))]
+        assert rows[0] == rows[1]
+        return len(rows[0]), "FileScan json" in ours._jdf.queryExecution().executedPlan().toString()
+
+    pattern = f"{tmp_path}/runs/*"
+    assert both(pattern) == (51, False) and both(f"file://{tmp_path}/runs/run-1*/") == (11, False)
+    # What Spark takes in its own way it still reads itself.
+    (tmp_path / "runs" / "run-1" / "more.json.gz").write_bytes(gzip.compress(b'{"status": "packed"}'))
+    assert both(pattern) == (52, True)
+    (tmp_path / "runs" / "run-1" / "more.json.gz").unlink()
+    (tmp_path / "runs" / "run-2" / "run_manifest.json").write_text('{"status": "cut of')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        runs.read_manifests(spark, pattern).collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        runs.read_manifests(spark, f"{tmp_path}/runs/none*")
+
+
+def test_manifest_folders_are_whole_whatever_a_task_gets_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "TURN", 3)
+    rows = [(f"line-{i % 45}", str(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, "own string, status string")
+    runs.write_manifest_files(df, str(tmp_path / "ours"), folder="own")
+    found = {f.name: sorted(json.loads(x)["status"] for x in (f / "run_manifest.json").read_text().splitlines())
+             for f in (tmp_path / "ours").iterdir()}
+    assert found == {f"own=line-{i}": sorted(str(n) for n in range(i, 400, 45)) for i in range(45)}
+
+
 def test_registry(spark, manifests):
     jobs = spark.createDataFrame(
         [("one", "failed", 7, "2024-05-01T09:00:00Z", "2024-05-01T09:10:00Z", "h", "o"),
