@@ -72,19 +72,21 @@ def write_manifest_files(manifests: DataFrame, path: str, *, folder: str) -> Non
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for some in (b.slice(at, TURN) for b in batches for at in range(0, len(b), TURN)):
-            values, lines = (c.to_pylist() for c in some.columns)
-            names = [_folder_name(folder, v) for v in values]
-            with alone(top):
-                for name in dict.fromkeys(names):
-                    with contextlib.suppress(FileExistsError):
-                        os.mkdir(f"{top}/{name}")
-            for name, own in groupby(zip(names, lines), key=itemgetter(0)):
-                # The last folder of a turn may go on in the next.
-                mode = "a" if name == last else "w"
-                with open(f"{top}/{name}/run_manifest.json", mode, encoding="utf-8") as file:
+        with contextlib.ExitStack() as opened:
+            for some in (b.slice(at, TURN) for b in batches for at in range(0, len(b), TURN)):
+                values, lines = (c.to_pylist() for c in some.columns)
+                names = [_folder_name(folder, v) for v in values]
+                with alone(top):
+                    for name in dict.fromkeys(names):
+                        with contextlib.suppress(FileExistsError):
+                            os.mkdir(f"{top}/{name}")
+                for name, own in groupby(zip(names, lines), key=itemgetter(0)):
+                    if name != last:  # the last folder of a turn may go on in the next
+                        opened.close()
+                        file = opened.enter_context(
+                            open(f"{top}/{name}/run_manifest.json", "w", encoding="utf-8"))
+                        last = name
                     file.writelines(f"{line}\n" for _, line in own)
-                last = name
         yield from ()
 
     content = F.struct(*(c for c in manifests.columns if c != folder))
