@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: So few folders are left to Spark's reader, whose driver looks into as many itself.
 FEW_FOLDERS = 32
 #: Folders for a task to read, and bytes of documents that it holds at a time.
-TASK_FOLDERS, HELD_BYTES = 2_000, 4 << 20
+TASK_FOLDERS, HELD_BYTES = 5_000, 4 << 20
 
 #: A folder's path with a pattern for its folders, of such signs as mean the same everywhere.
 _PATTERN = re.compile(r"([^*?{}\[\]\\]+)/([^/{}\[\]\\]*\*[^/{}\[\]\\]*)")
